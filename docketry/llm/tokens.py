@@ -34,7 +34,7 @@ BLOCK_CHARS = 1_500_000
 
 
 def _splitters():
-    """(fast, exact, odd): the pattern for ``re``, for ``regex``, and what ``re`` would class otherwise.
+    """(fast, exact, plain): the pattern for ``re``, for ``regex``, and a test for texts on which both agree.
 
     In ``re`` a word character that is no decimal digit and no underscore is a letter but for other
     numerals, marks joined by letters never count, and white space holds four control characters
@@ -42,14 +42,18 @@ def _splitters():
     """
     import regex
 
-    numerals = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("No", "Nl")]
-    odd = re.compile("[\x1c-\x1f" + "".join(map(re.escape, numerals)) + "]")
+    numerals = {c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("No", "Nl")}
+    controls = "\x1c\x1d\x1e\x1f"
+
+    def plain(text: str) -> bool:
+        return not any(c in text for c in controls) and (text.isascii() or numerals.isdisjoint(text))
+
     fast = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-    return fast, regex.compile(PATTERN), odd
+    return fast, regex.compile(PATTERN), plain
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    fast, exact, odd = _splitters()
+    fast, exact, plain = _splitters()
     part, serial = TaskContext.get().partitionId() << 32, 0
 
     def pack(ids: list, kind: pa.DataType, lens: list[int], codes: list[int], vocab: dict[str, int]) -> pa.RecordBatch:
@@ -66,7 +70,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = b.schema.field(0).type
         ids, lens, codes, vocab, size = [], [], [], {}, 0
         for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            words = (exact if odd.search(text) else fast).findall(text) if text else []
+            words = (fast if plain(text) else exact).findall(text) if text else []
             ids.append(key)
             lens.append(len(words))
             codes += [vocab.setdefault(w, len(vocab)) for w in words]
