@@ -6,7 +6,7 @@ import importlib
 
 #: module and function of every query
 _WHERE = {
-    "p1_found": "entities", "p1_matches": "entities", "p2_found": "names", "p3_found": "groups", "p3_splits": "groups", "p3_report": "groups",
+    "p1_found": "entities", "p1_matches": "entities", "p2_found": "names", "p2_people": "names", "p3_found": "groups", "p3_splits": "groups", "p3_report": "groups",
     "p4_found": "leakage", "p4_report": "leakage", "p5_found": "scans", "p5_text": "scans", "p6_found": "neardup", "p6_groups": "neardup",
     "p7_found": "topn", "p8_ids": "tokens", "p9_mix": "mixing", "p9_documents": "mixing", "p10_found": "spans", "p10_shared": "spans",
 }
