@@ -1,11 +1,491 @@
-"""All core queries by name, and their SQL counterparts."""
+"""All core queries by name, over whole tables, and the SQL that says the same."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from docketry.functions import patterns as P
+from docketry.functions import text as X
+from docketry.operators import amounts as A
+from docketry.operators import analytics as N
+from docketry.operators import cases as C
+from docketry.operators import people as K
+from docketry.operators import quotes as Q
+from docketry.runtime import effective_case_id, table
+
+QUERIES: dict = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def keep(f):
+        QUERIES[name] = f
+        if sql:
+            SQL[name] = sql
+        return f
+
+    return keep
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
+
+
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct documents of the docket with their text."""
+    return table(spark, folder, "docs").select("doc_id", F.coalesce("raw_text", "plain_text").alias("text")).where("text is not null and doc_id is not null").distinct()
+
+
+_TEXTS = "d AS (SELECT DISTINCT doc_id, coalesce(raw_text, plain_text) AS text FROM docs WHERE coalesce(raw_text, plain_text) IS NOT NULL AND doc_id IS NOT NULL)"
+_CANDIDATES = r"""
+m AS (SELECT doc_id, text, regexp_extract_all(text, '\$[\d,]+(?:\.\d{2})?') AS f, string_split_regex(text, '\$[\d,]+(?:\.\d{2})?') AS g FROM d),
+u AS (SELECT doc_id, text, f, g, unnest(range(1, len(f) + 1)) AS i FROM m),
+v AS (SELECT doc_id, text, f[i] AS raw_text, CAST(list_sum(list_transform(g[1:i], lambda z: length(z))) + coalesce(list_sum(list_transform(f[1:i-1], lambda z: length(z))), 0) AS INTEGER) AS start FROM u),
+w AS (SELECT doc_id, raw_text, start, try_cast(replace(replace(raw_text, '$', ''), ',', '') AS DOUBLE) AS value,
+        translate(substr(text, greatest(start - 100, 0) + 1, start - greatest(start - 100, 0) + length(raw_text) + 100), chr(10), ' ') AS context FROM v),
+x AS (SELECT *, row_number() OVER (PARTITION BY doc_id, value, substr(context, 1, 60) ORDER BY start) AS n FROM w WHERE value >= 10000),
+c AS (SELECT doc_id, value, raw_text, context, CAST(2 * (contains(lower(context), 'judgment'))::INT + 2 * (contains(lower(context), 'settlement'))::INT
+        + (contains(lower(context), 'penalty'))::INT + (contains(lower(context), 'award'))::INT AS INTEGER) AS feature_votes, start FROM x WHERE n = 1)"""
+_OUTCOME = """CASE WHEN contains(lower(text), 'stipulated judgment') OR contains(lower(text), 'consent judgment') THEN 'stipulated_judgment'
+ WHEN contains(lower(text), 'dismissed') AND (contains(lower(text), 'with prejudice') OR contains(lower(text), 'without prejudice')) THEN 'dismissal'
+ WHEN contains(lower(text), 'settlement') OR contains(lower(text), 'settled') THEN 'settlement'
+ WHEN contains(lower(text), 'judgment') AND contains(lower(text), 'default') THEN 'default_judgment'
+ WHEN contains(lower(text), 'summary judgment') THEN 'summary_judgment'
+ WHEN contains(lower(text), 'jury verdict') OR contains(lower(text), 'jury found') THEN 'jury_verdict'
+ WHEN contains(lower(text), 'bench trial') OR contains(lower(text), 'court finds') THEN 'bench_judgment'
+ WHEN contains(lower(text), 'consent decree') THEN 'consent_decree'
+ WHEN contains(lower(text), 'injunction') AND (contains(lower(text), 'permanent') OR contains(lower(text), 'preliminary')) THEN 'injunctive_relief' END"""
+
+
+@query("amount_candidates", f"WITH {_TEXTS}, {_CANDIDATES} SELECT doc_id, value, raw_text, context, feature_votes, start FROM c")
+def amount_candidates(spark, folder):
+    """Dollar amounts of 10,000 or more with context and keyword votes."""
+    return A.dollar_candidates(_texts(spark, folder))
+
+
+@query("top_amounts", f"""WITH {_TEXTS}, {_CANDIDATES}, r AS (SELECT doc_id, value, feature_votes, start,
+  row_number() OVER (PARTITION BY doc_id ORDER BY feature_votes DESC, value DESC, start) AS rank FROM c) SELECT doc_id, value, feature_votes, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""")
+def top_amounts(spark, folder):
+    return A.top_candidates(A.dollar_candidates(_texts(spark, folder)), 10).select("doc_id", "value", "feature_votes", "rank")
+
+
+@query("outcomes", f"""WITH {_TEXTS}, {_CANDIDATES}, b AS (SELECT doc_id, arg_max(value, (feature_votes, value, -start)) AS amount FROM c GROUP BY doc_id),
+ o AS (SELECT doc_id, {_OUTCOME} AS outcome_type,
+  CASE WHEN contains(lower(text), 'district court') THEN 'district' WHEN contains(lower(text), 'court of appeals') OR contains(lower(text), 'circuit court') THEN 'appeals'
+   WHEN contains(lower(text), 'supreme court') THEN 'supreme' WHEN contains(lower(text), 'bankruptcy court') THEN 'bankruptcy' END AS court_type,
+  contains(lower(text), 'dismissed') AND (contains(lower(text), 'with prejudice') OR contains(lower(text), 'without prejudice')) AS is_dismissed,
+  (contains(lower(text), 'attorney') AND contains(lower(text), 'fee')) OR contains(lower(text), 'fee shifting') OR contains(lower(text), 'prevailing party') AS has_fee_shifting,
+  row_number() OVER (PARTITION BY doc_id ORDER BY text) AS n FROM d)
+ SELECT o.doc_id, outcome_type, court_type, is_dismissed, has_fee_shifting, amount FROM o LEFT JOIN b USING (doc_id) WHERE n = 1 AND (amount IS NOT NULL OR outcome_type IS NOT NULL)""")
+def outcomes(spark, folder):
+    """Outcome type, court type, flags and best amount of each document."""
+    one = _texts(spark, folder).groupBy("doc_id").agg(F.min("text").alias("text"))
+    return C.outcomes(one).drop("candidates")
+
+
+_PREFIX = "coalesce(nullif({0}.case_id, ''), split_part({0}.doc_id, '_', 1))"
+
+
+def _outcome_rows(spark, folder):
+    """Outcome of each docket text by its words and the text's largest amount in plain dollars."""
+    t = _texts(spark, folder).groupBy("doc_id").agg(F.min("text").alias("text"))
+    largest = F.array_max(F.transform(F.regexp_extract_all("text", F.lit(P.DOLLARS), F.lit(0)), X.number))
+    return t.select("doc_id", F.lit(None).cast("string").alias("case_id"), C.outcome_type(F.col("text")).alias("outcome_type"), largest.alias("amount"))
+
+
+@query("case_values", f"""WITH t AS (SELECT doc_id, min(coalesce(raw_text, plain_text)) AS text FROM docs WHERE coalesce(raw_text, plain_text) IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id),
+ o AS (SELECT split_part(doc_id, '_', 1) AS case_id, doc_id, {_OUTCOME} AS outcome_type,
+   list_max(list_transform(regexp_extract_all(text, '\\$[\\d,]+(?:\\.\\d{{2}})?'), lambda z: try_cast(replace(replace(z, '$', ''), ',', '') AS DOUBLE))) AS amount FROM t),
+ bo AS (SELECT case_id, max(amount) AS v FROM o WHERE outcome_type = 'settlement' AND amount > 0 GROUP BY case_id),
+ k AS (SELECT {_PREFIX.format('a')} AS case_id, doc_id, value, feature_votes FROM cash_amounts a WHERE feature_votes > 0 AND value IS NOT NULL),
+ bk AS (SELECT case_id, value AS v FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY feature_votes DESC, value DESC, doc_id) AS n FROM k) WHERE n = 1)
+ SELECT q.record_id, {_PREFIX.format('q')} AS case_id, coalesce(bo.v, bk.v) AS assigned_case_value,
+  CASE WHEN bo.v IS NOT NULL THEN 'outcome' WHEN bk.v IS NOT NULL THEN 'cash_amount' ELSE 'N/A' END AS value_source
+ FROM quotes q LEFT JOIN bo ON bo.case_id = {_PREFIX.format('q')} LEFT JOIN bk ON bk.case_id = {_PREFIX.format('q')}""")
+def case_values(spark, folder):
+    """Flagship: every quote with the value of its case, from a settlement text or else the best voted amount."""
+    quotes = table(spark, folder, "quotes").select("record_id", "doc_id", "case_id")
+    cash = table(spark, folder, "cash_amounts").select("doc_id", "case_id", "value", "feature_votes")
+    return C.assign_case_values(quotes, _outcome_rows(spark, folder), cash, "settlement").select("record_id", "case_id", "assigned_case_value", "value_source")
+
+
+@query("case_value_audit")
+def case_value_audit(spark, folder):
+    """The five checks of assigned values; every number must be 0."""
+    quotes = table(spark, folder, "quotes").select("record_id", "doc_id", "case_id")
+    cash = table(spark, folder, "cash_amounts").select("doc_id", "case_id", "value", "feature_votes")
+    rows = _outcome_rows(spark, folder)
+    return C.audit_case_values(quotes, C.assign_case_values(quotes, rows, cash, "settlement"), rows, cash)
+
+
+@query("best_cash", f"""WITH k AS (SELECT {_PREFIX.format('a')} AS case_id, doc_id, value, feature_votes FROM cash_amounts a WHERE feature_votes > 0 AND value IS NOT NULL)
+ SELECT case_id, cash_value, cash_doc, cash_docs FROM (SELECT case_id, value AS cash_value, doc_id AS cash_doc, row_number() OVER (PARTITION BY case_id ORDER BY feature_votes DESC, value DESC, doc_id) AS n FROM k)
+ JOIN (SELECT case_id, count(DISTINCT doc_id) AS cash_docs FROM k GROUP BY 1) USING (case_id) WHERE n = 1""")
+def best_cash(spark, folder):
+    return C.best_cash(C.with_case_id(table(spark, folder, "cash_amounts").select("doc_id", "case_id", "value", "feature_votes"))).withColumn("cash_docs", F.size("cash_docs").cast("long"))
+
+
+@query("imputed_values")
+def imputed_values(spark, folder):
+    """Case flags and amounts of the docket's texts put together to one value per case."""
+    docs = _texts(spark, folder).withColumn("case_id", C.case_prefix(F.col("doc_id")))
+    return C.impute_case_values(C.case_flags(docs), A.dollar_candidates(docs))
+
+
+@query("case_flags")
+def case_flags(spark, folder):
+    """Bankruptcy, dismissal, fee shifting and large patent flags of every case."""
+    return C.case_flags(_texts(spark, folder).withColumn("case_id", C.case_prefix(F.col("doc_id"))))
+
+
+_COUNTED = {"proximity": P.PROXIMITY, "judgment_verbs": P.JUDGMENT_VERBS, "financial_terms": P.FINANCIAL_TERMS, "settlement_terms": P.SETTLEMENT_TERMS, "legal_proceedings": P.LEGAL_PROCEEDINGS, "monetary_phrases": P.MONETARY_PHRASES, "high_confidence": P.HIGH_CONFIDENCE, "amount_adjacent": P.AMOUNT_ADJACENT}
+
+
+@query("signal_counters", "SELECT amount_id, " + ", ".join("CAST(len(regexp_extract_all(context, '" + p.replace("'", "''") + f"')) AS INTEGER) AS n_{k}" for k, p in _COUNTED.items()) + " FROM cash_amounts WHERE context IS NOT NULL")
+def signal_counters(spark, folder):
+    """How often each family of signals stands in an amount's context."""
+    rows = table(spark, folder, "cash_amounts").where("context is not null").select("amount_id", "context")
+    return A.with_counters(rows).select("amount_id", *[f"n_{k}" for k in _COUNTED])
+
+
+@query("weighted_votes")
+def weighted_votes(spark, folder):
+    """All votes with the place of the document in its case."""
+    rows = table(spark, folder, "cash_amounts").where("context is not null").select("amount_id", "doc_id", effective_case_id().alias("case_id"), "context")
+    files = rows.select("case_id", F.col("doc_id").alias("file_name"), F.regexp_extract("doc_id", r"(\d+)$", 1).try_cast("int").alias("doc_number")).distinct()
+    placed = A.position_votes(files).select("case_id", F.col("file_name").alias("doc_id"), "position_votes")
+    return A.with_votes(A.with_counters(rows.join(placed, ["case_id", "doc_id"], "left").fillna(0, ["position_votes"])), "position_votes").select("amount_id", "position_votes", "feature_votes")
+
+
+@query("all_amounts")
+def all_amounts(spark, folder):
+    """Amounts in figures, spelled out and in USD, each context once."""
+    return A.standard_candidates(_texts(spark, folder), around=200).drop("context")
+
+
+@query("calculated_amounts")
+def calculated_amounts(spark, folder):
+    return A.calculated_amounts(_texts(spark, folder)).drop("raw_text")
+
+
+@query("smart_sums")
+def smart_sums(spark, folder):
+    return A.smart_sums(_texts(spark, folder))
+
+
+@query("clean_text")
+def clean_text(spark, folder):
+    """The cleaner over the docket's texts, with lengths before and after."""
+    return _texts(spark, folder).select("doc_id", X.clean(F.col("text")).alias("clean"), F.length("text").alias("original_length")).withColumn("normalized_length", F.length("clean"))
+
+
+@query("clean_steps", r"""WITH s AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL),
+ a AS (SELECT doc_id, regexp_replace(regexp_replace(text, '\[\d+\]', '', 'g'), '[ \t]{2,}', ' ', 'g') AS t FROM s),
+ b AS (SELECT doc_id, regexp_replace(translate(t, '‘’“”–—', '''''""--'), '\n{3,}', chr(10) || chr(10), 'g') AS t FROM a)
+ SELECT doc_id, md5(t) AS digest, CAST(length(t) AS INTEGER) AS chars FROM b""")
+def clean_steps(spark, folder):
+    """Those steps of the cleaner that SQL has too, over the documents."""
+    c = F.regexp_replace(F.regexp_replace("text", r"\[\d+\]", ""), r"[ \t]{2,}", " ")
+    c = F.regexp_replace(F.translate(c, "‘’“”–—", "''\"\"--"), r"\n{3,}", "\n\n")
+    return table(spark, folder, "documents").where("text is not null").select("doc_id", F.md5(c).alias("digest"), F.length(c).alias("chars"))
+
+
+@query("token_counts", r"""SELECT doc_id, CAST(CASE WHEN trim(regexp_replace(text, '[ \t\n\r\f\v]+', ' ', 'g'), ' ') = '' THEN 0 ELSE len(string_split(trim(regexp_replace(text, '[ \t\n\r\f\v]+', ' ', 'g'), ' '), ' ')) END AS INTEGER) AS n_tokens
+ FROM documents WHERE text IS NOT NULL""")
+def token_counts(spark, folder):
+    plain = F.trim(F.regexp_replace("text", r"[ \t\n\r\f\x0B]+", " "))
+    return table(spark, folder, "documents").where("text is not null").select("doc_id", F.when(plain == "", 0).otherwise(F.size(F.split(plain, " ", -1))).alias("n_tokens"))
+
+
+@query("quote_candidates")
+def quote_candidates(spark, folder):
+    """Quoted spans of the docket's texts without near-duplicates within a document."""
+    found = Q.first_pass(_texts(spark, folder).groupBy("doc_id").agg(F.min("text").alias("text")))
+    return Q.drop_near_duplicates(found, "quote", ["doc_id"], ["paragraph", "ordinal"])
+
+
+@query("quotes_attributed")
+def quotes_attributed(spark, folder):
+    return Q.attribute(Q.first_pass(_texts(spark, folder).groupBy("doc_id").agg(F.min("text").alias("text")))).select("doc_id", "paragraph", "ordinal", "quote", "speaker")
+
+
+@query("quotes_reranked")
+def quotes_reranked(spark, folder):
+    """Embeddings near one of two seed vectors, as the rerank step sees quotes."""
+    e = table(spark, folder, "embeddings")
+    size = e.select(F.max(F.size("embedding"))).first()[0] or 1
+    seeds = [[1.0 if i % 2 else -1.0 for i in range(size)], [1.0 if i < size // 2 else 0.0 for i in range(size)]]
+    return Q.rerank(e, "embedding", seeds, 0.05).select("vec_id", F.round("score", 6).alias("score"))
+
+
+_BAD = "|".join(P.BAD_TOKENS)
+
+
+@query("heuristic_filter", rf"""WITH q AS (SELECT record_id, coalesce(text, '') AS t, coalesce(speaker, '') AS s FROM quotes)
+ SELECT record_id, CASE WHEN regexp_matches(t, '[\w\.-]+@[\w\.-]+') OR regexp_matches(t, '\(?\d{{3}}\)?[-\s]?\d{{3}}[-\s]?\d{{4}}') OR regexp_matches(t, '(?i)\b\d{{1,5}}\s+[A-Za-z0-9\s]+\s+(Road|Rd\.|Street|St\.|Suite|Blvd|Ave)\b') THEN 'contact'
+  WHEN regexp_matches(s, '\d') OR length(regexp_replace(s, '[^A-Za-z]', '', 'g')) < 2 THEN 'speaker_form'
+  WHEN trim(regexp_replace(t, '\s+', ' ', 'g')) = '' OR len(string_split(trim(regexp_replace(t, '\s+', ' ', 'g')), ' ')) < 5 THEN 'short'
+  WHEN regexp_matches(t, '[§()]') OR regexp_matches(t, '[“”‘’]') THEN 'symbols'
+  WHEN lower(s) IN ({", ".join("'" + s + "'" for s in P.EXCLUDED_SPEAKERS)}) THEN 'speaker'
+  WHEN regexp_matches(t, '(?i)\bplaintiff(s)?\b') OR regexp_matches(t, '(?i)\b\w+\s+v\.\s+\w+\b') OR regexp_matches(t, '(?i)\b\d+\s+F\.\d+[bd]\s+\d+\b') OR regexp_matches(t, '(?i)\b(?:{_BAD})\b') THEN 'legal' END AS reason FROM q""")
+def heuristic_filter(spark, folder):
+    """Why each quote would be dropped, null where it stays."""
+    return table(spark, folder, "quotes").select("record_id", Q.heuristic_reason(F.col("text"), F.col("speaker")).alias("reason"))
+
+
+_LAW = "CASE " + " ".join(f"WHEN contains(lower(c), '{k}') THEN '{k.title()} Law'" for k in P.LAW_AREAS) + " END"
+_COURT = "CASE regexp_extract({0}, '[a-z]+\\d*') " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in P.COURTS.items()) + " ELSE nullif(regexp_extract({0}, '[a-z]+\\d*'), '') END"
+
+
+@query("provenance", rf"""WITH q AS (SELECT record_id, doc_id, case_id, case_year, coalesce(nullif(context, ''), text) AS c FROM quotes)
+ SELECT record_id, coalesce({_COURT.format('doc_id')}, {_COURT.format('case_id')}) AS court,
+  coalesce(try_cast(nullif(regexp_extract(case_id, '(?:19|20)\d{{2}}'), '') AS INTEGER), list_max(list_filter(list_transform(regexp_extract_all(c, '(?:19|20)\d{{2}}'), lambda z: CAST(z AS INTEGER)), lambda z: z BETWEEN 1900 AND 2030)), case_year) AS year,
+  {_LAW} AS law FROM q""")
+def provenance(spark, folder):
+    q = Q.with_provenance(table(spark, folder, "quotes").select("record_id", "doc_id", "case_id", "case_year", "context", "text", "speaker"))
+    return q.select("record_id", F.col("prov_court").alias("court"), F.col("prov_year").alias("year"), F.col("prov_law").alias("law"))
+
+
+@query("provenance_company")
+def provenance_company(spark, folder):
+    q = Q.with_provenance(table(spark, folder, "quotes").select("record_id", "doc_id", "case_id", "case_year", "context", "text", "speaker"))
+    return q.select("record_id", F.col("prov_company").alias("company"))
+
+
+def _index(spark, folder):
+    d = _texts(spark, folder).groupBy("doc_id").agg(F.min("text").alias("text"))
+    return Q.docket_index(d.select(F.lower("doc_id").alias("doc_id"), "text", C.case_prefix(F.lower("doc_id")).alias("case_id"), F.regexp_extract("doc_id", r"(?:entry|opinions)_(\d+)", 1).try_cast("int").alias("entry"), F.regexp_extract("doc_id", r"(\d+)$", 1).try_cast("int").alias("number")))
+
+
+@query("docket_index", r"""WITH d AS (SELECT lower(doc_id) AS doc_id, min(coalesce(raw_text, plain_text)) AS text FROM docs WHERE coalesce(raw_text, plain_text) IS NOT NULL AND doc_id IS NOT NULL GROUP BY 1),
+ e AS (SELECT doc_id, split_part(doc_id, '_', 1) AS case_id, text, try_cast(nullif(regexp_extract(doc_id, '(?:entry|opinions)_(\d+)', 1), '') AS INTEGER) AS entry, try_cast(nullif(regexp_extract(doc_id, '(\d+)$', 1), '') AS INTEGER) AS number FROM d)
+ SELECT doc_id, CAST(row_number() OVER w AS INTEGER) AS docket_number, CAST(coalesce(sum(length(text) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS chars_before FROM e
+ WINDOW w AS (PARTITION BY case_id ORDER BY entry NULLS FIRST, number NULLS FIRST, doc_id)""")
+def docket_index(spark, folder):
+    return _index(spark, folder).select("doc_id", "docket_number", "chars_before")
+
+
+@query("quote_positions")
+def quote_positions(spark, folder):
+    """Where each quote stands in its document and case."""
+    q = table(spark, folder, "quotes").select("record_id", F.lower(F.trim("doc_id")).alias("doc_id"), "text", "context")
+    return Q.quote_positions(q, _index(spark, folder)).drop("text", "context")
+
+
+@query("unknown_documents", "SELECT record_id, doc_id FROM quotes WHERE lower(doc_id) NOT IN (SELECT lower(doc_id) FROM docs WHERE doc_id IS NOT NULL)")
+def unknown_documents(spark, folder):
+    """Quotes whose document is not in the docket."""
+    docs = table(spark, folder, "docs").select(F.lower("doc_id").alias("d")).distinct()
+    q = table(spark, folder, "quotes").where("doc_id is not null").select("record_id", "doc_id")
+    return q.join(docs, F.lower("doc_id") == F.col("d"), "left_anti")
+
+
+@query("identifiers", """SELECT doc_id, 'doc_' || rtrim(replace(replace(to_base64(unhex(substr(sha256('doc|' || regexp_replace(source_uri, '#.*$', '') || '|' || coalesce(retrieved_at, '') || '|'), 1, 32))), '+', '-'), '/', '_'), '=') AS hash_id
+ FROM docs WHERE length(source_uri) > 0""")
+def identifiers(spark, folder):
+    return table(spark, folder, "docs").where("length(source_uri) > 0").select("doc_id", X.doc_id(F.col("source_uri"), F.col("retrieved_at")).alias("hash_id"))
+
+
+@query("canonical_identifiers")
+def canonical_identifiers(spark, folder):
+    return table(spark, folder, "docs").select("doc_id", X.canonical_id("doc", {"source_uri": F.col("source_uri"), "retrieved_at": F.col("retrieved_at")}).alias("json_id"))
+
+
+@query("document_counts", """SELECT coalesce(nullif(meta.case_id, ''), split_part(doc_id, '_', 1)) AS case_id, count(*) AS documents, count(*) FILTER (WHERE meta.source_type = 'entry') AS entries,
+ count(*) FILTER (WHERE meta.source_type = 'opinion') AS opinions, sum(coalesce(length(coalesce(raw_text, plain_text)), 0))::BIGINT AS chars FROM docs GROUP BY 1""")
+def document_counts(spark, folder):
+    d = table(spark, folder, "docs").select(F.coalesce(F.nullif(F.col("meta.case_id"), F.lit("")), C.case_prefix(F.col("doc_id"))).alias("case_id"), F.col("meta.source_type").alias("kind"), F.length(F.coalesce("raw_text", "plain_text")).alias("n"))
+    return d.groupBy("case_id").agg(F.count("*").alias("documents"), F.count_if(F.col("kind") == "entry").alias("entries"), F.count_if(F.col("kind") == "opinion").alias("opinions"), F.coalesce(F.sum("n"), F.lit(0)).alias("chars"))
+
+
+@query("label_coverage", """WITH l AS (SELECT * FROM court_cases WHERE outcome_bin IS NOT NULL), c AS (SELECT case_id, min(outcome_bin) AS o, count(DISTINCT outcome_bin) AS k FROM l GROUP BY 1)
+ SELECT outcome_bin AS label, count(*) AS rows, round(count(*)::DOUBLE / (SELECT count(*) FROM l), 6) AS proportion, (SELECT count(*) FROM c WHERE o = outcome_bin) AS cases, (SELECT count(*) FROM c WHERE o = outcome_bin AND k > 1) AS inconsistent FROM l GROUP BY outcome_bin""")
+def label_coverage(spark, folder):
+    return N.label_counts(table(spark, folder, "court_cases").select("case_id", "outcome_bin"))
+
+
+@query("weight_stats", """SELECT count(sample_weight) AS n, round(avg(sample_weight), 6) AS mean, round(stddev_samp(sample_weight), 6) AS std, round(min(sample_weight), 6) AS min, round(max(sample_weight), 6) AS max,
+ round(quantile_cont(sample_weight, 0.25), 6) AS q25, round(quantile_cont(sample_weight, 0.5), 6) AS median, round(quantile_cont(sample_weight, 0.75), 6) AS q75 FROM court_cases""")
+def weight_stats(spark, folder):
+    return N.weight_stats(table(spark, folder, "court_cases"), "sample_weight")
+
+
+@query("outcome_terciles", """WITH k AS (SELECT case_id, final_judgement_real AS v FROM court_cases WHERE final_judgement_real IS NOT NULL), e AS (SELECT quantile_cont(v, 1/3) AS a, quantile_cont(v, 2/3) AS b FROM k)
+ SELECT case_id, CASE WHEN v < a THEN 0 WHEN v < b THEN 1 ELSE 2 END AS tercile FROM k, e""")
+def outcome_terciles(spark, folder):
+    return N.terciles(table(spark, folder, "court_cases").select("case_id", "final_judgement_real"), "final_judgement_real").select("case_id", "tercile")
+
+
+@query("split_balance", """WITH n AS (SELECT split, outcome_bin, count(*) AS n FROM court_cases WHERE outcome_bin IS NOT NULL GROUP BY 1, 2), t AS (SELECT split, sum(n) AS labelled, min(n) AS least FROM n GROUP BY 1
+  UNION ALL SELECT NULL, sum(m), min(m) FROM (SELECT outcome_bin, sum(n) AS m FROM n GROUP BY 1))
+ SELECT split, CAST(labelled AS BIGINT) AS labelled, round(least / labelled, 6) AS least_share, CASE WHEN least / labelled < 0.05 THEN 'severe' WHEN least / labelled < 0.15 THEN 'moderate' ELSE 'balanced' END AS imbalance FROM t""")
+def split_balance(spark, folder):
+    return N.split_balance(table(spark, folder, "court_cases").select("split", "outcome_bin"))
+
+
+@query("speaker_cases", "SELECT speaker, count(DISTINCT case_id) AS cases, count(*) AS quotes FROM quotes WHERE speaker IS NOT NULL AND case_id IS NOT NULL GROUP BY speaker")
+def speaker_cases(spark, folder):
+    return N.speaker_case_counts(table(spark, folder, "quotes").select("speaker", "case_id"))
+
+
+@query("case_folds", """WITH s AS (SELECT case_id AS component, count(*) AS rows FROM quotes WHERE case_id IS NOT NULL GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY rows DESC, component) - 1 AS k FROM s)
+ SELECT component, rows, CAST(CASE WHEN (k // 5) % 2 = 0 THEN k % 5 ELSE 4 - k % 5 END AS INTEGER) AS fold FROM r""")
+def case_folds(spark, folder):
+    return N.pack_folds(table(spark, folder, "quotes").where("case_id is not null").groupBy(F.col("case_id").alias("component")).agg(F.count("*").alias("rows")), 5)
+
+
+@query("quote_violations", r"""SELECT rule, CAST(broken AS BIGINT) AS broken FROM (SELECT
+  count(*) FILTER (WHERE NOT coalesce(length(trim(text, ' ' || chr(9) || chr(10) || chr(13) || chr(160))) > 0, false)) AS text, count(*) FILTER (WHERE NOT coalesce(length(trim(doc_id)) > 0, false)) AS doc_id,
+  count(*) FILTER (WHERE NOT coalesce(regexp_matches(quote_id, '^q_[A-Za-z0-9_-]{22}$'), false)) AS quote_id, count(*) FILTER (WHERE NOT (score IS NULL OR score BETWEEN 0 AND 1)) AS score,
+  count(*) FILTER (WHERE NOT (stage IS NULL OR stage >= 0)) AS stage FROM quotes) UNPIVOT (broken FOR rule IN (text, doc_id, quote_id, score, stage))""")
+def quote_violations(spark, folder):
+    return N.violation_counts(table(spark, folder, "quotes"), N.quote_rules())
+
+
+@query("duplicate_documents", "SELECT doc_id, count(*) AS copies FROM docs WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING count(*) > 1")
+def duplicate_documents(spark, folder):
+    return N.duplicates(table(spark, folder, "docs").select("doc_id"), "doc_id")
+
+
+@query("manifest")
+def manifest(spark, folder):
+    """Rows and order-free digest of each table."""
+    out = None
+    for t in ("wiki_companies", "wiki_key_people", "court_cases", "quotes", "cash_amounts"):
+        one = N.content_digest(table(spark, folder, t)).select(F.lit(t).alias("table"), "rows", "digest")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+_NAME = "list_reduce(list_transform(string_split({0}, ' '), lambda w, i: CASE WHEN i > 1 AND lower(w) IN ('de','van','von','der','den','di','la','le') THEN lower(w) ELSE upper(w[1:1]) || lower(w[2:]) END), lambda a, b: a || ' ' || b)"
+
+
+@query("normal_names", rf"""SELECT person_row_id, {_NAME.format("regexp_replace(trim(clean_name), ' +', ' ', 'g')")} AS normal FROM wiki_key_people WHERE clean_name IS NOT NULL AND regexp_matches(clean_name, '^[ -~]+$')""")
+def normal_names(spark, folder):
+    return table(spark, folder, "wiki_key_people").where(F.col("clean_name").rlike("^[ -~]+$")).select("person_row_id", K.normal_name(F.col("clean_name")).alias("normal"))
+
+
+_ROLE = "CASE " + " ".join(f"WHEN contains(lower(clean_title), '{k}') THEN '{v}'" for k, v in P.ROLE_CANON) + " ELSE 'EXECUTIVE' END"
+
+
+@query("role_canon", f"SELECT person_row_id, {_ROLE} AS role FROM wiki_key_people WHERE clean_title IS NOT NULL")
+def role_canon(spark, folder):
+    return table(spark, folder, "wiki_key_people").where("clean_title is not null").select("person_row_id", K.role_canon(F.col("clean_title")).alias("role"))
+
+
+@query("normal_titles")
+def normal_titles(spark, folder):
+    return table(spark, folder, "wiki_key_people").where("clean_title is not null").select("person_row_id", K.normal_title(F.col("clean_title")).alias("title"), K.valid_title(F.col("clean_title")).alias("valid"))
+
+
+@query("resolved_people", """SELECT person_row_id FROM (SELECT person_row_id, row_number() OVER (PARTITION BY lower(clean_name), ticker ORDER BY confidence_score DESC NULLS LAST, scraped_at DESC NULLS LAST, length(clean_title) DESC NULLS LAST, clean_name, person_row_id) AS n
+ FROM wiki_key_people WHERE clean_name IS NOT NULL) WHERE n = 1""")
+def resolved_people(spark, folder):
+    return K.resolve_people(table(spark, folder, "wiki_key_people")).select("person_row_id")
+
+
+_STAR = f"p AS (SELECT *, {_ROLE} AS role_canon FROM wiki_key_people WHERE clean_name IS NOT NULL AND ticker IS NOT NULL AND clean_title IS NOT NULL)"
+
+
+@query("star_appointments", f"""WITH {_STAR}, c AS (SELECT ticker, min(ticker || coalesce('_' || index_name, '')) AS company_id FROM wiki_companies WHERE ticker IS NOT NULL GROUP BY 1)
+ SELECT company_id, lower(replace(clean_name || '_' || ticker, ' ', '_')) AS person_id, lower(replace(role_canon || '_' || ticker, ' ', '_')) AS role_id, wikipedia_url AS source_url, confidence_score FROM p JOIN c USING (ticker)""")
+def star_appointments(spark, folder):
+    return K.normalized_tables(table(spark, folder, "wiki_companies"), table(spark, folder, "wiki_key_people"))["appointments"]
+
+
+@query("star_roles", f"""WITH {_STAR}, r AS (SELECT lower(replace(role_canon || '_' || ticker, ' ', '_')) AS role_id, role_canon, clean_title AS role_raw, row_number() OVER (PARTITION BY lower(replace(role_canon || '_' || ticker, ' ', '_')) ORDER BY person_row_id) AS n FROM p)
+ SELECT role_id, role_canon, role_raw FROM r WHERE n = 1""")
+def star_roles(spark, folder):
+    return K.normalized_tables(table(spark, folder, "wiki_companies"), table(spark, folder, "wiki_key_people"))["roles"]
+
+
+@query("star_people", f"""WITH {_STAR}, r AS (SELECT lower(replace(clean_name || '_' || ticker, ' ', '_')) AS person_id, raw_name AS full_name, clean_name AS normalized_name, row_number() OVER (PARTITION BY lower(replace(clean_name || '_' || ticker, ' ', '_')) ORDER BY person_row_id) AS n FROM p)
+ SELECT person_id, full_name, normalized_name FROM r WHERE n = 1""")
+def star_people(spark, folder):
+    return K.normalized_tables(table(spark, folder, "wiki_companies"), table(spark, folder, "wiki_key_people"))["people"]
+
+
+@query("star_companies", """SELECT ticker || coalesce('_' || index_name, '') AS company_id, ticker, count(*) AS variants FROM wiki_companies WHERE ticker IS NOT NULL GROUP BY ALL""")
+def star_companies(spark, folder):
+    w = table(spark, folder, "wiki_companies")
+    ids = K.normalized_tables(w, table(spark, folder, "wiki_key_people"))["companies"].select("company_id", "ticker")
+    return ids.join(w.where("ticker is not null").groupBy(F.concat_ws("_", "ticker", "index_name").alias("company_id")).agg(F.count("*").alias("variants")), "company_id")
+
+
+@query("index_completeness", "SELECT index_name, count(*) AS rows, round(avg((sector IS NOT NULL)::INT), 6) AS sector_share, round(avg((industry IS NOT NULL)::INT), 6) AS industry_share FROM wiki_companies GROUP BY 1")
+def index_completeness(spark, folder):
+    return K.completeness(table(spark, folder, "wiki_companies"))
+
+
+@query("method_share", "SELECT extraction_method, count(*) AS rows, round(100.0 * count(*) / sum(count(*)) OVER (), 4) AS percent, round(avg(confidence_score), 6) AS mean_confidence FROM wiki_key_people GROUP BY 1")
+def method_share(spark, folder):
+    return K.method_share(table(spark, folder, "wiki_key_people"))
+
+
+@query("person_names", r"""SELECT person_row_id, coalesce(length(raw_name) BETWEEN 3 AND 80, false) AS fits, coalesce(length(trim(clean_title)) >= 2 AND regexp_matches(clean_title, '[a-zA-Z]') AND lower(trim(clean_title)) NOT IN ('executive','director','officer','manager','person'), false) AS title_ok FROM wiki_key_people""")
+def person_names(spark, folder):
+    return table(spark, folder, "wiki_key_people").select("person_row_id", F.coalesce(F.length("raw_name").between(3, 80), F.lit(False)).alias("fits"), K.valid_title(F.col("clean_title")).alias("title_ok"))
+
+
+@query("constituent_filter", """SELECT ticker, index_name, company_name FROM wiki_companies WHERE sector IN ('Materials', 'Makers') AND (try_strptime(date_added, ['%Y-%m-%d', '%B %d, %Y', '%d %B %Y', '%m/%d/%Y']) IS NULL OR try_strptime(date_added, ['%Y-%m-%d', '%B %d, %Y', '%d %B %Y', '%m/%d/%Y'])::DATE BETWEEN DATE '2000-01-01' AND DATE '2015-12-31')""")
+def constituent_filter(spark, folder):
+    return K.filter_constituents(table(spark, folder, "wiki_companies"), sectors=["Materials", "Makers"], dates=("2000-01-01", "2015-12-31")).select("ticker", "index_name", "company_name")
+
+
+@query("ticker_coverage", """SELECT index_name, count(*) AS companies, count(DISTINCT p.ticker) AS with_people, round(100.0 * count(DISTINCT p.ticker) / count(DISTINCT c.ticker), 4) AS percent
+ FROM (SELECT DISTINCT ticker, index_name FROM wiki_companies) c LEFT JOIN (SELECT DISTINCT ticker FROM wiki_key_people WHERE ticker IS NOT NULL) p USING (ticker) GROUP BY 1""")
+def ticker_coverage(spark, folder):
+    c = table(spark, folder, "wiki_companies").select("ticker", "index_name").distinct()
+    p = table(spark, folder, "wiki_key_people").where("ticker is not null").select("ticker", F.lit(True).alias("has")).distinct()
+    return c.join(p, "ticker", "left").groupBy("index_name").agg(F.count("*").alias("companies"), F.count_if("has").alias("with_people"), F.round(100 * F.count_if("has") / F.count("*"), 4).alias("percent"))
+
+
+# relational surface over the star tables
+
+
+@query("pricing_summary", "SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS n FROM lineitem GROUP BY 1, 2")
+def pricing_summary(spark, folder):
+    return table(spark, folder, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.round(F.sum("l_quantity"), 2).alias("sum_qty"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count("*").alias("n"))
+
+
+@query("nation_revenue", """SELECT n_name, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN nation ON n_nationkey = c_nationkey GROUP BY 1""")
+def nation_revenue(spark, folder):
+    t = lambda n: table(spark, folder, n)
+    lines = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("r"))
+    j = lines.join(t("orders").select("o_orderkey", "o_custkey"), "o_orderkey").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.sum("r").alias("r"))
+    return j.join(t("customer").select("c_custkey", "c_nationkey"), "c_custkey").join(t("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey").groupBy("n_name").agg(F.round(F.sum("r"), 2).alias("revenue"))
+
+
+@query("order_rollup", "SELECT o_orderstatus, o_orderpriority, count(*) AS n, CAST(grouping(o_orderstatus) * 2 + grouping(o_orderpriority) AS BIGINT) AS level FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)")
+def order_rollup(spark, folder):
+    return table(spark, folder, "orders").rollup("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"), F.grouping_id().alias("level"))
+
+
+@query("customers_without_orders", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+def customers_without_orders(spark, folder):
+    return table(spark, folder, "customer").join(table(spark, folder, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+
+
+@query("running_totals", "SELECT event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS running FROM events")
+def running_totals(spark, folder):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    return table(spark, folder, "events").select("event_id", F.round(F.sum("value").over(w), 4).alias("running"))
+
+
+@query("event_windows", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS events FROM events GROUP BY 1, 2")
+def event_windows(spark, folder):
+    """Tumbling hours over the events; the same plan runs as a stream."""
+    e = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("events")).select(F.col("w.start").alias("start"), "event_type", "events")
+
+
+@query("key_sets", "SELECT k, 'both' AS side FROM (SELECT c_custkey AS k FROM customer INTERSECT SELECT o_custkey FROM orders) UNION ALL SELECT k, 'parts' FROM (SELECT p_partkey AS k FROM part EXCEPT SELECT l_partkey FROM lineitem)")
+def key_sets(spark, folder):
+    t = lambda n, c: table(spark, folder, n).select(F.col(c).alias("k"))
+    return t("customer", "c_custkey").intersect(t("orders", "o_custkey")).withColumn("side", F.lit("both")).unionByName(t("part", "p_partkey").exceptAll(t("lineitem", "l_partkey").distinct()).distinct().withColumn("side", F.lit("parts")))
