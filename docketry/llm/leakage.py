@@ -1,9 +1,9 @@
 """Same or near-same records across splits, by an edit-distance segment join.
 
 The strings are the texts' word sequences in hash order, where likeness of word sets and the
-insert/delete distance are one thing.  Evaluation strings are cut into k + 1 segments, training
-strings give the substrings that can meet one (see :mod:`docketry.llm.setjoin`), and what meets is
-verified by dynamic programming inside the band of the allowed distance.
+insert/delete distance are one thing.  Evaluation strings are cut into segments whose budgets
+of differences make one of k + 1 meet a training string's segment at the same place (see
+:mod:`docketry.llm.setjoin`), and what meets is verified by dynamic programming inside the band of the allowed distance.
 """
 
 from __future__ import annotations
@@ -86,15 +86,14 @@ def cross_split_pairs(df: DataFrame, key: str, text: str, split: str, evaluation
     """
     used = df.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(split).alias("s")).where(F.col("s").isin(*evaluation, *training))
     sets = cut(word_sets(used, "t", "k", "s").withColumns({"e": F.col("s").isin(*evaluation), "r": F.col("s").isin(*training)}), "sets")
-    keys, _ = segment_keys(sets, likeness, "e", "r")
+    keys = segment_keys(sets, likeness, "e", "r")
     rate = (1 - likeness) / (1 + likeness)
-    keys = cut(keys, "keys")
-    asks = keys.where("asks").select("key", F.col("id").alias("ida"), F.col("n").alias("na"), F.col("sig").alias("sa"))
-    answers = keys.where("not asks").select("key", F.col("id").alias("idb"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
+    asks = keys.where("role <= 2").select("key", F.col("id").alias("ida"), F.col("n").alias("na"), F.col("sig").alias("sa"), F.col("role").alias("ra"))
+    answers = keys.where("role >= 3").select("key", F.col("id").alias("idb"), F.col("n").alias("nb"), F.col("sig").alias("sb"), F.col("role").alias("rb"))
     near = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= F.floor(rate * (F.col("na") + F.col("nb")) + 1e-9)
     sized = (F.col("na") >= likeness * F.col("nb") - 1e-9) & (F.col("nb") >= likeness * F.col("na") - 1e-9)
-    pairs = cut(asks.join(answers, "key").where(sized & near).select("ida", "idb").distinct(), "pairs")
-    needed = cut(sets_of(sets, pairs.select(F.explode(F.array("ida", "idb")).alias("id"))), "needed")
+    pairs = cut(asks.join(answers, "key").where("rb = 3 or ra = 1").where(sized & near).select("ida", "idb").distinct(), "pairs")
+    needed = sets_of(sets, pairs.select(F.explode(F.array("ida", "idb")).alias("id")))
     wa, wb = needed.select(F.col("id").alias("ida"), F.col("words").alias("wa")), needed.select(F.col("id").alias("idb"), F.col("words").alias("wb"))
     found = pairs.join(wa, "ida").join(wb, "idb").mapInArrow(_verify(rate), "ida long, idb long, likeness double")
     rows = sets.select("id", "k", "s", "e")

@@ -1,13 +1,14 @@
-"""Exact similarity join of word sets by weighted pigeonhole segments.
+"""Exact similarity join of word sets by pigeonhole segments with unequal budgets.
 
 A text is the sequence of its distinct words in the order of a 64-bit hash.  Two sets of Jaccard
 likeness t or more differ in at most k = (1 - t) / (1 + t) * (n_a + n_b) words, which is just the
-insert/delete distance of the two sequences.  If the one sequence is cut into k + 1 segments, one
-of them stands whole in the other.  A segment is not a fixed count of words: it runs from its first
-word until it holds a given weight of information (-log of document frequency), so that no segment
-is made of common words only, and the other side needs just one substring per start position.
-A fixed-size bit filter of all segment keys keeps the substrings that nobody asks for out of the
-shuffle; it has no false negatives.
+insert/delete distance of the two sequences.  The sequence is cut at fixed hash values into
+segments, so every difference falls into one segment of both.  The asking side gives each segment a
+budget of -1, 0 or 1 differences such that the budgets plus one add up to k + 1; then at least one
+segment differs by no more than its budget.  It spends them where a chance match is least likely: a
+segment of few or common words gets none.  Budget 0 is met by equal segments, budget 1 also by a
+segment with one word left out on either side.  Fixed-size bit filters of the keys of each side keep
+everything that nobody asks for out of the shuffle; they have no false negatives.
 """
 
 from __future__ import annotations
@@ -26,10 +27,12 @@ from docketry.runtime import cut
 WORD = re.compile(r"[a-z0-9]+")
 #: Words in at least one of so many sets get a weight of their own: at most RARE * (mean set size) words.
 RARE = 2000
-#: Weights that a segment can be cut at, in hundredths of a nat; 1 is one word per segment.
-LEVELS = np.array([1, 100, 200, 300, 400, 500, 600, 700, 800, 900, 1000, 1150, 1300, 1500, 1750, 2000, 2400, 2800, 3300, 4000, 5000])
+#: Sets are cut alike if their sizes fall into one class; a class reaches to STEP times its least size.
+STEP = 1.2
 FILTER_BITS = 27
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
+#: Tells keys of segments without a word from others in the filters.
+_SHORT = np.int64(0x2545F4914F6CDD1D)
 
 
 class _Hashes(dict):
@@ -109,88 +112,104 @@ def word_weights(sets: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 class Segments:
-    """Segment keys of sorted sets, under one table of weights."""
+    """Keys of the segments of sorted sets.
+
+    larger: an asking set only has to meet sets of no more words than it has; else of any size.
+    """
 
     def __init__(self, words: np.ndarray, weights: np.ndarray, other: int, likeness: float, larger: bool):
         self.words, self.weights, self.other = words, weights, other
         self.rate, self.likeness, self.larger = (1 - likeness) / (1 + likeness), likeness, larger
 
-    def parts(self, n: np.ndarray) -> np.ndarray:
-        """Segments that are enough against every partner of n words; with larger, partners of no more words."""
-        most = n if self.larger else np.floor(n / self.likeness + 1e-9)
-        return np.floor(self.rate * (n + most) + 1e-9).astype(np.int64) + 1
+    def size_class(self, n: np.ndarray) -> np.ndarray:
+        return np.floor(np.log(np.maximum(n, 1)) / np.log(STEP) + 1e-9).astype(np.int64)
 
-    def prepare(self, flat: np.ndarray, offsets: np.ndarray) -> None:
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, flat), len(self.words) - 1)
-            mass = np.where(self.words[at] == flat, self.weights[at], self.other)
-        else:
-            mass = np.full(len(flat), self.other, np.int64)
-        self.mass = np.concatenate([[0], np.cumsum(np.maximum(mass, 1))])
+    def differences(self, n: np.ndarray) -> np.ndarray:
+        """Most words in which a partner that has to be met can differ."""
+        most = n if self.larger else np.floor(n / self.likeness + 1e-9)
+        return np.floor(self.rate * (n + most) + 1e-9).astype(np.int64)
+
+    def parts(self, size_class: int) -> int:
+        largest = np.array([np.ceil(STEP ** (size_class + 1))])
+        return max(1, int(np.ceil(0.55 * (self.differences(largest)[0] + 1))))
+
+    def partner_classes(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last size class of the asking sets that an answering set of n words can meet."""
+        low = n if self.larger else np.ceil(n * self.likeness - 1e-9)
+        return self.size_class(low), self.size_class(np.floor(n / self.likeness + 1e-9))
+
+    def _cells(self, flat: np.ndarray, offsets: np.ndarray, rows: np.ndarray, parts: int, size_class: int):
+        """Words of the rows with their cell (row, segment), and every cell's sum of words and name."""
+        n = np.diff(offsets)[rows]
+        total = int(n.sum())
+        at = np.arange(total) + np.repeat(offsets[rows] - (np.cumsum(n) - n), n)
+        u = flat[at].view(np.uint64) ^ np.uint64(1 << 63)
+        part = (((u >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+        cell = np.repeat(np.arange(len(rows)), n) * parts + part
         with np.errstate(over="ignore"):
-            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(flat.view(np.uint64))])
-        self.offsets = offsets
-        self.row_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-
-    def ends(self, level: int) -> np.ndarray:
-        """For every start the end of the shortest segment with the level's weight; one more than all words where there is none."""
-        e = np.searchsorted(self.mass, self.mass[:-1] + LEVELS[level])
-        return np.append(e, len(self.mass))
-
-    def key(self, start: np.ndarray, stop: np.ndarray, level: np.ndarray | int) -> np.ndarray:
+            run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(u)])
+            edge = np.searchsorted(cell, np.arange(len(rows) * parts + 1))
+            sums = run[edge[1:]] - run[edge[:-1]]
+            name = (np.tile(np.arange(parts), len(rows)) + (size_class << 32)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return at, u, cell, sums, name, edge
+
+    @staticmethod
+    def _key(sums: np.ndarray, name: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            x = self.sums[stop] - self.sums[start] + np.asarray(level).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            x = sums + name
             x ^= x >> np.uint64(33)
             x *= _MIX
             x ^= x >> np.uint64(29)
             x *= np.uint64(0xC4CEB9FE1A85EC53)
             return (x ^ (x >> np.uint64(32))).view(np.int64)
 
-    def own(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, key, level) of each row's segments, cut at the highest level that gives enough of them."""
-        n = np.diff(self.offsets)
-        need = self.parts(n)
-        rows, starts, stops, levels = [], [], [], []
-        left = np.flatnonzero(n > 0)
-        for level in range(len(LEVELS) - 1, -1, -1):
-            if not len(left):
-                break
-            # a level is possible only if the whole weight holds enough segments of it
-            whole = self.mass[self.offsets[left + 1]] - self.mass[self.offsets[left]]
-            can = left[whole >= need[left] * LEVELS[level]]
-            if not len(can):
-                continue
-            e = self.ends(level)
-            cur, stop, count = self.offsets[can].copy(), self.offsets[can + 1], np.zeros(len(can), np.int64)
-            trail = []
-            for _ in range(int(need[can].max())):
-                nxt = e[cur]
-                ok = (nxt <= stop) & (count < need[can])
-                trail.append((cur.copy(), nxt, ok))
-                count += ok
-                cur = np.where(ok, nxt, cur)
-                if not ok.any():
-                    break
-            done = count >= need[can]
-            for s, t, ok in trail:
-                m = ok & done
-                rows.append(can[m])
-                starts.append(s[m])
-                stops.append(t[m])
-                levels.append(np.full(int(m.sum()), level))
-            left = np.setdiff1d(left, can[done], assume_unique=True)
-        if not rows:
-            z = np.zeros(0, np.int64)
-            return z, z, z
-        row, start, stop, lv = map(np.concatenate, (rows, starts, stops, levels))
-        return row, self.key(start, stop, lv), lv
-
-    def every(self, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row, key) of the substring of that level at every start."""
-        e = self.ends(level)[:-1]
-        ok = e <= self.offsets[self.row_of + 1]
-        start = np.flatnonzero(ok)
-        return self.row_of[start], self.key(start, e[start], level)
+    def _slices(self, rows: np.ndarray, parts: int):
+        wide = max(1, 2_000_000 // parts)
+        for i in range(0, len(rows), wide):
+            yield rows[i : i + wide]
+
+    def asked(self, flat: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row, key, role): role 0 a segment of budget 0, 1 one of budget 1, 2 one of budget 1 with a word left out."""
+        n = np.diff(offsets)
+        kind = self.size_class(n)
+        for c in np.unique(kind[rows]):
+            parts = self.parts(int(c))
+            for some in self._slices(rows[kind[rows] == c], parts):
+                at, u, cell, sums, name, edge = self._cells(flat, offsets, some, parts, int(c))
+                words = flat[at]
+                if len(self.words):
+                    k = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+                    mass = np.where(self.words[k] == words, self.weights[k], self.other) / 100
+                else:
+                    mass = np.full(len(words), self.other / 100)
+                run = np.concatenate([[0.0], np.cumsum(mass)])
+                back = np.concatenate([[0.0], np.cumsum(np.exp(np.minimum(mass, 12.0)))])
+                typical = np.repeat(n[some] / parts, parts)
+                equal = run[edge[1:]] - run[edge[:-1]] + typical  # -log of the chance of an equal segment
+                near = equal - np.log1p(back[edge[1:]] - back[edge[:-1]] + typical)
+                # the k + 1 cheapest steps; the second step of a segment is never cheaper than its first
+                rank = np.argsort(np.argsort(-np.concatenate([equal.reshape(len(some), parts), np.minimum(near, equal - 1e-6).reshape(len(some), parts)], 1), axis=1, kind="stable"), axis=1)
+                chosen = rank < (self.differences(n[some]) + 1)[:, None]
+                first, second = chosen[:, :parts].ravel(), chosen[:, parts:].ravel()
+                key = self._key(sums, name)
+                full = np.flatnonzero(first)
+                yield some[full // parts], key[full], second[full].astype(np.int64)
+                w = np.flatnonzero(second[cell])
+                with np.errstate(over="ignore"):
+                    yield some[cell[w] // parts], self._key(sums[cell[w]] - u[w], name[cell[w]]), np.full(len(w), 2)
+
+    def answered(self, flat: np.ndarray, offsets: np.ndarray, rows: np.ndarray, short: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row, key, role): role 3 a segment, 4 one with a word left out; for each class of asking sets it can meet."""
+        n = np.diff(offsets)
+        low, high = self.partner_classes(n)
+        for c in range(int(low[rows].min()) if len(rows) else 0, (int(high[rows].max()) if len(rows) else -1) + 1):
+            parts = self.parts(c)
+            for some in self._slices(rows[(low[rows] <= c) & (high[rows] >= c)], parts):
+                _, u, cell, sums, name, _ = self._cells(flat, offsets, some, parts, c)
+                yield np.repeat(some, parts), self._key(sums, name), np.full(len(sums), 3)
+                if short:
+                    with np.errstate(over="ignore"):
+                        yield some[cell // parts], self._key(sums[cell] - u, name[cell]), np.full(len(u), 4)
 
 
 def _lists(b: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -199,88 +218,173 @@ def _lists(b: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     return c.values.to_numpy()[off[0] : off[-1]], off - off[0]
 
 
-def known_bits(df: DataFrame, column: str) -> np.ndarray:
-    """A filter of FILTER_BITS hashed bits of the column's values, 16 MB whatever the number of rows."""
+def known_bits(df: DataFrame, column: str, least: int = 1) -> np.ndarray:
+    """A filter of two of 2^FILTER_BITS hashed bits for each value of at least so many rows; 16 MB whatever their number."""
     shift = 64 - FILTER_BITS
-    slot = F.shiftrightunsigned(column, shift + 6)
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {shift}) & 63 as int))")
-    parts = df.groupBy(slot.alias("w")).agg(F.bit_or(bit).alias("b")).toPandas()
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    bits[parts["w"].to_numpy(np.int64)] = parts["b"].to_numpy(np.int64).view(np.uint64)
-    return bits
+    both = F.explode(F.array(F.shiftrightunsigned(column, shift), F.shiftrightunsigned(F.shiftleft(column, FILTER_BITS), shift)))
+    bits = df.select(both.alias("i"))
+    if least > 1:
+        bits = bits.groupBy("i").agg(F.count("*").alias("c")).where(F.col("c") >= least)
+    bits = bits.groupBy(F.shiftright("i", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(i & 63 as int))")).alias("b"))
+
+    def pack(t: pa.Table) -> pa.Table:
+        out = np.zeros(1 << 13, np.uint64)
+        w = t.column("w").to_numpy()
+        out[w & 8191] = t.column("b").to_numpy().view(np.uint64)
+        return pa.table({"block": pa.array([int(w[0]) >> 13], pa.int64()), "bits": pa.array([out.tobytes()], pa.binary())})
+
+    blocks = bits.groupBy(F.shiftright("w", 13)).applyInArrow(pack, "block long, bits binary")
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    for r in blocks.toLocalIterator():
+        out[r["block"] << 13 : (r["block"] + 1) << 13] = np.frombuffer(r["bits"], np.uint64)
+    return out
+
+
+class Filters:
+    """Named bit filters sent to the workers, packed, as most of their bits are zero; unpacked once per worker process."""
+
+    _open: dict = {}
+
+    def __init__(self, spark: SparkSession, **filters: np.ndarray):
+        codec = pa.Codec("zstd")
+        self.sent = {n: spark.sparkContext.broadcast(codec.compress(b.tobytes(), asbytes=True)) for n, b in filters.items()}
+
+    def __getitem__(self, name: str) -> np.ndarray:
+        sent = self.sent[name]
+        if sent.id not in self._open:
+            while len(self._open) > 8:
+                self._open.pop(next(iter(self._open)))
+            self._open[sent.id] = np.frombuffer(pa.Codec("zstd").decompress(sent.value, 8 << (FILTER_BITS - 6), asbytes=True), np.uint64)
+        return self._open[sent.id]
+
+    def __contains__(self, name: str) -> bool:
+        return name in self.sent
+
+    def __getstate__(self):
+        return {k: _Sent(b) for k, b in self.sent.items()}
+
+    def __setstate__(self, state):
+        self.sent = state
+
+    def destroy(self) -> None:
+        for b in self.sent.values():
+            b.destroy()
+
+
+class _Sent:
+    """A broadcast and its number, which names it in a worker."""
+
+    def __init__(self, broadcast):
+        self.broadcast, self.id = broadcast, broadcast._jbroadcast.id()
+
+    def __getstate__(self):
+        return self.broadcast, self.id
+
+    def __setstate__(self, state):
+        self.broadcast, self.id = state
+
+    @property
+    def value(self):
+        return self.broadcast.value
 
 
 def maybe_in(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    u = values.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
-    return (bits[(u >> np.uint64(6)).astype(np.int64)] >> (u & np.uint64(63))) & np.uint64(1) == 1
+    shift, v = np.uint64(64 - FILTER_BITS), values.view(np.uint64)
+    out = np.ones(len(v), bool)
+    for u in (v >> shift, (v << np.uint64(FILTER_BITS)) >> shift):
+        out &= (bits[(u >> np.uint64(6)).astype(np.int64)] >> (u & np.uint64(63))) & np.uint64(1) == 1
+    return out
 
 
 def sets_of(sets: DataFrame, ids: DataFrame) -> DataFrame:
     """One row (id, words) for each of the ids; the filter spares the shuffle of all other sets."""
-    bits = sets.sparkSession.sparkContext.broadcast(known_bits(ids, "id"))
+    held = Filters(sets.sparkSession, ids=known_bits(ids, "id"))
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array(maybe_in(bits.value, b.column("id").to_numpy())))
+            yield b.filter(pa.array(maybe_in(held["ids"], b.column("id").to_numpy())))
 
     near = sets.select("id", "words").mapInArrow(likely, "id long, words array<long>")
-    return near.join(ids.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.first("words").alias("words"))
+    out = cut(near.join(ids.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.first("words").alias("words")), "needed")
+    held.destroy()
+    return out
 
 
-def segment_keys(sets: DataFrame, likeness: float, ask: str | None = None, answer: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(keys, asked): keys (key, id, n, sig, asks) holds the segments of sets that ask and the substrings of sets that answer.
+def segment_keys(sets: DataFrame, likeness: float, ask: str | None = None, answer: str | None = None) -> DataFrame:
+    """(key, id, n, sig, role) of the segments that may meet one of another set.
 
-    ask and answer name BOOLEAN columns; None means that every set does both, and then a segment
-    only has to meet sets of no more words, as the other case is found from the other side.  Rows
-    with asks are segments, the others substrings; a set's own segment serves as both.  Equal sets
-    give equal rows, which are merged before and after the shuffle.  asked: every segment's key.
+    ask and answer name BOOLEAN columns; None means that every set does both, and then a set only
+    asks for sets of no more words, as the other case is found from the other side.  Roles: 0 an
+    asked segment to be met by an equal one, 1 by one that is equal or has one word more, 2 an asked
+    one without one of its words; 3 an answering segment, 4 one without one of its words.  Pairs to
+    look at are those of equal key with roles (0, 3), (1, 3), (1, 4) and (2, 3).  Equal sets within
+    a batch give their rows once.  Where every set does both, its own segments always meet; they
+    are kept only if the filters have seen such a segment twice.
     """
     spark: SparkSession = sets.sparkSession
     both = ask is None
-    words, weights, other = word_weights(sets)
-    make = spark.sparkContext.broadcast((words, weights, other))
-
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seg = Segments(*make.value, likeness, both)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 4000):
-                seg.prepare(*_lists(whole.slice(at, 4000), "words"))
-                _, key, level = seg.own()
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(level.astype(np.int32))], ["key", "level"])
-
-    asking = sets if both else sets.where(ask)
-    mine = cut(asking.select("words").mapInArrow(asked, "key long, level int"), "asked")
-    used = sorted(r["level"] for r in mine.select("level").distinct().collect())
-    held = spark.sparkContext.broadcast(known_bits(mine, "key"))
+    make = spark.sparkContext.broadcast((*word_weights(sets), likeness, both))
+    flags = [F.lit(True).alias("asks"), F.lit(True).alias("answers")] if both else [F.col(ask).alias("asks"), F.col(answer).alias("answers")]
+    rows = sets.select("id", "n", "sig", *flags, "words")
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seg = Segments(*make.value, likeness, both)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 4000):
-                b = whole.slice(at, 4000)
-                seg.prepare(*_lists(b, "words"))
-                asks, answers = (b.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "answers"))
-                row, key, _ = seg.own()
-                keep = asks[row]
-                rows, keys, kinds = [row[keep]], [key[keep]], [np.ones(int(keep.sum()), bool)]
-                for level in used:
-                    r, x = seg.every(level)
-                    ok = maybe_in(held.value, x) & answers[r]
-                    rows.append(r[ok])
-                    keys.append(x[ok])
-                    kinds.append(np.zeros(int(ok.sum()), bool))
-                row, key, kind = map(np.concatenate, (rows, keys, kinds))
-                if both:
-                    order = np.lexsort((~kind, key, row))
-                    row, key, kind = row[order], key[order], kind[order]
-                    new = np.ones(len(row), bool)
-                    new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
-                    row, key, kind = row[new], key[new], kind[new]
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(key), *(b.column(c).take(take) for c in ("id", "n", "sig")), pa.array(kind)], ["key", "id", "n", "sig", "asks"])
+    def once(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(word hashes, offsets, asking rows, answering rows), the first row of every set only."""
+        ident, asks, answers = (b.column(c).to_numpy(zero_copy_only=False) for c in ("id", "asks", "answers"))
+        only = lambda m: (i := np.flatnonzero(m))[np.sort(np.unique(ident[i], return_index=True)[1])]
+        return *_lists(b, "words"), only(asks), only(answers)
 
-    flags = [F.lit(True).alias("asks"), F.lit(True).alias("answers")] if both else [F.col(ask).alias("asks"), F.col(answer).alias("answers")]
-    rows = sets.select("id", "n", "sig", "words", *flags).mapInArrow(emit, "key long, id long, n int, sig long, asks boolean")
+    def asked_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seg = Segments(*make.value)
+        for b in batches:
+            flat, offsets, asks, _ = once(b)
+            for _, key, role in seg.asked(flat, offsets, asks):
+                full = np.concatenate([np.ones(len(key), bool), np.zeros(int((role == 1).sum()), bool)])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([key, key[role == 1] ^ _SHORT])), pa.array(full)], ["key", "plain"])
+
+    def answered_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seg, asked = Segments(*make.value), held["asked"]
+        for b in batches:
+            flat, offsets, _, answers = once(b)
+            for _, key, role in seg.answered(flat, offsets, answers):
+                key = np.where(role == 4, key ^ _SHORT, key)
+                yield pa.RecordBatch.from_arrays([pa.array(key[maybe_in(asked, key)])], ["key"])
+
+    mine = rows.mapInArrow(asked_keys, "key long, plain boolean").select("key")
+    held = first = Filters(spark, asked=known_bits(mine, "key"))
+    theirs = rows.mapInArrow(answered_keys, "key long")
+    more = {"answered": known_bits(theirs, "key")}
     if both:
-        return rows.groupBy("key", "id").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.max("asks").alias("asks")), mine
-    return rows.groupBy("key", "id", "asks").agg(F.first("n").alias("n"), F.first("sig").alias("sig")), mine
+        more |= {"asked_twice": known_bits(mine, "key", 2), "answered_twice": known_bits(theirs, "key", 2)}
+    second = Filters(spark, **more)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seg = Segments(*make.value)
+        asked, answered = first["asked"], second["answered"]
+        for b in batches:
+            flat, offsets, asks, answers = once(b)
+            own = []
+
+            def pack(row: np.ndarray, key: np.ndarray, role: np.ndarray, ok: np.ndarray, b=b) -> pa.RecordBatch:
+                take = pa.array(row[ok])
+                return pa.RecordBatch.from_arrays([pa.array(key[ok]), *(b.column(c).take(take) for c in ("id", "n", "sig")), pa.array(role[ok].astype(np.int8))], ["key", "id", "n", "sig", "role"])
+
+            for row, key, role in seg.asked(flat, offsets, asks):
+                ok = maybe_in(answered, key)
+                if both:
+                    own.append((row * 0x5851F42D4C957F2D) ^ key)
+                    ok &= (role == 2) | maybe_in(second["answered_twice"], key)
+                yield pack(row, key, role, ok | ((role == 1) & maybe_in(answered, key ^ _SHORT)))
+            own = np.unique(np.concatenate(own)) if own else np.zeros(0, np.int64)
+            for row, key, role in seg.answered(flat, offsets, answers):
+                ok = maybe_in(asked, np.where(role == 4, key ^ _SHORT, key))
+                if both and len(own):
+                    at = np.flatnonzero(ok & (role == 3))
+                    mark = (row[at] * 0x5851F42D4C957F2D) ^ key[at]
+                    self_met = own[np.minimum(np.searchsorted(own, mark), len(own) - 1)] == mark
+                    ok[at[self_met]] = maybe_in(second["asked_twice"], key[at[self_met]])
+                yield pack(row, key, role, ok)
+
+    out = cut(rows.mapInArrow(emit, "key long, id long, n int, sig long, role byte"), "keys")
+    first.destroy()
+    second.destroy()
+    return out
