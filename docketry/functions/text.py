@@ -7,15 +7,16 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Unicode compatibility form; Spark has no expression for it."""
     return s.map(lambda x: None if x is None else x if x.isascii() else unicodedata.normalize("NFKC", x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else x if x.isascii() else unicodedata.normalize("NFC", x))
 
@@ -132,7 +133,7 @@ def canonical_id(prefix: str, fields: dict[str, Column]) -> Column:
     import hashlib
     import json
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def digest(rows: pd.DataFrame) -> pd.Series:
         out = []
         for r in rows.to_dict("records"):

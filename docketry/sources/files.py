@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DOC = T.StructType.fromDDL("schema_version string, doc_id string, source_uri string, retrieved_at string, raw_text string, meta map<string,string>")
+DOC = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("schema_version", "doc_id", "source_uri", "retrieved_at", "raw_text")] + [T.StructField("meta", T.MapType(T.StringType(), T.StringType()))]
+)
 FEED_FIELDS = ["id", "title", "link", "published", "summary"]
 #: Companies with known news feeds.
 FEED_TICKERS = ["AAPL", "MSFT", "GOOGL", "AMZN", "META", "NVDA"]
