@@ -218,25 +218,50 @@ def _lists(b: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     return c.values.to_numpy()[off[0] : off[-1]], off - off[0]
 
 
-def known_bits(df: DataFrame, column: str, least: int = 1) -> np.ndarray:
-    """A filter of two of 2^FILTER_BITS hashed bits for each value of at least so many rows; 16 MB whatever their number."""
-    shift = 64 - FILTER_BITS
-    both = F.explode(F.array(F.shiftrightunsigned(column, shift), F.shiftrightunsigned(F.shiftleft(column, FILTER_BITS), shift)))
-    bits = df.select(both.alias("i"))
-    if least > 1:
-        bits = bits.groupBy("i").agg(F.count("*").alias("c")).where(F.col("c") >= least)
-    bits = bits.groupBy(F.shiftright("i", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(i & 63 as int))")).alias("b"))
-
-    def pack(t: pa.Table) -> pa.Table:
-        out = np.zeros(1 << 13, np.uint64)
-        w = t.column("w").to_numpy()
-        out[w & 8191] = t.column("b").to_numpy().view(np.uint64)
-        return pa.table({"block": pa.array([int(w[0]) >> 13], pa.int64()), "bits": pa.array([out.tobytes()], pa.binary())})
-
-    blocks = bits.groupBy(F.shiftright("w", 13)).applyInArrow(pack, "block long, bits binary")
-    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    for r in blocks.toLocalIterator():
-        out[r["block"] << 13 : (r["block"] + 1) << 13] = np.frombuffer(r["bits"], np.uint64)
+def _slots(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of every value."""
+    shift, v = np.uint64(64 - FILTER_BITS), values.view(np.uint64)
+    return v >> shift, (v << np.uint64(FILTER_BITS)) >> shift
+
+
+def bit_filters(df: DataFrame, keys) -> tuple[np.ndarray, np.ndarray]:
+    """(once, twice): filters of two of 2^FILTER_BITS hashed bits for each key, and of those set more than once.
+
+    keys: from a record batch, arrays of 64-bit keys.  A task sets the bits of its rows in 32 MB of
+    its own and hands on the blocks that are not empty, packed; 16 MB come back, whatever the rows.
+    """
+    words, size = 1 << (FILTER_BITS - 6), 1 << 13
+    codec = lambda: pa.Codec("zstd")
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once, twice = np.zeros(words, np.uint64), np.zeros(words, np.uint64)
+        for b in batches:
+            for key in keys(b):
+                for slot in _slots(key):
+                    slot, times = np.unique(slot, return_counts=True)
+                    word, bit = (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63))
+                    again = (times > 1) | (once[word] & bit != 0)
+                    np.bitwise_or.at(twice, word[again], bit[again])
+                    np.bitwise_or.at(once, word, bit)
+        for i in range(words // size):
+            o, t = once[i * size : (i + 1) * size], twice[i * size : (i + 1) * size]
+            if o.any():
+                packed = [pa.array([codec().compress(x.tobytes(), asbytes=True)], pa.binary()) for x in (o, t)]
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), *packed], ["block", "once", "twice"])
+
+    def merge(t: pa.Table) -> pa.Table:
+        once, twice = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
+        for x, y in zip(t.column("once").to_pylist(), t.column("twice").to_pylist()):
+            o, w = (np.frombuffer(codec().decompress(z, 8 * size, asbytes=True), np.uint64) for z in (x, y))
+            twice |= w | (once & o)
+            once |= o
+        return pa.table({"block": t.column("block")[:1], **{n: pa.array([codec().compress(x.tobytes(), asbytes=True)], pa.binary()) for n, x in (("once", once), ("twice", twice))}})
+
+    shape = "block int, once binary, twice binary"
+    out = np.zeros(words, np.uint64), np.zeros(words, np.uint64)
+    for r in df.mapInArrow(local, shape).groupBy("block").applyInArrow(merge, shape).toLocalIterator():
+        for side, packed in zip(out, (r["once"], r["twice"])):
+            side[r["block"] * size : (r["block"] + 1) * size] = np.frombuffer(codec().decompress(bytes(packed), 8 * size, asbytes=True), np.uint64)
     return out
 
 
@@ -289,16 +314,15 @@ class _Sent:
 
 
 def maybe_in(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    shift, v = np.uint64(64 - FILTER_BITS), values.view(np.uint64)
-    out = np.ones(len(v), bool)
-    for u in (v >> shift, (v << np.uint64(FILTER_BITS)) >> shift):
+    out = np.ones(len(values), bool)
+    for u in _slots(values):
         out &= (bits[(u >> np.uint64(6)).astype(np.int64)] >> (u & np.uint64(63))) & np.uint64(1) == 1
     return out
 
 
 def sets_of(sets: DataFrame, ids: DataFrame) -> DataFrame:
     """One row (id, words) for each of the ids; the filter spares the shuffle of all other sets."""
-    held = Filters(sets.sparkSession, ids=known_bits(ids, "id"))
+    held = Filters(sets.sparkSession, ids=bit_filters(ids.select("id"), lambda b: [b.column("id").to_numpy()])[0])
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -333,29 +357,23 @@ def segment_keys(sets: DataFrame, likeness: float, ask: str | None = None, answe
         only = lambda m: (i := np.flatnonzero(m))[np.sort(np.unique(ident[i], return_index=True)[1])]
         return *_lists(b, "words"), only(asks), only(answers)
 
-    def asked_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seg = Segments(*make.value)
-        for b in batches:
-            flat, offsets, asks, _ = once(b)
-            for _, key, role in seg.asked(flat, offsets, asks):
-                full = np.concatenate([np.ones(len(key), bool), np.zeros(int((role == 1).sum()), bool)])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([key, key[role == 1] ^ _SHORT])), pa.array(full)], ["key", "plain"])
-
-    def answered_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seg, asked = Segments(*make.value), held["asked"]
-        for b in batches:
-            flat, offsets, _, answers = once(b)
-            for _, key, role in seg.answered(flat, offsets, answers):
-                key = np.where(role == 4, key ^ _SHORT, key)
-                yield pa.RecordBatch.from_arrays([pa.array(key[maybe_in(asked, key)])], ["key"])
-
-    mine = rows.mapInArrow(asked_keys, "key long, plain boolean").select("key")
-    held = first = Filters(spark, asked=known_bits(mine, "key"))
-    theirs = rows.mapInArrow(answered_keys, "key long")
-    more = {"answered": known_bits(theirs, "key")}
-    if both:
-        more |= {"asked_twice": known_bits(mine, "key", 2), "answered_twice": known_bits(theirs, "key", 2)}
-    second = Filters(spark, **more)
+    def asked_keys(b: pa.RecordBatch) -> Iterator[np.ndarray]:
+        flat, offsets, asks, _ = once(b)
+        for _, key, role in Segments(*make.value).asked(flat, offsets, asks):
+            yield key
+            yield key[role == 1] ^ _SHORT
+
+    def answered_keys(b: pa.RecordBatch) -> Iterator[np.ndarray]:
+        flat, offsets, _, answers = once(b)
+        asked = first["asked"]
+        for _, key, role in Segments(*make.value).answered(flat, offsets, answers):
+            key = np.where(role == 4, key ^ _SHORT, key)
+            yield key[maybe_in(asked, key)]
+
+    mine = bit_filters(rows, asked_keys)
+    first = Filters(spark, asked=mine[0])
+    theirs = bit_filters(rows, answered_keys)
+    second = Filters(spark, answered=theirs[0], **({"asked_twice": mine[1], "answered_twice": theirs[1]} if both else {}))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seg = Segments(*make.value)
