@@ -26,6 +26,8 @@ from docketry.runtime import blank_to_null, cut, effective_case_id, table
 BUCKETS, DIMENSIONS, NEIGHBOURS = 1 << 16, 48, 64
 #: Walks from every record, tokens of a walk, hyperplane tables over names and over everything else.
 WALKS, STEPS, NAME_TABLES, OTHER_TABLES = 2, 4, 24, 12
+#: Least cosine, of names or of other attributes, at which a pair's evidence is weighed.
+NAME_COSINE, OTHER_COSINE = 0.6, 0.6
 
 
 def tokens_of(name: str | None, seat: str | None, line: str | None, people: list[str]) -> tuple[list[int], list[int]]:
@@ -105,31 +107,57 @@ def record_vectors(lists, vectors: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
-def _codes(shared, bits: int):
+def _vectors(shared):
+    """Both vectors of every record in whole numbers of 1 / 127."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vectors, idf = shared.value
+        for b in batches:
+            out = {"rid": b["rid"]}
+            for column in ("own", "other"):
+                v = np.round(record_vectors(b[column].tolist(), vectors, idf) * 127).astype(np.int8)
+                out["v_" + column] = [x.tobytes() for x in v]
+            yield pd.DataFrame(out)
+
+    return run
+
+
+def _matrix(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.int8).reshape(-1, DIMENSIONS).astype(np.float32)
+
+
+def _codes(bits: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         planes = np.random.default_rng(5).normal(size=(NAME_TABLES + OTHER_TABLES, bits, DIMENSIONS)).astype(np.float32)
         weight = 1 << np.arange(bits, dtype=np.int64)
         for b in batches:
-            out = []
-            for column, first, last in (("own", 0, NAME_TABLES), ("other", NAME_TABLES, NAME_TABLES + OTHER_TABLES)):
-                some = np.array([len(x) > 0 for x in b[column]], bool)
-                v = record_vectors(b[column][some].tolist(), vectors, idf)
-                rid = b["rid"].to_numpy()[some]
+            for column, first, last in (("v_own", 0, NAME_TABLES), ("v_other", NAME_TABLES, NAME_TABLES + OTHER_TABLES)):
+                v = _matrix(b[column])
+                some = np.any(v != 0, axis=1)
                 for t in range(first, last):
-                    out.append(pd.DataFrame({"rid": rid, "t": t, "code": ((v @ planes[t].T) > 0) @ weight}))
-            yield pd.concat(out) if out else pd.DataFrame({"rid": [], "t": [], "code": []})
+                    yield pd.DataFrame({"rid": b["rid"].to_numpy()[some], "t": np.int32(t), "code": ((v[some] @ planes[t].T) > 0) @ weight})
 
     return run
 
 
-def hyperplane_candidates(left: DataFrame, right: DataFrame, shared, bits: int) -> DataFrame:
+def hyperplane_candidates(left: DataFrame, right: DataFrame, bits: int) -> DataFrame:
     """(lid, rid): pairs of a left and a right record that share a code in one of the tables."""
-    a = left.mapInPandas(_codes(shared, bits), "rid long, t int, code long").withColumnRenamed("rid", "lid")
-    b = right.mapInPandas(_codes(shared, bits), "rid long, t int, code long")
+    a = left.mapInPandas(_codes(bits), "rid long, t int, code long").withColumnRenamed("rid", "lid")
+    b = right.mapInPandas(_codes(bits), "rid long, t int, code long")
     return a.join(b, ["t", "code"]).select("lid", "rid").distinct()
 
 
+def _cosines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Exact cosines of pairs; keeps those near by name or by everything else."""
+    for b in batches:
+        cos = []
+        for x, y in (("l_own", "r_own"), ("l_other", "r_other")):
+            u, v = _matrix(b[x]), _matrix(b[y])
+            cos.append((u * v).sum(1) / np.maximum(np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1), 1e-6))
+        near = (cos[0] >= NAME_COSINE) | (cos[1] >= OTHER_COSINE)
+        yield pd.DataFrame({"lid": b["lid"], "rid": b["rid"], "cosine": cos[0].astype(float)})[near]
+
+
 def _seat(s: str) -> tuple[list[str], str]:
     """(words of the city, region) of a seat as typed; both may be one."""
     p = re.split(r"[,(]", plain(s), maxsplit=1)
@@ -145,6 +173,9 @@ def name_evidence(case: tuple[list[str], list[str], str], core: list[str]) -> fl
         return 1.5 + (4.0 if any(word_agrees(t, core[0]) >= 1 for t in trade) else 0.0)
     if not words:
         return -1.0
+    # a first letter and an ending are seldom both mistyped, unless words ran together
+    if not any(w[0] == core[0][0] or w[-3:] == core[0][-3:] for w in words):
+        return -6.0
     free, score = list(words), 0.0
     whole, mine = "".join(core), "".join(words)
     if len(words) < len(core) and len(whole) > 8 and bounded_distance(whole, mine, 2) <= 2:
@@ -200,24 +231,19 @@ def other_evidence(seat: str | None, line: str | None, line_sector: str | None,
     return score
 
 
-def _score(shared):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vectors, idf = shared.value
-        for b in batches:
-            cos = (record_vectors(b["own"].tolist(), vectors, idf) * record_vectors(b["c_own"].tolist(), vectors, idf)).sum(1)
-            cases: dict = {}
-            cores: dict = {}
-            out = []
-            for name, seat, line, sector, officer, names, seats, sectors, industries, people in zip(*(b[c] for c in ("name", "seat", "line", "line_sector", "officer", "names", "seats", "sectors", "industries", "people"))):
-                if name not in cases:
-                    cases[name] = company_core(name)
-                own = max((name_evidence(cases[name], cores.setdefault(n, company_core(n)[0])) for n in names), default=-9.0)
-                other = other_evidence(seat, line, sector, person_parts(officer), list(seats), list(sectors), list(industries), list(people)) if own > -4 else 0.0
-                out.append((own, other))
-            own, other = zip(*out) if out else ((), ())
-            yield pd.DataFrame({"lid": b["lid"], "rid": b["rid"], "cosine": cos, "own": own, "other": other})
+def _own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Evidence of the names alone; keeps pairs that other evidence could still decide."""
+    for b in batches:
+        own = [max((name_evidence(company_core(name), company_core(n)[0]) for n in names), default=-9.0) for name, names in zip(b["name"], b["names"])]
+        out = pd.DataFrame({"lid": b["lid"], "rid": b["rid"], "cosine": b["cosine"], "own": np.array(own, float)})
+        yield out[out["own"] > -4]
 
-    return run
+
+def _other(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        columns = zip(*(b[c] for c in ("seat", "line", "line_sector", "officer", "seats", "sectors", "industries", "people")))
+        other = [other_evidence(seat, line, sector, person_parts(officer), list(seats), list(sectors), list(industries), list(people)) for seat, line, sector, officer, seats, sectors, industries, people in columns]
+        yield pd.DataFrame({"lid": b["lid"], "rid": b["rid"], "cosine": b["cosine"], "own": b["own"], "other": np.array(other, float)})
 
 
 def calibrate(pairs: DataFrame) -> tuple[float, float]:
@@ -282,13 +308,20 @@ def match_companies(left: DataFrame, right: DataFrame, heard: DataFrame | None =
     b = cut(rights.select("rid", "names", "seats", F.concat("sectors", "industries").alias("lines"), "people").mapInPandas(_tokenize, shape), "tokens")
     graph = a.unionByName(b).select("rid", F.array_union("own", "other").alias("toks"))
     shared = spark.sparkContext.broadcast(train_vectors(cut(graph, "graph")))
-    bits = max(4, int(np.ceil(np.log2(max(b.count(), 2)))))
-    pairs = cut(hyperplane_candidates(a, b, shared, bits), "candidates")
+    bits = max(4, int(np.ceil(np.log2(max(b.count(), 2)))) + 2)
+    la, rb = (cut(x.mapInPandas(_vectors(shared), "rid long, v_own binary, v_other binary"), "vectors") for x in (a, b))
+    shared.destroy()
+    met = hyperplane_candidates(la, rb, bits)
+    met = met.join(la.toDF("lid", "l_own", "l_other"), "lid").join(rb.toDF("rid", "r_own", "r_other"), "rid")
+    pairs = cut(met.mapInPandas(_cosines, "lid long, rid long, cosine double"), "pairs")
     sector = rights.select(F.explode("industries").alias("i"), "sectors").select(F.lower("i").alias("i"), F.explode("sectors").alias("line_sector")).groupBy("i").agg(F.mode("line_sector", True).alias("line_sector"))
     known = lefts.withColumn("i", F.regexp_replace(F.lower("line"), "^maker of ", "")).join(sector, "i", "left")
-    full = pairs.join(known.select("lid", "key", "name", "seat", "line", "line_sector", "officer"), "lid").join(a.select(F.col("rid").alias("lid"), "own"), "lid")
-    full = full.join(rights, "rid").join(b.select("rid", F.col("own").alias("c_own")), "rid")
-    scored = full.mapInPandas(_score(shared), "lid long, rid long, cosine double, own double, other double")
+    # the evidence is work for the processor: as many tasks as shuffles have, however few the bytes
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    named = pairs.join(known.select("lid", "name"), "lid").join(rights.select("rid", "names"), "rid").repartition(tasks, "lid", "rid")
+    alike = cut(named.mapInPandas(_own, "lid long, rid long, cosine double, own double"), "alike")
+    full = alike.join(known.select("lid", "seat", "line", "line_sector", "officer"), "lid").join(rights.drop("names", "ticker"), "rid").repartition(tasks, "lid", "rid")
+    scored = full.mapInPandas(_other, "lid long, rid long, cosine double, own double, other double")
     scored = scored.join(lefts.select("lid", "key"), "lid").join(rights.select("rid", "ticker"), "rid")
     if heard is not None:
         scored = scored.join(heard, ["key", "ticker"], "left").withColumn("other", F.col("other") + 1.5 * F.least(F.coalesce("n", F.lit(0)), F.lit(3)))
