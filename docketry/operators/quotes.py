@@ -146,12 +146,14 @@ def docket_index(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def find_start(text: Column, needle: Column) -> Column:
-    """0-based place of needle in text: as it is, else in any letter case, else with any white space; -1 if nowhere."""
-    exact = F.locate(needle, text) if isinstance(needle, str) else F.call_function("locate", needle, text)
-    folded = F.call_function("locate", F.lower(needle), F.lower(text))
+    """0-based place of needle in text: as it is, else in any letter case, else with any white space; null if nowhere.
+
+    Each way is tried only where the ones before failed.
+    """
+    place = lambda c: F.nullif(c, F.lit(0)) - 1
     escaped = F.regexp_replace(F.regexp_replace(strip(needle), r"([\\\[\](){}.*+?^$|#&~-])", r"\\$1"), r"(?U)\s+", r"\\s+")
-    loose = F.regexp_instr(text, F.concat(F.lit("(?iU)"), escaped))
-    return F.coalesce(F.when(F.length(strip(needle)) == 0, -1).when(exact > 0, exact - 1).when(folded > 0, folded - 1).when(loose > 0, loose - 1), F.lit(-1))
+    ways = (F.call_function("locate", needle, text), F.call_function("locate", F.lower(needle), F.lower(text)), F.regexp_instr(text, F.concat(F.lit("(?iU)"), escaped)))
+    return F.when(F.length(strip(needle)) > 0, F.coalesce(*[place(w) for w in ways]))
 
 
 def quote_positions(quotes: DataFrame, index: DataFrame, text: str = "text") -> DataFrame:
@@ -159,12 +161,11 @@ def quote_positions(quotes: DataFrame, index: DataFrame, text: str = "text") ->
     known = index.select("doc_id", F.col(text).alias("_d"), "docket_number", "chars_before", "tokens_before")
     q = quotes.join(known, "doc_id", "left")
     needle = strip(F.coalesce(F.col("text"), F.lit("")))
-    by_context = find_start(F.col("_d"), F.col("context"))
-    inside = F.call_function("locate", needle, F.col("context"))
-    direct = find_start(F.col("_d"), needle)
-    start = F.when(direct >= 0, direct).when((by_context >= 0) & (inside > 0), by_context + inside - 1).otherwise(-1)
-    error = F.when(F.col("docket_number").isNull(), "Docket not found for doc_id").when(F.coalesce(F.length("text"), F.lit(0)) == 0, "Empty quote text").when(start < 0, "Low confidence match")
-    q = q.withColumn("feature_error", error).withColumn("_s", F.when(error.isNull(), start))
+    inside = F.nullif(F.call_function("locate", needle, F.col("context")), F.lit(0)) - 1
+    start = F.coalesce(find_start(F.col("_d"), needle), inside + find_start(F.col("_d"), F.col("context")))
+    q = q.withColumn("_s", start)
+    error = F.when(F.col("docket_number").isNull(), "Docket not found for doc_id").when(F.coalesce(F.length("text"), F.lit(0)) == 0, "Empty quote text").when(F.col("_s").isNull(), "Low confidence match")
+    q = q.withColumn("feature_error", error).withColumn("_s", F.when(error.isNull(), F.col("_s")))
     ahead = F.size(tokens(F.substr("_d", F.lit(1), F.col("_s"))))
     keep = [c for c in quotes.columns]
     found = F.col("_s").isNotNull()
