@@ -174,3 +174,19 @@ def eligible_count(c: Column, per_person: float | None = 175) -> Column:
     nums = F.filter(F.transform(F.regexp_extract_all(c, F.lit(r"\$?([\d,]+(?:\.\d+)?)"), F.lit(1)), number), lambda x: x.isNotNull())
     ranked = F.sort_array(nums, False)
     return F.floor(F.array_max(nums) / (F.lit(float(per_person)) if per_person is not None else F.get(ranked, F.lit(1)))).cast("long")
+
+
+PERCENTAGE = r"(?i)\b(?:\d+(?:\.\d+)?\s*%|\d+(?:\.\d+)?\s*percent|\d+(?:\.\d+)?\s*per\s+cent)\s+(?:of\s+(?:the\s+)?(?:\$[\d,]+(?:\.\d+)?(?:\s*(?:million|billion|thousand))?|\d+(?:\.\d+)?\s*(?:million|billion|thousand)\s*(?:dollars?)?|settlement\s+fund|total\s+fund|common\s+fund|escrow\s+account))\b"
+
+
+def percentages(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Percentages of an amount or a fund: percent, base and the total that they imply.
+
+    Kept as it always was: the base is the first number of the phrase, so the percentage itself.
+    """
+    rest = [c for c in docs.columns if c != text]
+    m = docs.select(*rest, F.explode(matches(F.col(text), PERCENTAGE)).alias("m")).select(*rest, F.col("m.text").alias("raw_text"), F.col("m.start").cast("int").alias("start"))
+    low = F.lower("raw_text")
+    scale = F.when(low.contains("million"), 1e6).when(low.contains("billion"), 1e9).when(low.contains("thousand"), 1e3).otherwise(1.0)
+    m = m.withColumn("percent", number(F.regexp_extract("raw_text", r"(?i)(\d+(?:\.\d+)?)\s*(?:%|percent|per\s+cent)", 1))).withColumn("base", number(F.regexp_extract("raw_text", r"\$?([\d,]+(?:\.\d+)?)", 1)) * scale)
+    return m.withColumn("implied_total", F.when(F.col("percent") > 0, F.col("base") / (F.col("percent") / 100)))

@@ -151,3 +151,15 @@ def coverage(candidates: DataFrame, truth: DataFrame, k: int = 5) -> DataFrame:
     near = F.abs(F.col("value") - F.col("truth")) <= F.greatest(F.lit(0.01), 1e-4 * F.greatest(F.abs("value"), F.abs("truth")))
     joined = candidates.withColumn("r", F.row_number().over(order)).join(truth, "case_id")
     return joined.groupBy("case_id").agg(F.count("*").alias("candidates"), F.avg(F.when(F.col("r") <= k, F.col("feature_votes"))).alias("mean_top_votes"), F.coalesce(F.bool_or(near), F.lit(False)).alias("hit"))
+
+
+def definitively_dismissed(docs: DataFrame, text: str = "text", at: float = 0.5) -> DataFrame:
+    """(case_id, is_dismissed): share of files with dismissal words, orders and judgments counting three times.
+
+    docs: case_id, file_name and a line's text.  Lines of a file count until its first hit.
+    """
+    hit = F.greatest(*[F.col(text).rlike(rf"(?id)\b{p}\b").cast("int") for p in P.DISMISSAL])
+    weight = F.when(F.lower("file_name").rlike("order|judgment|ruling|decision"), 3.0).otherwise(1.0)
+    files = docs.where(F.length(text) > 0).groupBy("case_id", "file_name").agg(F.max(hit).alias("hit"), F.count("*").alias("lines"), F.first(weight).alias("w"))
+    total = F.sum(F.when(F.col("hit") == 1, F.col("w")).otherwise(F.col("w") * F.col("lines")))
+    return files.groupBy("case_id").agg((F.sum(F.col("hit") * F.col("w")) / total >= at).alias("is_dismissed"))

@@ -174,6 +174,18 @@ def calculated_amounts(spark, folder):
     return A.calculated_amounts(_texts(spark, folder)).drop("raw_text")
 
 
+@query("percentages")
+def percentages(spark, folder):
+    """Percentages of amounts and funds with the total they imply."""
+    return A.percentages(_texts(spark, folder))
+
+
+@query("definitely_dismissed")
+def definitely_dismissed(spark, folder):
+    docs = _texts(spark, folder)
+    return C.definitively_dismissed(docs.select(C.case_prefix(F.col("doc_id")).alias("case_id"), F.col("doc_id").alias("file_name"), "text"))
+
+
 @query("smart_sums")
 def smart_sums(spark, folder):
     return A.smart_sums(_texts(spark, folder))
