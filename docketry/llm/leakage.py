@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry.llm.setjoin import segment_keys, sets_of, word_sets
-from docketry.runtime import cut, effective_case_id, table
+from docketry.runtime import cut, drop_cut, effective_case_id, table
 
 
 def banded_distance(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, band: int) -> np.ndarray:
@@ -93,6 +93,7 @@ def cross_split_pairs(df: DataFrame, key: str, text: str, split: str, evaluation
     near = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= F.floor(rate * (F.col("na") + F.col("nb")) + 1e-9)
     sized = (F.col("na") >= likeness * F.col("nb") - 1e-9) & (F.col("nb") >= likeness * F.col("na") - 1e-9)
     pairs = cut(asks.join(answers, "key").where("rb = 3 or ra = 1").where(sized & near).select("ida", "idb").distinct(), "pairs")
+    drop_cut(keys)
     needed = sets_of(sets, pairs.select(F.explode(F.array("ida", "idb")).alias("id")))
     wa, wb = needed.select(F.col("id").alias("ida"), F.col("words").alias("wa")), needed.select(F.col("id").alias("idb"), F.col("words").alias("wb"))
     found = pairs.join(wa, "ida").join(wb, "idb").mapInArrow(_verify(rate), "ida long, idb long, likeness double")

@@ -29,7 +29,8 @@ WORD = re.compile(r"[a-z0-9]+")
 RARE = 2000
 #: Sets are cut alike if their sizes fall into one class; a class reaches to STEP times its least size.
 STEP = 1.2
-FILTER_BITS = 27
+#: Bits of a filter as a power of two: at least, and at most (128 MB); between them 512 for each set.
+LEAST_BITS, MOST_BITS = 24, 30
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 #: Tells keys of segments without a word from others in the filters.
 _SHORT = np.int64(0x2545F4914F6CDD1D)
@@ -218,26 +219,31 @@ def _lists(b: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     return c.values.to_numpy()[off[0] : off[-1]], off - off[0]
 
 
-def _slots(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The two bits of every value."""
-    shift, v = np.uint64(64 - FILTER_BITS), values.view(np.uint64)
-    return v >> shift, (v << np.uint64(FILTER_BITS)) >> shift
+def filter_bits(sets: int) -> int:
+    return int(min(max(np.ceil(np.log2(512.0 * max(sets, 1))), LEAST_BITS), MOST_BITS))
 
 
-def bit_filters(df: DataFrame, keys) -> tuple[np.ndarray, np.ndarray]:
-    """(once, twice): filters of two of 2^FILTER_BITS hashed bits for each key, and of those set more than once.
+def _slots(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The three bits of every value."""
+    shift, v = np.uint64(64 - bits), values.view(np.uint64)
+    with np.errstate(over="ignore"):
+        return v >> shift, (v << np.uint64(bits)) >> shift, (v * np.uint64(0x9E3779B97F4A7C15)) >> shift
 
-    keys: from a record batch, arrays of 64-bit keys.  A task sets the bits of its rows in 32 MB of
-    its own and hands on the blocks that are not empty, packed; 16 MB come back, whatever the rows.
+
+def bit_filters(df: DataFrame, keys, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(once, twice): filters of three of 2^bits hashed bits for each key, and of those set more than once.
+
+    keys: from a record batch, arrays of 64-bit keys.  A task sets the bits of its rows in two
+    filters of its own and hands on the blocks that are not empty, packed.
     """
-    words, size = 1 << (FILTER_BITS - 6), 1 << 13
+    words, size = 1 << (bits - 6), 1 << 13
     codec = lambda: pa.Codec("zstd")
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(words, np.uint64), np.zeros(words, np.uint64)
         for b in batches:
             for key in keys(b):
-                for slot in _slots(key):
+                for slot in _slots(key, bits):
                     slot, times = np.unique(slot, return_counts=True)
                     word, bit = (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63))
                     again = (times > 1) | (once[word] & bit != 0)
@@ -272,14 +278,14 @@ class Filters:
 
     def __init__(self, spark: SparkSession, **filters: np.ndarray):
         codec = pa.Codec("zstd")
-        self.sent = {n: spark.sparkContext.broadcast(codec.compress(b.tobytes(), asbytes=True)) for n, b in filters.items()}
+        self.sent = {n: spark.sparkContext.broadcast((b.nbytes, codec.compress(b, asbytes=True))) for n, b in filters.items()}
 
     def __getitem__(self, name: str) -> np.ndarray:
         sent = self.sent[name]
         if sent.id not in self._open:
-            while len(self._open) > 8:
+            while len(self._open) > 3:
                 self._open.pop(next(iter(self._open)))
-            self._open[sent.id] = np.frombuffer(pa.Codec("zstd").decompress(sent.value, 8 << (FILTER_BITS - 6), asbytes=True), np.uint64)
+            self._open[sent.id] = np.frombuffer(pa.Codec("zstd").decompress(sent.value[1], sent.value[0], asbytes=True), np.uint64)
         return self._open[sent.id]
 
     def __contains__(self, name: str) -> bool:
@@ -315,14 +321,14 @@ class _Sent:
 
 def maybe_in(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     out = np.ones(len(values), bool)
-    for u in _slots(values):
+    for u in _slots(values, len(bits).bit_length() + 5):
         out &= (bits[(u >> np.uint64(6)).astype(np.int64)] >> (u & np.uint64(63))) & np.uint64(1) == 1
     return out
 
 
 def sets_of(sets: DataFrame, ids: DataFrame) -> DataFrame:
     """One row (id, words) for each of the ids; the filter spares the shuffle of all other sets."""
-    held = Filters(sets.sparkSession, ids=bit_filters(ids.select("id"), lambda b: [b.column("id").to_numpy()])[0])
+    held = Filters(sets.sparkSession, ids=bit_filters(ids.select("id"), lambda b: [b.column("id").to_numpy()], LEAST_BITS + 3)[0])
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -347,6 +353,7 @@ def segment_keys(sets: DataFrame, likeness: float, ask: str | None = None, answe
     """
     spark: SparkSession = sets.sparkSession
     both = ask is None
+    bits = filter_bits(sets.count())
     make = spark.sparkContext.broadcast((*word_weights(sets), likeness, both))
     flags = [F.lit(True).alias("asks"), F.lit(True).alias("answers")] if both else [F.col(ask).alias("asks"), F.col(answer).alias("answers")]
     rows = sets.select("id", "n", "sig", *flags, "words")
@@ -370,10 +377,11 @@ def segment_keys(sets: DataFrame, likeness: float, ask: str | None = None, answe
             key = np.where(role == 4, key ^ _SHORT, key)
             yield key[maybe_in(asked, key)]
 
-    mine = bit_filters(rows, asked_keys)
+    mine = bit_filters(rows, asked_keys, bits)
     first = Filters(spark, asked=mine[0])
-    theirs = bit_filters(rows, answered_keys)
+    theirs = bit_filters(rows, answered_keys, bits)
     second = Filters(spark, answered=theirs[0], **({"asked_twice": mine[1], "answered_twice": theirs[1]} if both else {}))
+    del mine, theirs
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seg = Segments(*make.value)
