@@ -2,8 +2,8 @@
 
 Records of both sources and the tokens of their attributes form one graph.  Random walks over it
 are sentences of tokens, from which skip-gram vectors are trained; a record's vectors are the
-weighted sums of its tokens' vectors.  Several tables of random hyperplanes bring the records of
-the two sources together; every pair that meets is scored exactly, by cosine and by the agreement
+weighted sums of its tokens' vectors.  Tables of random hyperplanes, as many as their bits ask for, bring
+the records of the two sources together, exact keys those that names cannot; every pair that meets is scored exactly, by cosine and by the agreement
 of names, seats, lines of business and people, and the cosine is calibrated on pairs about whose
 other evidence there is no doubt.
 """
@@ -24,8 +24,10 @@ from docketry.runtime import blank_to_null, cut, effective_case_id, table
 
 #: Tokens are hashed into so many buckets: the vectors, 16 MB, and the neighbour lists have a fixed bound.
 BUCKETS, DIMENSIONS, NEIGHBOURS = 1 << 16, 48, 64
-#: Walks from every record, tokens of a walk, hyperplane tables over names and over everything else.
-WALKS, STEPS, NAME_TABLES, OTHER_TABLES = 2, 4, 24, 12
+#: Walks from every record, tokens of a walk.
+WALKS, STEPS = 2, 4
+#: Pairs of cosine MEET_COSINE, of names or of everything else, share a code with this probability, however many the bits.
+MEET_COSINE, MEETING = 0.8, 0.9
 #: Least cosine, of names or of other attributes, at which a pair's evidence is weighed.
 NAME_COSINE, OTHER_COSINE = 0.6, 0.6
 
@@ -126,12 +128,19 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.int8).reshape(-1, DIMENSIONS).astype(np.float32)
 
 
+def tables_for(bits: int) -> int:
+    """How many hyperplane tables of so many bits a pair of MEET_COSINE needs to meet with probability MEETING."""
+    one = (1 - np.arccos(MEET_COSINE) / np.pi) ** bits
+    return int(np.ceil(np.log(1 - MEETING) / np.log1p(-one)))
+
+
 def _codes(bits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        planes = np.random.default_rng(5).normal(size=(NAME_TABLES + OTHER_TABLES, bits, DIMENSIONS)).astype(np.float32)
+        tables = tables_for(bits)
+        planes = np.random.default_rng(5).normal(size=(2 * tables, bits, DIMENSIONS)).astype(np.float32)
         weight = 1 << np.arange(bits, dtype=np.int64)
         for b in batches:
-            for column, first, last in (("v_own", 0, NAME_TABLES), ("v_other", NAME_TABLES, NAME_TABLES + OTHER_TABLES)):
+            for column, first, last in (("v_own", 0, tables), ("v_other", tables, 2 * tables)):
                 v = _matrix(b[column])
                 some = np.any(v != 0, axis=1)
                 for t in range(first, last):
@@ -147,14 +156,55 @@ def hyperplane_candidates(left: DataFrame, right: DataFrame, bits: int) -> DataF
     return a.join(b, ["t", "code"]).select("lid", "rid").distinct()
 
 
+def _left_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        rows = []
+        for lid, name, officer in zip(b["lid"], b["name"], b["officer"]):
+            core, trade, acronym = company_core(name)
+            who = person_parts(officer)
+            if acronym:
+                rows.append((lid, "a" + acronym))
+            if not core and not trade:
+                rows.append((lid, "n"))
+                if who:
+                    rows.append((lid, "p" + who[2]))
+        yield pd.DataFrame(rows, columns=["lid", "k"])
+
+
+def _right_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        rows = set()
+        for rid, names, people in zip(b["rid"], b["names"], b["people"]):
+            cores = [company_core(n)[0] for n in names]
+            rows |= {(rid, "a" + "".join(w[0] for w in core)) for core in cores if len(core) > 1}
+            rows |= {(rid, "p" + p.split("|")[1]) for p in people}
+        yield pd.DataFrame(list(rows), columns=["rid", "k"])
+
+
+def keyed_candidates(lefts: DataFrame, rights: DataFrame, heard: DataFrame | None = None) -> DataFrame:
+    """(lid, rid): pairs that name vectors cannot bring together.
+
+    An acronym meets every company with these initials.  A record without words of a name meets the
+    companies that have a person of its officer's family name or were heard in it: without either,
+    seat and line of business are not enough to be accepted.
+    """
+    a = cut(lefts.select("lid", "name", "officer").mapInPandas(_left_keys, "lid long, k string"), "keys")
+    b = rights.select("rid", "names", "people").mapInPandas(_right_keys, "rid long, k string")
+    met = a.join(b, "k").select("lid", "rid")
+    if heard is not None:
+        voices = heard.join(lefts.select("lid", "key"), "key").join(rights.select("rid", "ticker"), "ticker")
+        met = met.unionByName(voices.join(a.where("k = 'n'").select("lid"), "lid").select("lid", "rid"))
+    return met.distinct()
+
+
 def _cosines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Exact cosines of pairs; keeps those near by name or by everything else."""
+    """Exact cosines of pairs; keeps those near by name or by everything else, and all that met by a key."""
     for b in batches:
         cos = []
         for x, y in (("l_own", "r_own"), ("l_other", "r_other")):
             u, v = _matrix(b[x]), _matrix(b[y])
             cos.append((u * v).sum(1) / np.maximum(np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1), 1e-6))
-        near = (cos[0] >= NAME_COSINE) | (cos[1] >= OTHER_COSINE)
+        near = (cos[0] >= NAME_COSINE) | (cos[1] >= OTHER_COSINE) | b["keyed"].to_numpy(bool)
         yield pd.DataFrame({"lid": b["lid"], "rid": b["rid"], "cosine": cos[0].astype(float)})[near]
 
 
@@ -311,7 +361,8 @@ def match_companies(left: DataFrame, right: DataFrame, heard: DataFrame | None =
     bits = max(4, int(np.ceil(np.log2(max(b.count(), 2)))) + 2)
     la, rb = (cut(x.mapInPandas(_vectors(shared), "rid long, v_own binary, v_other binary"), "vectors") for x in (a, b))
     shared.destroy()
-    met = hyperplane_candidates(la, rb, bits)
+    met = hyperplane_candidates(la, rb, bits).withColumn("keyed", F.lit(False))
+    met = met.unionByName(keyed_candidates(lefts, rights, heard).withColumn("keyed", F.lit(True))).groupBy("lid", "rid").agg(F.max("keyed").alias("keyed"))
     met = met.join(la.toDF("lid", "l_own", "l_other"), "lid").join(rb.toDF("rid", "r_own", "r_other"), "rid")
     pairs = cut(met.mapInPandas(_cosines, "lid long, rid long, cosine double"), "pairs")
     sector = rights.select(F.explode("industries").alias("i"), "sectors").select(F.lower("i").alias("i"), F.explode("sectors").alias("line_sector")).groupBy("i").agg(F.mode("line_sector", True).alias("line_sector"))

@@ -63,6 +63,27 @@ def test_company_names():
     assert e("Falkaron F. Brands Corp.", "Falkaron Forest Brands Corp.") > 5 > e("Falkaron Forest Toys Inc", "Falkaron Forest Brands Corp.")
 
 
+@pytest.mark.parametrize("bits", [12, 15])
+def test_pairs_of_the_accepted_cosine_meet_at_every_size(spark, bits):
+    import numpy as np
+
+    rng = np.random.default_rng(bits)
+    u, w = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in rng.normal(size=(2, 300, entities.DIMENSIONS)))
+    w -= (w * u).sum(1, keepdims=True) * u
+    v = 0.8 * u + 0.6 * w / np.linalg.norm(w, axis=1, keepdims=True)
+    none = bytes(entities.DIMENSIONS)
+    a, b = (spark.createDataFrame([(i, bytearray(np.round(r * 127).astype(np.int8).tobytes()), bytearray(none)) for i, r in enumerate(x)], "rid long, v_own binary, v_other binary") for x in (u, v))
+    met = entities.hyperplane_candidates(a, b, bits).where("lid = rid").count()
+    assert met >= 0.85 * 300  # 0.9 is meant; the binomial spread is 0.017
+
+
+def test_records_without_name_words_meet_by_key(spark):
+    left = spark.createDataFrame([(1, "c1", "SCS Corp.", None), (2, "c2", None, "CEO Jane Korvema"), (3, "c3", "Inc.", None), (4, "c4", "Silver Stone Corp.", "Jane Korvema")], "lid long, key string, name string, officer string")
+    right = spark.createDataFrame([(7, "T7", ["Selcoth Canyon Steel plc"], []), (8, "T8", ["Other Name Inc."], ["jane|korvema"]), (9, "T9", ["Third Inc."], [])], "rid long, ticker string, names array<string>, people array<string>")
+    heard = spark.createDataFrame([("c3", "T9", 1), ("c4", "T9", 1)], "key string, ticker string, n long")
+    assert {tuple(r) for r in entities.keyed_candidates(left, right, heard).collect()} == {(1, 7), (2, 8), (3, 9)}
+
+
 def test_lines_of_pages():
     lines = ["Case 7:12-cv-76061 Document 2 Filed 11/18/12 Page 1 of 3", "Page l of 3", "- 1 -", "ii", "' . - ,", "", "CONFIDENTIAL – SUBJECT TO PROTECTIVE ORDER", "DORRICK EMPLOYEES TRUST V. DEFENDANTS      2", "XIII. PARALLEL DOSAGE", "2017   148,724", "2011.", "A line of the body."]
     assert scans.line_kinds(lines) == ["drop"] * 5 + ["blank"] + ["drop"] * 2 + ["body"] * 4
