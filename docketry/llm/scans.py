@@ -32,7 +32,7 @@ EDGE = "“”\"'‘’.,;:()[]{}?!*•«»"
 CONFUSED, OTHER, MOST = 0.4, 1.0, 0.9
 #: How much more frequent a word must be than what is taken for its misreading; least count of a lexicon word.
 RATIO, LEAST = 20, 20
-#: A text looks up only words that make less than 1 / TOP of all words, so the skip list has at most TOP words.
+#: A text looks up words that make less than 1 / TOP of all words or have a correction, so the skip list has at most TOP words.
 TOP = 100_000
 
 
@@ -359,9 +359,10 @@ def repair_scans(df: DataFrame, key: str, text: str) -> DataFrame:
     seen = cut(base.select("t").mapInPandas(_lexicon(common), "before string, word string, c long").groupBy("before", "word").agg(F.sum("c").alias("c")), "words")
     words = seen.where("before = ''").select("word", "c")
     every = words.agg(F.sum("c")).first()[0] or 0
-    top = words.where(F.col("c") >= max(3 * LEAST, every // TOP + 1)).toPandas()
-    frequent = spark.sparkContext.broadcast(dict(zip(top["word"], top["c"].astype(int))))
     near = cut(corrections(words), "corrections")
+    # a word with a possible correction is looked up however frequent it is
+    top = words.where(F.col("c") >= max(3 * LEAST, every // TOP + 1)).join(near.select(F.col("seen").alias("word")).distinct(), "word", "left_anti").toPandas()
+    frequent = spark.sparkContext.broadcast(dict(zip(top["word"], top["c"].astype(int))))
     asks = base.select("u", "t").mapInPandas(_asks(common, frequent), "u long, word string, before string")
     pairs = seen.select("before", "word", F.col("c").alias("together"))
     # the word before decides between corrections, then cost, then frequency

@@ -99,6 +99,13 @@ def test_scans_repaired(spark):
     assert got["n"]["fixes"] == [] and got["e"]["clean"] == "" and not got["d0"]["fixes"]
 
 
+def test_frequent_misreadings_are_corrected(spark):
+    texts = ["and that was said of that court"] * 700 + ["and tbat was said"] * 65
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = scans.repair_scans(df, "doc_id", "text").where("doc_id >= 700").collect()
+    assert len(got) == 65 and all(r["clean"] == "and that was said" and [(f["line_no"], f["fix"]) for f in r["fixes"]] == [(1, "chars")] for r in got)
+
+
 @needs
 def test_whole_queries_have_their_form(spark):
     found = entities.p1_found(spark, FOLDER)
