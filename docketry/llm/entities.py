@@ -28,8 +28,6 @@ BUCKETS, DIMENSIONS, NEIGHBOURS = 1 << 16, 48, 64
 WALKS, STEPS = 2, 4
 #: Pairs of cosine MEET_COSINE, of names or of everything else, share a code with this probability, however many the bits.
 MEET_COSINE, MEETING = 0.8, 0.9
-#: Least cosine, of names or of other attributes, at which a pair's evidence is weighed.
-NAME_COSINE, OTHER_COSINE = 0.6, 0.6
 
 
 def tokens_of(name: str | None, seat: str | None, line: str | None, people: list[str]) -> tuple[list[int], list[int]]:
@@ -198,14 +196,11 @@ def keyed_candidates(lefts: DataFrame, rights: DataFrame, heard: DataFrame | Non
 
 
 def _cosines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Exact cosines of pairs; keeps those near by name or by everything else, and all that met by a key."""
+    """Exact cosines of the names of pairs; none is too small, the evidence decides."""
     for b in batches:
-        cos = []
-        for x, y in (("l_own", "r_own"), ("l_other", "r_other")):
-            u, v = _matrix(b[x]), _matrix(b[y])
-            cos.append((u * v).sum(1) / np.maximum(np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1), 1e-6))
-        near = (cos[0] >= NAME_COSINE) | (cos[1] >= OTHER_COSINE) | b["keyed"].to_numpy(bool)
-        yield pd.DataFrame({"lid": b["lid"], "rid": b["rid"], "cosine": cos[0].astype(float)})[near]
+        u, v = _matrix(b["l_own"]), _matrix(b["r_own"])
+        cos = (u * v).sum(1) / np.maximum(np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1), 1e-6)
+        yield pd.DataFrame({"lid": b["lid"], "rid": b["rid"], "cosine": cos.astype(float)})
 
 
 def _seat(s: str) -> tuple[list[str], str]:
@@ -361,9 +356,8 @@ def match_companies(left: DataFrame, right: DataFrame, heard: DataFrame | None =
     bits = max(4, int(np.ceil(np.log2(max(b.count(), 2)))) + 2)
     la, rb = (cut(x.mapInPandas(_vectors(shared), "rid long, v_own binary, v_other binary"), "vectors") for x in (a, b))
     shared.destroy()
-    met = hyperplane_candidates(la, rb, bits).withColumn("keyed", F.lit(False))
-    met = met.unionByName(keyed_candidates(lefts, rights, heard).withColumn("keyed", F.lit(True))).groupBy("lid", "rid").agg(F.max("keyed").alias("keyed"))
-    met = met.join(la.toDF("lid", "l_own", "l_other"), "lid").join(rb.toDF("rid", "r_own", "r_other"), "rid")
+    met = hyperplane_candidates(la, rb, bits).unionByName(keyed_candidates(lefts, rights, heard)).distinct()
+    met = met.join(la.drop("v_other").toDF("lid", "l_own"), "lid").join(rb.drop("v_other").toDF("rid", "r_own"), "rid")
     pairs = cut(met.mapInPandas(_cosines, "lid long, rid long, cosine double"), "pairs")
     sector = rights.select(F.explode("industries").alias("i"), "sectors").select(F.lower("i").alias("i"), F.explode("sectors").alias("line_sector")).groupBy("i").agg(F.mode("line_sector", True).alias("line_sector"))
     known = lefts.withColumn("i", F.regexp_replace(F.lower("line"), "^maker of ", "")).join(sector, "i", "left")

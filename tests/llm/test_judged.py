@@ -77,6 +77,15 @@ def test_pairs_of_the_accepted_cosine_meet_at_every_size(spark, bits):
     assert met >= 0.85 * 300  # 0.9 is meant; the binomial spread is 0.017
 
 
+def test_pairs_of_any_cosine_are_weighed():
+    import numpy as np
+    import pandas as pd
+
+    x, y = (np.eye(entities.DIMENSIONS, dtype=np.int8)[i].tobytes() for i in (0, 1))
+    pair = pd.DataFrame({"lid": [1], "rid": [2], "keyed": [False], "l_own": [x], "r_own": [y], "l_other": [x], "r_other": [y]})
+    assert [len(b) for b in entities._cosines(iter([pair]))] == [1]
+
+
 def test_records_without_name_words_meet_by_key(spark):
     left = spark.createDataFrame([(1, "c1", "SCS Corp.", None), (2, "c2", None, "CEO Jane Korvema"), (3, "c3", "Inc.", None), (4, "c4", "Silver Stone Corp.", "Jane Korvema")], "lid long, key string, name string, officer string")
     right = spark.createDataFrame([(7, "T7", ["Selcoth Canyon Steel plc"], []), (8, "T8", ["Other Name Inc."], ["jane|korvema"]), (9, "T9", ["Third Inc."], [])], "rid long, ticker string, names array<string>, people array<string>")
