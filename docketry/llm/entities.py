@@ -1,11 +1,14 @@
 """Matching entities across sources without keys, by vectors of a record-attribute-token graph.
 
 Records of both sources and the tokens of their attributes form one graph.  Random walks over it
-are sentences of tokens, from which skip-gram vectors are trained; a record's vectors are the
-weighted sums of its tokens' vectors.  Tables of random hyperplanes, as many as their bits ask for, bring
-the records of the two sources together, exact keys those that names cannot; every pair that meets is scored exactly, by cosine and by the agreement
-of names, seats, lines of business and people, and the cosine is calibrated on pairs about whose
-other evidence there is no doubt.
+are sentences of tokens, from which skip-gram vectors are trained; a token's vector is its
+skip-gram vector beside a fixed random one of its own, so that tokens that are always seen together
+stay apart, and a record's vectors are the weighted sums of its tokens'.  Tables of random
+hyperplanes, as many as their bits ask for, bring the records of the two sources together, exact
+keys those that names cannot.  What meets is ranked anew by its exact cosine and by how names, seats,
+lines of business and people agree.  How much a cosine and an agreement count is calibrated: the
+name's part on pairs about which everything but the name leaves no doubt, the other part on pairs
+about whose names there is none.
 """
 
 from __future__ import annotations
@@ -26,8 +29,13 @@ from docketry.runtime import blank_to_null, cut, effective_case_id, table
 BUCKETS, DIMENSIONS, NEIGHBOURS = 1 << 16, 48, 64
 #: Walks from every record, tokens of a walk.
 WALKS, STEPS = 2, 4
-#: Pairs of cosine MEET_COSINE, of names or of everything else, share a code with this probability, however many the bits.
-MEET_COSINE, MEETING = 0.8, 0.9
+#: Pairs of cosine MEET_COSINE share a code with this probability, however many the bits.
+MEET_COSINE, MEETING = 0.7, 0.9
+#: Pairs without a common exact key go on from this cosine of names: of 600 pairs accepted when all of 800 x 6,000
+#: were weighed, 16 have less, of which 15 are acronyms, which have their key.
+LEAST_COSINE = 0.5
+#: Evidence that leaves no doubt, for and against, of names and of everything else.
+SURE_NAME, SURE_REST = (8.5, 0.0), (5.0, -2.0)
 
 
 def tokens_of(name: str | None, seat: str | None, line: str | None, people: list[str]) -> tuple[list[int], list[int]]:
@@ -77,7 +85,7 @@ def walk_sentences(tokens: DataFrame, walks: int = WALKS, steps: int = STEPS) ->
 
 
 def train_vectors(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(centred skip-gram vector, inverse document frequency) of every token bucket; unseen buckets have zeros."""
+    """(centred skip-gram vector beside one of the bucket's own, inverse document frequency) of every token bucket."""
     from pyspark.ml.feature import Word2Vec
 
     spark = tokens.sparkSession
@@ -91,6 +99,8 @@ def train_vectors(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     norm = np.linalg.norm(vectors, axis=1, keepdims=True)
     vectors /= np.maximum(norm, 1e-9)
     vectors[place] -= vectors[place].mean(0)
+    apart = np.random.default_rng(17).normal(size=vectors.shape).astype(np.float32)
+    vectors = np.concatenate([vectors, apart / np.linalg.norm(apart, axis=1, keepdims=True)], 1).astype(np.float16)
     df = tokens.select(F.explode("toks").alias("tok")).groupBy("tok").agg(F.count("*").alias("c")).toPandas()  # at most BUCKETS rows
     total = tokens.count()
     idf = np.zeros(BUCKETS, np.float32)
@@ -98,12 +108,17 @@ def train_vectors(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return vectors, idf
 
 
-def record_vectors(lists, vectors: np.ndarray, idf: np.ndarray) -> np.ndarray:
+def record_vectors(lists, vectors: np.ndarray, idf: np.ndarray, rows: int = 500) -> np.ndarray:
+    """Weighted sums of the tokens' vectors, of length 1, so many records at a time."""
     out = np.zeros((len(lists), vectors.shape[1]), np.float32)
-    sizes = np.array([len(x) for x in lists])
-    if sizes.sum():
-        flat = np.concatenate([np.asarray(x, np.int64) for x in lists if len(x)])
-        np.add.at(out, np.repeat(np.arange(len(lists)), sizes), vectors[flat] * idf[flat, None])
+    for at in range(0, len(lists), rows):
+        some = lists[at : at + rows]
+        sizes = np.array([len(x) for x in some])
+        if sizes.sum():
+            flat = np.concatenate([np.asarray(x, np.int64) for x in some if len(x)])
+            has = np.flatnonzero(sizes)
+            begins = (np.cumsum(sizes) - sizes)[has]
+            out[at + has] = np.add.reduceat(vectors[flat].astype(np.float32) * idf[flat, None], begins, axis=0)
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
@@ -123,7 +138,7 @@ def _vectors(shared):
 
 
 def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.int8).reshape(-1, DIMENSIONS).astype(np.float32)
+    return np.frombuffer(b"".join(column), np.int8).reshape(len(column), -1).astype(np.float32)
 
 
 def tables_for(bits: int) -> int:
@@ -133,23 +148,36 @@ def tables_for(bits: int) -> int:
 
 
 def _codes(bits: int):
+    """A record's codes in the tables of names, or where it has no name in those of everything else."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tables = tables_for(bits)
-        planes = np.random.default_rng(5).normal(size=(2 * tables, bits, DIMENSIONS)).astype(np.float32)
         weight = 1 << np.arange(bits, dtype=np.int64)
         for b in batches:
-            for column, first, last in (("v_own", 0, tables), ("v_other", tables, 2 * tables)):
+            if not len(b):
+                continue
+            for column, first in (("v_own", 0), ("v_other", tables)):
                 v = _matrix(b[column])
                 some = np.any(v != 0, axis=1)
-                for t in range(first, last):
-                    yield pd.DataFrame({"rid": b["rid"].to_numpy()[some], "t": np.int32(t), "code": ((v[some] @ planes[t].T) > 0) @ weight})
+                if column == "v_other" and "named" in b:
+                    some &= ~b["named"].to_numpy()
+                if not some.any():
+                    continue
+                v, rid = v[some], b["rid"].to_numpy()[some]
+                planes = np.random.default_rng(5).normal(size=(tables, bits, v.shape[1])).astype(np.float32)
+                for t in range(tables):
+                    yield pd.DataFrame({"rid": rid, "t": np.int32(first + t), "code": ((v @ planes[t].T) > 0) @ weight})
 
     return run
 
 
 def hyperplane_candidates(left: DataFrame, right: DataFrame, bits: int) -> DataFrame:
-    """(lid, rid): pairs of a left and a right record that share a code in one of the tables."""
-    a = left.mapInPandas(_codes(bits), "rid long, t int, code long").withColumnRenamed("rid", "lid")
+    """(lid, rid): pairs of a left and a right record that share a code in one of the tables.
+
+    The tables of everything but the name are for left records without one: a company's seats,
+    lines and people are many and a record's few, so such a cosine says little beside a name.
+    """
+    a = left.withColumn("named", F.col("v_own") != F.lit(bytearray(2 * DIMENSIONS))).mapInPandas(_codes(bits), "rid long, t int, code long").withColumnRenamed("rid", "lid")
     b = right.mapInPandas(_codes(bits), "rid long, t int, code long")
     return a.join(b, ["t", "code"]).select("lid", "rid").distinct()
 
@@ -196,11 +224,14 @@ def keyed_candidates(lefts: DataFrame, rights: DataFrame, heard: DataFrame | Non
 
 
 def _cosines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Exact cosines of the names of pairs; none is too small, the evidence decides."""
+    """Exact cosines of the names of pairs, from LEAST_COSINE or with a common exact key."""
     for b in batches:
+        if not len(b):
+            continue
         u, v = _matrix(b["l_own"]), _matrix(b["r_own"])
         cos = (u * v).sum(1) / np.maximum(np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1), 1e-6)
-        yield pd.DataFrame({"lid": b["lid"], "rid": b["rid"], "cosine": cos.astype(float)})
+        out = pd.DataFrame({"lid": b["lid"], "rid": b["rid"], "cosine": cos.astype(float)})
+        yield out[(cos >= LEAST_COSINE) | b["keyed"].to_numpy(bool) | ~np.any(u != 0, axis=1)]
 
 
 def _seat(s: str) -> tuple[list[str], str]:
@@ -209,13 +240,17 @@ def _seat(s: str) -> tuple[list[str], str]:
     return re.findall(r"[a-z]+", p[0]), "".join(re.findall(r"[a-z]+", p[1])) if len(p) > 1 else ""
 
 
+#: Level of an agreement of initials, one more where the name it does business under agrees too; no sum of words reaches it.
+ACRONYM = 20.0
+
+
 def name_evidence(case: tuple[list[str], list[str], str], core: list[str]) -> float:
-    """How much a typed name speaks for a company whose core words are given."""
+    """How much a typed name agrees with that of a company whose core words are given; what it is worth is calibrated."""
     words, trade, acronym = case
     if not core:
         return 0.0
     if acronym and len(core) > 1 and acronym == "".join(w[0] for w in core):
-        return 1.5 + (4.0 if any(word_agrees(t, core[0]) >= 1 for t in trade) else 0.0)
+        return ACRONYM + any(word_agrees(t, core[0]) >= 1 for t in trade)
     if not words:
         return -1.0
     # a first letter and an ending are seldom both mistyped, unless words ran together
@@ -291,24 +326,63 @@ def _other(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"lid": b["lid"], "rid": b["rid"], "cosine": b["cosine"], "own": b["own"], "other": np.array(other, float)})
 
 
-def calibrate(pairs: DataFrame) -> tuple[float, float]:
-    """(slope, offset) of the log-odds of a match by cosine, fitted on pairs whose evidence leaves no doubt.
+def _ratios(levels: np.ndarray, yes: np.ndarray, w: np.ndarray, start: dict[float, float], drawn: float = 20.0) -> dict[float, float]:
+    """Log likelihood ratio of each level: its share of the sure matches over its share of the others, drawn to the start where rows are few."""
+    out = {}
+    pos, neg = max(w[yes].sum(), 1e-9), max(w[~yes].sum(), 1e-9)
+    for level, before in start.items():
+        at = levels == level
+        p, n = w[at & yes].sum() / pos, w[at & ~yes].sum() / neg
+        seen = min(w[at].sum(), min(pos, neg))
+        raw = np.log((p + 1 / (pos + 50)) / (n + 1 / (neg + 50)))
+        out[level] = float((seen * raw + drawn * before) / (seen + drawn))
+    return out
+
+
+def calibrate(pairs: DataFrame) -> tuple[dict[float, float], dict[float, float], dict[float, float], float]:
+    """Log likelihood ratios by cosine, by name agreement and by other agreement, and the log odds that a pair is one.
 
-    pairs: (cosine, evidence).  What is fitted on is a histogram of 200 bins over all pairs.
+    pairs: (cosine, own, other).  The name's ratios are counted on pairs whose other attributes are
+    beyond doubt, for or against, and the other way round, so neither rests on labels of its own
+    making; a cosine's ratio is counted within the pairs of equal name agreement, so that it adds only
+    what the words do not say.  The share of matches among all pairs follows by expectation and
+    maximisation.  What comes to the driver is a histogram of a fixed grid, however many the pairs.
     """
-    sure = pairs.where((F.col("evidence") >= 9) | (F.col("evidence") <= -2))
-    bins = sure.groupBy(F.floor(F.col("cosine") * 100).alias("b"), (F.col("evidence") >= 9).alias("y")).agg(F.count("*").alias("c")).toPandas()
-    if bins["y"].nunique() < 2:
-        return 10.0, -7.0
-    x, y, w = bins["b"].to_numpy(float) / 100 + 0.005, bins["y"].to_numpy(float), bins["c"].to_numpy(float)
-    w = np.where(y > 0, w / w[y > 0].sum(), w / w[y == 0].sum())
-    theta = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-(theta[0] * x + theta[1])))
-        g = np.array([(w * (y - p) * x).sum() - 1e-3 * theta[0], (w * (y - p)).sum() - 1e-3 * theta[1]])
-        h = np.array([[(w * p * (1 - p) * x * x).sum() + 1e-3, (w * p * (1 - p) * x).sum()], [(w * p * (1 - p) * x).sum(), (w * p * (1 - p)).sum() + 1e-3]])
-        theta = theta + np.linalg.solve(h, g)
-    return float(theta[0]), float(theta[1])
+    grid = pairs.groupBy(_cosine_level().alias("cosine"), _level("own").alias("own"), _level("other").alias("other")).agg(F.count("*").alias("c")).toPandas()
+    cos, own, other, c = (grid[n].to_numpy(float) for n in ("cosine", "own", "other", "c"))
+    names = {x / 2: x / 2 - 3.5 if x < 30 else 1.0 for x in range(-20, 44)}
+    sure = (other >= SURE_REST[0]) | (other <= SURE_REST[1])
+    name = _ratios(own[sure], (other >= SURE_REST[0])[sure], c[sure], names)
+    # sure matches weighted as if they had the name levels of the others, so what is left is the cosine's own part
+    w = c[sure].copy()
+    yes = (other >= SURE_REST[0])[sure]
+    for level in np.unique(own[sure]):
+        at = own[sure] == level
+        p, n = w[at & yes].sum(), w[at & ~yes].sum()
+        w[at & yes] *= n / p if p and n else 0.0
+        w[at & ~yes] *= 1.0 if p and n else 0.0
+    near = _ratios(cos[sure], yes, w, {x / 10: 0.0 for x in range(-10, 11)})
+    sure = (own >= SURE_NAME[0]) & (own < ACRONYM) | (own <= SURE_NAME[1])
+    rest = _ratios(other[sure], (own >= SURE_NAME[0])[sure], c[sure], {x / 2: x / 2 for x in range(-20, 44)})
+    ratio = np.array([near[round(a, 1)] + name[b] + rest[d] for a, b, d in zip(cos, own, other)])
+    share = 0.05
+    for _ in range(100 if len(c) else 0):
+        p = 1 / (1 + np.exp(-np.clip(ratio + np.log(share / (1 - share)), -30, 30)))
+        share = float(np.clip((p * c).sum() / c.sum(), 1e-4, 0.5))
+    return near, name, rest, float(np.log(share / (1 - share)))
+
+
+def _level(c: str) -> F.Column:
+    """A score in half points, within the fixed grid."""
+    return F.least(F.greatest(F.round(F.col(c) * 2), F.lit(-20.0)), F.lit(43.0)) / 2
+
+
+def _cosine_level() -> F.Column:
+    return F.round(F.least(F.greatest(F.col("cosine"), F.lit(-1.0)), F.lit(1.0)), 1)
+
+
+def _looked_up(level: F.Column, ratios: dict[float, float]) -> F.Column:
+    return F.create_map(*[F.lit(float(x)) for item in ratios.items() for x in item])[level]
 
 
 def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -335,13 +409,13 @@ def companies(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(people, "ticker", "left").withColumn("people", F.coalesce("people", F.array().cast("array<string>")))
 
 
-def match_companies(left: DataFrame, right: DataFrame, heard: DataFrame | None = None, least: float = 0.5, margin: float = 0.5) -> DataFrame:
+def match_companies(left: DataFrame, right: DataFrame, heard: DataFrame | None = None, least: float = 0.5, margin: float = 1.0) -> DataFrame:
     """(key, ticker, confidence) of every left record that is one of the listed companies; at most one each.
 
     left: (key, name, seat, line, officer), all strings, all but key may be null; right: as from
     :func:`companies`; heard: (key, ticker, n), how many people of the company were heard in the
-    record.  A record without name or attributes matches nothing.  Of two companies with nearly
-    equal evidence (within margin) neither is taken.
+    record.  A record without name or attributes matches nothing.  Of two companies whose log odds are
+    within margin of each other neither is taken.
     """
     spark = left.sparkSession
     none = F.array().cast("array<string>")
@@ -353,10 +427,11 @@ def match_companies(left: DataFrame, right: DataFrame, heard: DataFrame | None =
     b = cut(rights.select("rid", "names", "seats", F.concat("sectors", "industries").alias("lines"), "people").mapInPandas(_tokenize, shape), "tokens")
     graph = a.unionByName(b).select("rid", F.array_union("own", "other").alias("toks"))
     shared = spark.sparkContext.broadcast(train_vectors(cut(graph, "graph")))
-    bits = max(4, int(np.ceil(np.log2(max(b.count(), 2)))) + 2)
+    bits = max(4, int(np.ceil(np.log2(max(b.count(), 2)))) + 1)
     la, rb = (cut(x.mapInPandas(_vectors(shared), "rid long, v_own binary, v_other binary"), "vectors") for x in (a, b))
     shared.destroy()
-    met = hyperplane_candidates(la, rb, bits).unionByName(keyed_candidates(lefts, rights, heard)).distinct()
+    keyed = keyed_candidates(lefts, rights, heard).withColumn("keyed", F.lit(True))
+    met = hyperplane_candidates(la, rb, bits).withColumn("keyed", F.lit(False)).unionByName(keyed).groupBy("lid", "rid").agg(F.max("keyed").alias("keyed"))
     met = met.join(la.drop("v_other").toDF("lid", "l_own"), "lid").join(rb.drop("v_other").toDF("rid", "r_own"), "rid")
     pairs = cut(met.mapInPandas(_cosines, "lid long, rid long, cosine double"), "pairs")
     sector = rights.select(F.explode("industries").alias("i"), "sectors").select(F.lower("i").alias("i"), F.explode("sectors").alias("line_sector")).groupBy("i").agg(F.mode("line_sector", True).alias("line_sector"))
@@ -370,13 +445,12 @@ def match_companies(left: DataFrame, right: DataFrame, heard: DataFrame | None =
     scored = scored.join(lefts.select("lid", "key"), "lid").join(rights.select("rid", "ticker"), "rid")
     if heard is not None:
         scored = scored.join(heard, ["key", "ticker"], "left").withColumn("other", F.col("other") + 1.5 * F.least(F.coalesce("n", F.lit(0)), F.lit(3)))
-    scored = cut(scored.withColumn("evidence", F.col("own") + F.col("other")).select("key", "ticker", "cosine", "own", "evidence"), "scored")
-    slope, offset = calibrate(scored)
-    doubt = F.least(F.greatest(F.col("cosine") * slope + offset, F.lit(-3.0)), F.lit(3.0))
-    scored = scored.withColumn("odds", F.col("evidence") - 5.5 + 0.3 * doubt)
+    scored = cut(scored.select("key", "ticker", "cosine", "own", "other"), "scored")
+    near, name, rest, prior = calibrate(scored)
+    scored = scored.withColumn("odds", _looked_up(_cosine_level(), near) + _looked_up(_level("own"), name) + _looked_up(_level("other"), rest) + F.lit(prior))
     best = F.array_sort(F.collect_list(F.struct((-F.col("odds")).alias("o"), "ticker")))
     # a record's candidates with odds worth comparing are few; the others cannot be first or near it
-    top = scored.where("odds > -1").groupBy("key").agg(best.alias("t"))
+    top = scored.where("odds > -2").groupBy("key").agg(best.alias("t"))
     first, second = F.col("t")[0], F.coalesce(F.get("t", F.lit(1))["o"], F.lit(99.0))
     top = top.where(second - first["o"] >= margin)
     return top.select("key", first["ticker"].alias("ticker"), F.round(1 / (1 + F.exp(first["o"])), 4).alias("confidence")).where(F.col("confidence") >= least)

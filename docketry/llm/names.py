@@ -11,12 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docketry.llm.entities import case_records, companies, heard_people, match_companies
+from docketry.llm.entities import case_records, companies, heard_people, match_companies, name_evidence
 from docketry.llm.groups import min_label_components
 from docketry.llm.people import allowed, bounded_distance, company_core, given_agrees, person_parts
 from docketry.runtime import blank_to_null, cut, effective_case_id, table
@@ -47,18 +50,25 @@ def lookups(name: str) -> set[str]:
 
 
 def _explode(find):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """An entry is hashed together with its scope: what meets by chance fails the verification."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(s, n, e) for s, n in zip(b["scope"], b["name"]) for e in find(n)]
-            yield pd.DataFrame(rows, columns=["scope", "name", "entry"])
+            at, marks = [], []
+            for i, (s, n) in enumerate(zip(b.column("scope").to_pylist(), b.column("name").to_pylist())):
+                got = find(n)
+                at += [i] * len(got)
+                marks += [xxhash.xxh64_intdigest(f"{s}|{e}") - (1 << 63) for e in got]
+            take = pa.array(at, pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column("scope").take(take), b.column("name").take(take), pa.array(marks, pa.int64())], ["scope", "name", "entry"])
 
     return run
 
 
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        ok = [bounded_distance(x, y, k) <= k for x, y in zip(b["name"], b["other"]) for k in [min(allowed(len(x)), allowed(len(y)))]]
-        yield b[ok]
+        ok = [s == o and bounded_distance(x, y, k) <= k for s, o, x, y in zip(b["scope"], b["o_scope"], b["name"], b["other"]) for k in [min(allowed(len(x)), allowed(len(y)))]]
+        yield b[ok].drop(columns="o_scope")
 
 
 def similar_names(names: DataFrame) -> DataFrame:
@@ -68,16 +78,18 @@ def similar_names(names: DataFrame) -> DataFrame:
     beyond, by the shorter name; a swap of neighbours is one edit, so it can spoil two segments and
     is looked up by its own: names with one swap undone go into the index as well.
     """
-    names = names.distinct()
-    shape = "scope string, name string, entry string"
+    # the entries are work for the processor: as many tasks as shuffles have, however few the bytes
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = names.select("scope", "name").repartition(tasks, "scope", "name").distinct()
+    shape = "scope string, name string, entry long"
 
     def both(n: str) -> set[str]:
         swapped = {n[:i] + n[i + 1] + n[i] + n[i + 2 :] for i in range(len(n) - 1)}
         return set(index_entries(n)) | {e for s in swapped for e in index_entries(s)}
 
-    indexed = names.mapInPandas(_explode(both), shape).select("scope", F.col("name").alias("other"), "entry")
-    asked = names.mapInPandas(_explode(lookups), shape)
-    met = asked.join(indexed, ["scope", "entry"]).select("scope", "name", "other").distinct()
+    indexed = names.mapInArrow(_explode(both), shape).select(F.col("scope").alias("o_scope"), F.col("name").alias("other"), "entry")
+    asked = names.mapInArrow(_explode(lookups), shape)
+    met = asked.join(indexed, "entry").select("scope", "o_scope", "name", "other").distinct()
     return met.mapInPandas(_verified, "scope string, name string, other string")
 
 
@@ -100,15 +112,22 @@ def _agreeing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.assign(level=level)[["mid", "oid", "given", "o_given", "exact", "level"]]
 
 
-def link_people(mentions: DataFrame) -> DataFrame:
+READ = "key string, scope string, given string, middle string, family string, nick string"
+
+
+def read_people(mentions: DataFrame) -> DataFrame:
+    """(key, scope, given, middle, family, nick) of mentions (key, scope, raw, clean): raw or else clean read as a name; text that names nobody gives no row."""
+    return mentions.mapInPandas(_mentions, READ)
+
+
+def link_people(read: DataFrame) -> DataFrame:
     """(key, person): which mentions mean the same person of a scope.
 
-    mentions: (key, scope, raw, clean), raw or else clean read as a name; a null scope, or text that
-    names nobody, gives no row.  Namesakes of different scopes are different persons.  An initial or
+    read: a written table as from :func:`read_people`; a null scope gives no row.  Namesakes of different scopes are different persons.  An initial or
     a bare family name goes to the person it can mean; if there are several, to the one with four times
     the rows of the next, else to none.
     """
-    read = cut(mentions.where(F.col("scope").isNotNull()).mapInPandas(_mentions, "key string, scope string, given string, middle string, family string, nick string"), "mentions")
+    read = read.where(F.col("scope").isNotNull())
     mark = F.xxhash64("scope", "given", "middle", "family", "nick")
     kinds = cut(read.select("scope", "given", "middle", "family", "nick").distinct().withColumn("mid", mark), "kinds")
     alike = cut(similar_names(kinds.select("scope", F.col("family").alias("name"))), "alike")
@@ -142,18 +161,36 @@ def _core(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.assign(core=["".join(company_core(n)[0]) for n in b["name"]])
 
 
+def _alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        same = []
+        for x, y in zip(b["name"], b["sued_name"]):
+            p, q = company_core(x), company_core(y)
+            same.append(max(name_evidence(p, q[0]), name_evidence(q, p[0])) >= 1.5)
+        yield b[["name", "e"]].assign(same=np.array(same, bool))
+
+
 def quote_companies(spark: SparkSession, folder: str) -> DataFrame:
-    """(record_id, ticker) of quotes: the company named, or else the one that the case's defendant is."""
+    """(record_id, ticker) of quotes: the company named, or else the one that the case's defendant is.
+
+    A typed company that is none word for word is held against the defendant of its case first;
+    only the names that do not agree with it are matched with all companies.
+    """
     right = cut(companies(spark, folder), "companies")
     quotes = table(spark, folder, "quotes").select("record_id", effective_case_id().alias("e"), blank_to_null(F.col("company")).alias("name"))
-    names = cut(quotes.where("name is not null").groupBy("name").agg(F.count("*").alias("c")).select("name").mapInPandas(_core, "name string, core string"), "names")
+    typed = cut(quotes.where("name is not null").select("name", "e").distinct(), "typed")
+    names = cut(typed.select("name").distinct().mapInPandas(_core, "name string, core string"), "names")
     wiki = right.select("ticker", F.explode("names").alias("name")).mapInPandas(_core, "ticker string, name string, core string")
     same = wiki.where("core <> ''").groupBy("core").agg(F.min("ticker").alias("ticker"), F.count_distinct("ticker").alias("n")).where("n = 1").select("core", "ticker")
     plainly = cut(names.join(same, "core").select("name", "ticker"), "plainly")
-    odd = names.join(plainly.select("name"), "name", "left_anti")
+    cases = case_records(spark, folder)
+    sued_names = cases.select(F.lower(blank_to_null(F.col("key"))).alias("e"), F.col("name").alias("sued_name")).where("sued_name is not null")
+    held = typed.join(plainly.select("name"), "name", "left_anti").join(sued_names, "e", "left")
+    alike = held.where("sued_name is not null").mapInPandas(_alike, "name string, e string, same boolean").where("same").select("name", "e").distinct()
+    odd = cut(held.select("name", "e").join(alike, ["name", "e"], "left_anti").select("name").distinct(), "odd")
     blank = F.lit(None).cast("string")
     asked = odd.select(F.concat(F.lit("name "), "name").alias("key"), "name", blank.alias("seat"), blank.alias("line"), blank.alias("officer"))
-    cases = case_records(spark, folder).withColumn("key", F.concat(F.lit("case "), "key"))
+    cases = cases.withColumn("key", F.concat(F.lit("case "), "key"))
     heard = heard_people(spark, folder, right).withColumn("key", F.concat(F.lit("case "), "key"))
     got = cut(match_companies(cases.unionByName(asked), right, heard), "matches")
     named = plainly.unionByName(got.where("key like 'name %'").select(F.substring("key", 6, 1 << 30).alias("name"), "ticker"))
@@ -172,27 +209,20 @@ def people_mentions(spark: SparkSession, folder: str) -> DataFrame:
     return staff.unionByName(spoken)
 
 
-def _full_name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        got = [person_parts(r) for r in b["raw"]]
-        ok = [g is not None and len(g[0]) > 1 for g in got]
-        yield b[ok][["key", "scope"]].assign(full=[g[0] + " " + g[2] for g in got if g and len(g[0]) > 1])
-
-
 def p2_people(spark: SparkSession, folder: str) -> DataFrame:
     """(key, person) of every row of wiki_key_people and every quote that names a person known to be of a listed company.
 
     A quote whose company is unknown, or has nobody of that full name, goes to the one company in
     which the full name occurs, if there is just one.
     """
-    mentions = cut(people_mentions(spark, folder), "people")
-    names = mentions.mapInPandas(_full_name, "key string, scope string, full string")
-    listed = names.where("key like 'k%'").select("scope", "full").distinct()
+    names = cut(read_people(people_mentions(spark, folder)), "people")
+    full = names.where(F.length("given") > 1).withColumn("full", F.concat_ws(" ", "given", "family"))
+    listed = full.where("key like 'k%'").select("scope", "full").distinct()
     only = listed.groupBy("full").agg(F.count("*").alias("n"), F.min("scope").alias("only")).where("n = 1").select("full", "only")
-    spoken = names.where("key like 'q%'").join(listed.withColumn("here", F.lit(True)), ["scope", "full"], "left").where("here is null")
+    spoken = full.where("key like 'q%'").select("key", "scope", "full").join(listed.withColumn("here", F.lit(True)), ["scope", "full"], "left").where("here is null")
     moved = spoken.join(only, "full").select("key", "only")
-    placed = mentions.join(moved, "key", "left").withColumn("scope", F.coalesce("only", "scope")).drop("only")
-    return link_people(placed)
+    placed = names.join(moved, "key", "left").withColumn("scope", F.coalesce("only", "scope")).drop("only")
+    return link_people(cut(placed, "placed"))
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:

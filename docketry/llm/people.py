@@ -6,6 +6,8 @@ import re
 import unicodedata
 from functools import lru_cache
 
+#: Answers that each function here remembers in a worker process: some 3 MB each.
+CACHED = 10_000
 #: Words of roles, honorifics and suffixes that are no part of a name.
 ROLE_WORDS = set(
     "ceo cfo coo cto cmo cio cco cao evp svp vp avp chief executive financial operating technology marketing compliance information accounting legal officer "
@@ -38,14 +40,14 @@ for _full, _short in NICKNAMES.items():
 _PLAIN = str.maketrans({"ø": "o", "ł": "l", "đ": "d", "ß": "ss", "æ": "ae", "œ": "oe", "ı": "i"})
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=CACHED)
 def plain(s: str) -> str:
     """Lower case without accents."""
     s = unicodedata.normalize("NFKD", s.lower()).translate(_PLAIN)
     return "".join(c for c in s if not unicodedata.combining(c))
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=CACHED)
 def person_parts(raw: str | None) -> tuple[str, str, str, str] | None:
     """(given, middle initials, family, nickname) of a name as typed; None where it names nobody.
 
@@ -106,12 +108,12 @@ def allowed(n: int) -> int:
     return 0 if n <= 2 else 1 if n <= 5 else 2
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=CACHED)
 def near(a: str, b: str) -> bool:
     return bounded_distance(a, b, allowed(min(len(a), len(b)))) <= allowed(min(len(a), len(b)))
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=CACHED)
 def given_agrees(a: str, b: str, nick_a: str = "", nick_b: str = "") -> int:
     """2: the same given name in full, a short form or with a slip; 1: one is missing or an initial of the other; 0: different."""
     if not a or not b:
@@ -135,7 +137,7 @@ def given_agrees(a: str, b: str, nick_a: str = "", nick_b: str = "") -> int:
 FORMS = set("inc incorporated corp corporation co company ltd limited plc llc lp group holdings holding the et al and of a".split())
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=CACHED)
 def company_core(name: str | None) -> tuple[list[str], list[str], str]:
     """(core words, words of the name it does business under, acronym) of a company name as typed."""
     if not name:
@@ -156,7 +158,7 @@ def company_core(name: str | None) -> tuple[list[str], list[str], str]:
     return words, [w for w in re.split(r"[^a-z0-9]+", plain(trade.group(1))) if w and w not in FORMS] if trade else [], acronym
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=CACHED)
 def word_agrees(a: str, b: str) -> float:
     """1: equal or a slip; 0.8: an abbreviation of the other; 0.5: its initial; 0: different."""
     if a == b:

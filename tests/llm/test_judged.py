@@ -3,11 +3,13 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from docketry.llm import entities, names, scans
 from docketry.llm.people import bounded_distance, company_core, given_agrees, person_parts
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
 needs = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
 
 
@@ -51,7 +53,7 @@ def test_names_within_distance_always_meet(spark):
 
 def test_people_of_one_company(spark):
     said = [("k1", "c", "Edward Korvema", None), ("k2", "c", "Ned Korvema", None), ("k3", "c", "E. Korvema", None), ("k4", "d", "Edward Korvema", None), ("k5", "c", None, None), ("q1", "c", "Korvmea, Edward", None), ("k6", None, "Edward Korvema", None), ("k7", "c", "Vacant", None)]
-    got = {r["key"]: r["person"] for r in names.link_people(spark.createDataFrame(said, "key string, scope string, raw string, clean string")).collect()}
+    got = {r["key"]: r["person"] for r in names.link_people(names.read_people(spark.createDataFrame(said, "key string, scope string, raw string, clean string"))).collect()}
     assert got["k1"] == got["k2"] == got["k3"] == got["q1"] != got["k4"] and not {"k5", "k6", "k7"} & set(got)
 
 
@@ -61,6 +63,7 @@ def test_company_names():
     assert company_core("Bortbaion & Bridge Steel Inc. d/b/a Bortbaion")[1] == ["bortbaion"] and company_core(None) == ([], [], "")
     e = lambda n, c: entities.name_evidence(company_core(n), company_core(c)[0])
     assert e("Falkaron F. Brands Corp.", "Falkaron Forest Brands Corp.") > 5 > e("Falkaron Forest Toys Inc", "Falkaron Forest Brands Corp.")
+    assert e("FFB Corp.", "Falkaron Forest Brands Corp.") == entities.ACRONYM
 
 
 @pytest.mark.parametrize("bits", [12, 15])
@@ -68,22 +71,33 @@ def test_pairs_of_the_accepted_cosine_meet_at_every_size(spark, bits):
     import numpy as np
 
     rng = np.random.default_rng(bits)
-    u, w = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in rng.normal(size=(2, 300, entities.DIMENSIONS)))
+    u, w = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in rng.normal(size=(2, 300, 2 * entities.DIMENSIONS)))
     w -= (w * u).sum(1, keepdims=True) * u
-    v = 0.8 * u + 0.6 * w / np.linalg.norm(w, axis=1, keepdims=True)
-    none = bytes(entities.DIMENSIONS)
+    c = entities.MEET_COSINE
+    v = c * u + (1 - c * c) ** 0.5 * w / np.linalg.norm(w, axis=1, keepdims=True)
+    none = bytes(2 * entities.DIMENSIONS)
     a, b = (spark.createDataFrame([(i, bytearray(np.round(r * 127).astype(np.int8).tobytes()), bytearray(none)) for i, r in enumerate(x)], "rid long, v_own binary, v_other binary") for x in (u, v))
     met = entities.hyperplane_candidates(a, b, bits).where("lid = rid").count()
     assert met >= 0.85 * 300  # 0.9 is meant; the binomial spread is 0.017
 
 
-def test_pairs_of_any_cosine_are_weighed():
+def test_pairs_with_a_key_or_without_a_name_are_weighed_whatever_their_cosine():
     import numpy as np
     import pandas as pd
 
-    x, y = (np.eye(entities.DIMENSIONS, dtype=np.int8)[i].tobytes() for i in (0, 1))
-    pair = pd.DataFrame({"lid": [1], "rid": [2], "keyed": [False], "l_own": [x], "r_own": [y], "l_other": [x], "r_other": [y]})
-    assert [len(b) for b in entities._cosines(iter([pair]))] == [1]
+    x, y, none = (np.array(v, np.int8).tobytes() for v in ([9, 0], [0, 9], [0, 0]))
+    pairs = pd.DataFrame({"lid": [1, 2, 3, 4], "rid": [5] * 4, "keyed": [False, True, False, False], "l_own": [x, x, none, y], "r_own": [y] * 4})
+    assert [b["lid"].tolist() for b in entities._cosines(iter([pairs]))] == [[2, 3, 4]]
+
+
+@needs
+def test_hashing_finds_what_weighing_all_pairs_does(spark, monkeypatch):
+    """Recall of the index: matches with hyperplanes and the cosine bound against those with every pair weighed."""
+    got = {tuple(r) for r in entities.p1_found(spark, SF001 if not os.path.isdir(SF01) else SF01).collect()}
+    monkeypatch.setattr(entities, "hyperplane_candidates", lambda a, b, bits: a.select(F.col("rid").alias("lid")).crossJoin(b.select("rid")))
+    monkeypatch.setattr(entities, "LEAST_COSINE", -2.0)
+    every = {tuple(r) for r in entities.p1_found(spark, SF001 if not os.path.isdir(SF01) else SF01).collect()}
+    assert len(got & every) >= 0.95 * len(every) and len(got & every) >= 0.95 * len(got)
 
 
 def test_records_without_name_words_meet_by_key(spark):
