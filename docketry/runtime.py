@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -57,6 +58,16 @@ def drop_cut(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free(spark: SparkSession) -> None:
+    """Let go of the shuffle files of plans that nothing refers to any more.
+
+    Executors keep them until the driver's collector finds the plan gone, which on a driver with
+    little to do can be after the query.  To be called between steps that :func:`cut` separates.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def blank_to_null(c: Column) -> Column:
     """The trimmed text, or null where nothing but white space is left."""
     t = F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
