@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry.llm.people import bounded_distance, company_core, given_agrees, near, person_parts, plain, word_agrees
-from docketry.runtime import blank_to_null, cut, effective_case_id, table
+from docketry.runtime import blank_to_null, cut, effective_case_id, free, table
 
 #: Tokens are hashed into so many buckets: the vectors, 16 MB, and the neighbour lists have a fixed bound.
 BUCKETS, DIMENSIONS, NEIGHBOURS = 1 << 16, 48, 64
@@ -31,6 +31,8 @@ BUCKETS, DIMENSIONS, NEIGHBOURS = 1 << 16, 48, 64
 WALKS, STEPS = 2, 4
 #: Pairs of cosine MEET_COSINE share a code with this probability, however many the bits.
 MEET_COSINE, MEETING = 0.7, 0.9
+#: Length of a token's skip-gram vector beside its own of length 1.
+SHARE = 0.7
 #: Pairs without a common exact key go on from this cosine of names: of 600 pairs accepted when all of 800 x 6,000
 #: were weighed, 16 have less, of which 15 are acronyms, which have their key.
 LEAST_COSINE = 0.5
@@ -84,6 +86,15 @@ def walk_sentences(tokens: DataFrame, walks: int = WALKS, steps: int = STEPS) ->
     return at.select(F.transform("sentence", lambda x: x.cast("string")).alias("sentence"))
 
 
+def whitened(x: np.ndarray) -> np.ndarray:
+    """Vectors of length 1, centred and turned so that no direction is commoner than another: training leaves some that all share."""
+    x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    x = x - x.mean(0)
+    value, axis = np.linalg.eigh(x.T @ x / max(len(x), 1))
+    x = (x @ axis) / np.sqrt(np.maximum(value, 1e-3 * max(value.max(), 1e-9)))
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
+
 def train_vectors(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(centred skip-gram vector beside one of the bucket's own, inverse document frequency) of every token bucket."""
     from pyspark.ml.feature import Word2Vec
@@ -96,9 +107,7 @@ def train_vectors(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     got = model.getVectors().toPandas()
     place = got["word"].astype(int).to_numpy()
     vectors[place] = np.stack([v.toArray() for v in got["vector"]])
-    norm = np.linalg.norm(vectors, axis=1, keepdims=True)
-    vectors /= np.maximum(norm, 1e-9)
-    vectors[place] -= vectors[place].mean(0)
+    vectors[place] = SHARE * whitened(vectors[place])
     apart = np.random.default_rng(17).normal(size=vectors.shape).astype(np.float32)
     vectors = np.concatenate([vectors, apart / np.linalg.norm(apart, axis=1, keepdims=True)], 1).astype(np.float16)
     df = tokens.select(F.explode("toks").alias("tok")).groupBy("tok").agg(F.count("*").alias("c")).toPandas()  # at most BUCKETS rows
@@ -432,14 +441,20 @@ def match_companies(left: DataFrame, right: DataFrame, heard: DataFrame | None =
     shared.destroy()
     keyed = keyed_candidates(lefts, rights, heard).withColumn("keyed", F.lit(True))
     met = hyperplane_candidates(la, rb, bits).withColumn("keyed", F.lit(False)).unionByName(keyed).groupBy("lid", "rid").agg(F.max("keyed").alias("keyed"))
+    met = cut(met, "met")
+    free(spark)
     met = met.join(la.drop("v_other").toDF("lid", "l_own"), "lid").join(rb.drop("v_other").toDF("rid", "r_own"), "rid")
     pairs = cut(met.mapInPandas(_cosines, "lid long, rid long, cosine double"), "pairs")
+    del met
+    free(spark)
     sector = rights.select(F.explode("industries").alias("i"), "sectors").select(F.lower("i").alias("i"), F.explode("sectors").alias("line_sector")).groupBy("i").agg(F.mode("line_sector", True).alias("line_sector"))
     known = lefts.withColumn("i", F.regexp_replace(F.lower("line"), "^maker of ", "")).join(sector, "i", "left")
     # the evidence is work for the processor: as many tasks as shuffles have, however few the bytes
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     named = pairs.join(known.select("lid", "name"), "lid").join(rights.select("rid", "names"), "rid").repartition(tasks, "lid", "rid")
     alike = cut(named.mapInPandas(_own, "lid long, rid long, cosine double, own double"), "alike")
+    del named
+    free(spark)
     full = alike.join(known.select("lid", "seat", "line", "line_sector", "officer"), "lid").join(rights.drop("names", "ticker"), "rid").repartition(tasks, "lid", "rid")
     scored = full.mapInPandas(_other, "lid long, rid long, cosine double, own double, other double")
     scored = scored.join(lefts.select("lid", "key"), "lid").join(rights.select("rid", "ticker"), "rid")

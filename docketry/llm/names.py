@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 from docketry.llm.entities import case_records, companies, heard_people, match_companies, name_evidence
 from docketry.llm.groups import min_label_components
 from docketry.llm.people import allowed, bounded_distance, company_core, given_agrees, person_parts
-from docketry.runtime import blank_to_null, cut, effective_case_id, table
+from docketry.runtime import blank_to_null, cut, effective_case_id, free, table
 
 
 def segments(length: int, k: int) -> list[tuple[int, int]]:
@@ -131,6 +131,7 @@ def link_people(read: DataFrame) -> DataFrame:
     mark = F.xxhash64("scope", "given", "middle", "family", "nick")
     kinds = cut(read.select("scope", "given", "middle", "family", "nick").distinct().withColumn("mid", mark), "kinds")
     alike = cut(similar_names(kinds.select("scope", F.col("family").alias("name"))), "alike")
+    free(read.sparkSession)
     other = kinds.select("scope", *[F.col(c).alias("o_" + c) for c in ("given", "middle", "family", "nick")], F.col("mid").alias("oid"))
     pairs = kinds.join(alike.withColumnRenamed("name", "family").withColumnRenamed("other", "o_family"), ["scope", "family"]).join(other, ["scope", "o_family"])
     pairs = pairs.where("mid <> oid").withColumn("exact", F.col("family") == F.col("o_family"))
@@ -140,6 +141,7 @@ def link_people(read: DataFrame) -> DataFrame:
     edges = judged.where("level = 2 and length(given) > 1 and length(o_given) > 1").select("mid", F.col("oid").alias("r"))
     edges = edges.unionByName(full.select("mid", F.col("mid").alias("r")))
     persons = cut(min_label_components(edges, "mid", "r").select("mid", F.col("label").alias("person")), "persons")
+    free(read.sparkSession)
     # an initial or bare family name: the persons it can mean, those of the very same family name first
     maybe = judged.where("length(given) <= 1 and length(o_given) > 1").join(persons.withColumnRenamed("mid", "oid"), "oid")
     rows = read.withColumn("mid", mark).groupBy("mid").agg(F.count("*").alias("rows"))
@@ -193,6 +195,7 @@ def quote_companies(spark: SparkSession, folder: str) -> DataFrame:
     cases = cases.withColumn("key", F.concat(F.lit("case "), "key"))
     heard = heard_people(spark, folder, right).withColumn("key", F.concat(F.lit("case "), "key"))
     got = cut(match_companies(cases.unionByName(asked), right, heard), "matches")
+    free(spark)
     named = plainly.unionByName(got.where("key like 'name %'").select(F.substring("key", 6, 1 << 30).alias("name"), "ticker"))
     sued = got.where("key like 'case %'").select(F.lower(blank_to_null(F.substring("key", 6, 1 << 30))).alias("e"), F.col("ticker").alias("sued"))
     return quotes.join(named, "name", "left").join(sued, "e", "left").select("record_id", F.coalesce("ticker", "sued").alias("ticker"))
