@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketry.llm.setjoin import segment_keys, sets_of, word_sets
+from docketry.llm.setjoin import first_of_equals, segment_keys, sets_of, word_sets
 from docketry.runtime import cut, drop_cut, effective_case_id, table
 
 
@@ -86,7 +86,7 @@ def cross_split_pairs(df: DataFrame, key: str, text: str, split: str, evaluation
     """
     used = df.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(split).alias("s")).where(F.col("s").isin(*evaluation, *training))
     sets = cut(word_sets(used, "t", "k", "s").withColumns({"e": F.col("s").isin(*evaluation), "r": F.col("s").isin(*training)}), "sets")
-    keys = segment_keys(sets, likeness, "e", "r")
+    keys = segment_keys(first_of_equals(sets, "k", "e", "r"), likeness, "e", "r")
     rate = (1 - likeness) / (1 + likeness)
     asks = keys.where("role <= 2").select("key", F.col("id").alias("ida"), F.col("n").alias("na"), F.col("sig").alias("sa"), F.col("role").alias("ra"))
     answers = keys.where("role >= 3").select("key", F.col("id").alias("idb"), F.col("n").alias("nb"), F.col("sig").alias("sb"), F.col("role").alias("rb"))

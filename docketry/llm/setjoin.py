@@ -340,6 +340,27 @@ def sets_of(sets: DataFrame, ids: DataFrame) -> DataFrame:
     return out
 
 
+def first_of_equals(sets: DataFrame, key: str, *side: str) -> DataFrame:
+    """sets without most repetitions: of equal sets of one side the row of the smallest key stays, others only by chance.
+
+    Words are not shuffled for it: only names and keys meet, and what is known of repeated sets comes back as bit
+    filters, whose errors let a repetition pass but never drop a first row.
+    """
+    again = cut(sets.groupBy("id", *side).agg(F.min(key).alias("first"), F.count("*").alias("c")).where("c > 1").select(F.xxhash64("id", *side).alias("named"), F.xxhash64("first").alias("first")), "again")
+    names = bit_filters(again.select("named"), lambda b: [b.column("named").to_numpy()], LEAST_BITS + 3)[0]
+    firsts = bit_filters(again.select("first"), lambda b: [b.column("first").to_numpy()], LEAST_BITS + 3)[0]
+    if not names.any():
+        return sets
+    held = Filters(sets.sparkSession, names=names, firsts=firsts)
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = ~maybe_in(held["names"], b.column("_named").to_numpy()) | maybe_in(held["firsts"], b.column("_first").to_numpy())
+            yield b.filter(pa.array(ok)).select(b.schema.names[:-2])
+
+    return sets.withColumns({"_named": F.xxhash64("id", *side), "_first": F.xxhash64(key)}).mapInArrow(once, sets.schema)
+
+
 def segment_keys(sets: DataFrame, likeness: float, ask: str | None = None, answer: str | None = None) -> DataFrame:
     """(key, id, n, sig, role) of the segments that may meet one of another set.
 
