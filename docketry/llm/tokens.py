@@ -2,11 +2,12 @@
 
 A text is never encoded by itself.  One pass cuts all texts into pre-tokens and stores each block
 of texts as codes into the block's own list of distinct pre-tokens.  The distinct pre-tokens of
-all blocks meet by a shuffle on the pre-token; every partition holds them as one linked byte
-sequence with an inverted index from token pair to positions and replays the vocabulary's merges
-over it in rank order, touching only the neighbours of what it merges.  The ids go back to the
-blocks by a second shuffle, where the codes are replaced by ids.  Nothing is broadcast but the
-merge table, whose size is the vocabulary's.
+the corpus, each once, are held by a partition as linked byte sequences, at most REPLAY of them
+at a time, with an inverted index from token pair to positions; the vocabulary's merges are replayed over them in rank
+order, touching only the neighbours of what is merged.  The ids go back to the blocks: those of
+pre-tokens of a good share of all blocks by a broadcast of bounded size, as each would be one hot
+key, the others by a shuffle.  There the codes are replaced by ids.  Besides, only the merge table is
+broadcast, whose size is the vocabulary's.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of text held as one block, at least one text.
 BLOCK_CHARS = 1_500_000
+#: Distinct pre-tokens replayed together; pre-tokens of at least 1 / HOT of all blocks' rows and of at most 100
+#: characters are hot, so at most HOT of them.
+REPLAY, HOT = 100_000, 20_000
 
 
 def _splitters():
@@ -173,15 +177,29 @@ def encode_corpus(df: DataFrame, key: str, text: str, vocabulary: str = BYTE_BPE
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         byte_ids, merges = shared.value
         rank_of = {a << 32 | b: r for r, (a, b, _) in enumerate(merges)}
+
+        def done(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            t = pa.Table.from_batches(held).combine_chunks()
+            ids = [np.array(x, np.int32).tobytes() for x in replay(t.column("word").to_pylist(), byte_ids, merges, rank_of)]
+            return pa.RecordBatch.from_arrays([t.column("word").combine_chunks(), t.column("c").combine_chunks(), pa.array(ids, pa.binary())], ["word", "c", "ids"])
+
+        held, size = [], 0
         for b in batches:
-            words = b.column("word").dictionary_encode()
-            names = words.dictionary.to_pylist()
-            ids = [np.array(x, np.int32).tobytes() for x in replay(names, byte_ids, merges, rank_of)]
-            done = pa.DictionaryArray.from_arrays(words.indices, pa.array(ids, pa.binary())).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("pos"), done], ["block", "pos", "ids"])
+            held.append(b)
+            size += b.num_rows
+            if size >= REPLAY:
+                yield done(held)
+                held, size = [], 0
+        if size:
+            yield done(held)
 
     words = blocks.select("block", F.posexplode("vocab").alias("pos", "word"))
-    coded = words.repartition("word").sortWithinPartitions("word").mapInArrow(encode, "block long, pos int, ids binary")
+    lexicon = cut(words.groupBy("word").agg(F.count("*").alias("c")).mapInArrow(encode, "word string, c long, ids binary"), "lexicon")
+    least = max(2, -(-(lexicon.agg(F.sum("c")).first()[0] or 0) // HOT))
+    often = (F.col("c") >= least) & (F.length("word") <= 100)
+    hot, rest = lexicon.where(often).select("word", "ids"), lexicon.where(~often).select("word", "ids")
+    near = words.join(F.broadcast(hot), "word", "left")
+    coded = near.where("ids is not null").select("block", "pos", "ids").unionByName(near.where("ids is null").drop("ids").join(rest, "word").select("block", "pos", "ids"))
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("pos")
@@ -205,7 +223,7 @@ def encode_corpus(df: DataFrame, key: str, text: str, vocabulary: str = BYTE_BPE
 
     result = f"{key} {kind}, " + ("n_tokens long" if counts_only else "ids array<int>")
     slim = blocks.select("block", "keys", "lens", "codes")
-    return slim.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(assemble, result)
+    return slim.groupBy("block").cogroup(coded.withColumnRenamed("block", "of").groupBy("of")).applyInArrow(assemble, result)
 
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
