@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from docketry.runtime import blank_to_null, cut, drop_cut, effective_case_id, table
 
@@ -102,22 +103,29 @@ def split_groups(sizes: DataFrame, group: str, stratum: str, rows: str, shares:
     return low.unionByName(high).select(F.col("g").alias(group), "split")
 
 
-def p3_splits(spark, folder: str) -> DataFrame:
-    """record_id, group and new split (80 / 10 / 10) of every quote; outcome_bin of the group's first case is the stratum."""
+def _split_rows(spark, folder: str) -> DataFrame:
+    """record_id, group, new split and the group's stratum: outcome_bin of its first case."""
     rows = _bonds(spark, folder)
     labels = cut(min_label_components(rows, "ecase", "edoc"), "groups")
     doc_only = F.concat(F.lit("doc "), F.col("edoc"))
     alone = F.concat(F.lit("row "), F.col("record_id").cast("string"))
     grouped = cut(rows.join(labels, "ecase", "left").select("record_id", F.coalesce("label", doc_only, alone).alias("grp")), "grouped")
     outcome = table(spark, folder, "court_cases").groupBy(F.lower(blank_to_null(F.col("case_id"))).alias("grp")).agg(F.min("outcome_bin").alias("outcome_bin"))
-    sizes = grouped.groupBy("grp").agg(F.count("*").alias("n")).join(outcome, "grp", "left")
+    sizes = cut(grouped.groupBy("grp").agg(F.count("*").alias("n")).join(outcome, "grp", "left"), "sizes")
     given = split_groups(sizes, "grp", "outcome_bin", "n", [("train", 0.8), ("val", 0.1), ("test", 0.1)])
-    return grouped.join(given, "grp").select("record_id", F.col("grp").alias("group_id"), F.col("split").alias("new_split"))
+    return grouped.join(given.join(sizes.select("grp", "outcome_bin"), "grp"), "grp").select("record_id", F.col("grp").alias("group_id"), F.col("split").alias("new_split"), "outcome_bin")
+
+
+def p3_splits(spark, folder: str) -> DataFrame:
+    """record_id, group and new split (80 / 10 / 10) of every quote; outcome_bin of the group's first case is the stratum."""
+    return _split_rows(spark, folder).drop("outcome_bin")
 
 
 def p3_report(spark, folder: str) -> DataFrame:
-    """Rows, groups and share of each new split."""
-    got = p3_splits(spark, folder)
-    per = got.groupBy("new_split").agg(F.count("*").alias("rows"), F.approx_count_distinct("group_id").alias("groups_about"))
-    total = got.agg(F.count("*").alias("total"))
-    return per.crossJoin(F.broadcast(total)).select("new_split", "rows", "groups_about", F.round(F.col("rows") / F.col("total"), 4).alias("share"))
+    """Rows, groups and share of each new split, and how far the share of any outcome in it is from that in all rows, at most."""
+    per = cut(_split_rows(spark, folder).groupBy("new_split", "group_id", "outcome_bin").agg(F.count("*").alias("n")), "placed")
+    bins = per.groupBy("new_split", "outcome_bin").agg(F.sum("n").alias("n"), F.count("*").alias("groups"))
+    rows, whole = F.sum("n").over(Window.partitionBy("new_split")), F.sum("n").over(Window.partitionBy(F.lit(1)))  # a few rows: splits times outcomes
+    off = F.abs(F.col("n") / rows - F.sum("n").over(Window.partitionBy("outcome_bin")) / whole)
+    out = bins.withColumns({"off": off, "whole": whole}).groupBy("new_split").agg(F.sum("n").alias("rows"), F.sum("groups").alias("groups"), F.max("off").alias("off"), F.max("whole").alias("whole"))
+    return out.select("new_split", "rows", "groups", F.round(F.col("rows") / F.col("whole"), 4).alias("share"), F.round("off", 4).alias("outcome_deviation"))

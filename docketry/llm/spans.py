@@ -174,13 +174,9 @@ def _runs(span: int):
     return run
 
 
-def shared_spans(df: DataFrame, key: str, text: str, span: int = SPAN) -> tuple[DataFrame, DataFrame]:
-    """(classes, runs): which records have the same whole text, and the spans the classes share.
-
-    classes: (key, rep), rep the smallest key with the same text; only texts of span or more
-    characters.  runs: (ka, kb, start_a, start_b, length), one row for each maximal run of at
-    least span code points that two class representatives ka < kb have in common.  Keys are
-    unique BIGINTs.  Null, empty and short texts share nothing.  Texts are used whole.
+def shared_chunks(df: DataFrame, key: str, text: str, span: int = SPAN) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(texts, classes, hits): texts (k, t) of span or more characters; (k, rep) of those with an equal text, rep the
+    smallest key; (digest, k, pos) of the chunks of class representatives whose digest occurs again.
     """
     if span < 16:
         raise ValueError("span must be 16 or more")
@@ -192,6 +188,11 @@ def shared_spans(df: DataFrame, key: str, text: str, span: int = SPAN) -> tuple[
     single = texts.join(classes.where("k <> rep").select("k"), "k", "left_anti")
     chunks = single.mapInArrow(_chunks(span), "digest long, k long, pos int")
     hits = cut(chunks.repartition("digest").sortWithinPartitions("digest").mapInArrow(_shared, "digest long, k long, pos int"), "hits")
+    return texts, classes, hits
+
+
+def aligned_runs(texts: DataFrame, hits: DataFrame, span: int = SPAN) -> DataFrame:
+    """(ka, kb, start_a, start_b, length) of the maximal runs of span or more characters through two equal chunks."""
     a, b = hits.select("digest", F.col("k").alias("ka"), F.col("pos").alias("pa")), hits.select("digest", F.col("k").alias("kb"), F.col("pos").alias("pb"))
     pairs = a.join(b, "digest").where("ka < kb")
     aligned = cut(pairs.groupBy("ka", "kb", (F.col("pa") - F.col("pb")).alias("diag")).agg(F.collect_set("pa").alias("at")), "aligned")
@@ -200,8 +201,92 @@ def shared_spans(df: DataFrame, key: str, text: str, span: int = SPAN) -> tuple[
     ta, tb = needed.select(F.col("k").alias("ka"), F.col("t").alias("ta")), needed.select(F.col("k").alias("kb"), F.col("t").alias("tb"))
     # every distinct place on an alignment is tried, as one alignment can hold several runs
     tries = aligned.join(ta, "ka").join(tb, "kb").select("ka", "kb", F.explode("at").alias("pos"), "diag", "ta", "tb")
-    runs = tries.mapInArrow(_runs(span), "ka long, kb long, start_a long, start_b long, length long").distinct()
-    return classes, runs
+    return tries.mapInArrow(_runs(span), "ka long, kb long, start_a long, start_b long, length long").distinct()
+
+
+def shared_spans(df: DataFrame, key: str, text: str, span: int = SPAN) -> tuple[DataFrame, DataFrame]:
+    """(classes, runs): which records have the same whole text, and the spans the classes share.
+
+    classes: (key, rep), rep the smallest key with the same text; only texts of span or more
+    characters.  runs: (ka, kb, start_a, start_b, length), one row for each maximal run of at
+    least span code points that two class representatives ka < kb have in common.  Keys are
+    unique BIGINTs.  Null, empty and short texts share nothing.  Texts are used whole.
+    """
+    texts, classes, hits = shared_chunks(df, key, text, span)
+    return classes, aligned_runs(texts, hits, span)
+
+
+def _windows(span: int):
+    """(mark, k, pos) of every stretch of span characters that holds a given chunk whole; two equal stretches have one mark."""
+    least = geometry(span)[2]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k, t, places in zip(*(b.column(c).to_pylist() for c in ("k", "t", "at"))):
+                points = np.frombuffer(t.encode("utf-32-le"), np.uint32)
+                last = len(points) - span
+                begins = np.asarray(places, np.int64)
+                # a chunk is least characters long or more, so none of its stretches starts further to the left
+                wanted = np.zeros(last + 2, np.int64)
+                np.add.at(wanted, np.clip(begins + least - span, 0, last + 1), 1)
+                np.add.at(wanted, np.clip(begins + 1, 0, last + 1), -1)
+                at = np.flatnonzero(np.cumsum(wanted)[: last + 1] > 0)
+                up, down = _powers(len(points) + 1)
+                with np.errstate(over="ignore"):
+                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((points.astype(np.uint64) + np.uint64(0x51ED27)) * np.uint64(0xD6E8FEB86659FD93) * up[:-1])])
+                    mark = (sums[at + span] - sums[at]) * down[at]
+                    mark ^= mark >> np.uint64(32)
+                    mark *= np.uint64(0xD6E8FEB86659FD93)
+                yield pa.RecordBatch.from_arrays([pa.array(mark.view(np.int64)), pa.array(np.full(len(at), k, np.int64)), pa.array(at.astype(np.int32))], ["mark", "k", "pos"])
+
+    return run
+
+
+def shared_intervals(texts: DataFrame, hits: DataFrame, span: int = SPAN, few: int = 8) -> DataFrame:
+    """(k, s, e): stretches of a text that stand in another text too; their union is all that does.
+
+    A chunk in few texts is extended in each pair of them.  One in more texts, up to all of them, is
+    not paired: every stretch of span characters around it gets a mark, and a stretch whose mark two
+    texts have is shared, so the cost follows the number of places and not its square.
+    """
+    many = hits.groupBy("digest").agg(F.count("*").alias("c")).where(F.col("c") > few).select("digest")
+    runs = aligned_runs(texts, hits.join(many, "digest", "left_anti"), span)
+    ends = lambda k, s: runs.select(F.col(k).alias("k"), F.col(s).alias("s"), (F.col(s) + F.col("length")).alias("e"))
+    places = hits.join(many, "digest").groupBy("k").agg(F.collect_set("pos").alias("at"))
+    marks = texts.join(places, "k").mapInArrow(_windows(span), "mark long, k long, pos int")
+    found = cut(marks.repartition("mark").sortWithinPartitions("mark").mapInArrow(_shared_marks, "mark long, k long, pos int"), "marks")
+    return ends("ka", "start_a").unionByName(ends("kb", "start_b")).unionByName(found.select("k", F.col("pos").cast("long").alias("s"), (F.col("pos") + span).cast("long").alias("e")))
+
+
+def _shared_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by mark those whose mark another text has too; holds one mark's rows only until a second text is seen."""
+    mark, owner, held, open_ = None, None, [], False
+    for b in batches:
+        if not b.num_rows:
+            continue
+        m, k = b.column("mark").to_numpy(), b.column("k").to_numpy()
+        begins = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
+        low, high = np.minimum.reduceat(k, begins), np.maximum.reduceat(k, begins)
+        keep = np.repeat(low != high, np.diff(np.append(begins, len(m))))
+        first_end = begins[1] if len(begins) > 1 else len(m)
+        if mark is not None and m[0] == mark:
+            if open_ or low[0] != high[0] or low[0] != owner:
+                yield from held
+                held, open_ = [], True
+                keep[:first_end] = True
+            elif len(begins) == 1:
+                held.append(b)
+                continue
+            else:
+                held = []
+        else:
+            held = []
+        if len(begins) > 1 or mark is None or m[0] != mark:
+            last = begins[-1]
+            if not (len(begins) == 1 and mark is not None and m[0] == mark):
+                mark, owner, open_ = m[-1], k[last], bool(low[-1] != high[-1])
+                held = [] if open_ else [b.slice(last)]
+        yield b.filter(pa.array(keep))
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -219,10 +304,8 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 def p10_shared(spark: SparkSession, folder: str) -> DataFrame:
     """For every document how many of its characters stand in a shared span, and the share of its length."""
     documents = table(spark, folder, "documents").select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("n_chars"))
-    classes, runs = shared_spans(table(spark, folder, "documents"), "doc_id", "text")
-    runs = cut(runs, "runs")
-    spans = runs.select(F.col("ka").alias("k"), F.col("start_a").alias("s"), (F.col("start_a") + F.col("length")).alias("e")).unionByName(
-        runs.select(F.col("kb").alias("k"), F.col("start_b").alias("s"), (F.col("start_b") + F.col("length")).alias("e")))
+    texts, classes, hits = shared_chunks(table(spark, folder, "documents"), "doc_id", "text")
+    spans = shared_intervals(texts, hits)
     # union of intervals: what an interval adds beyond the furthest end so far; sorted sets of one document's distinct spans
     spans = spans.groupBy("k", "s").agg(F.max("e").alias("e"))
     merged = spans.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("v")).select(

@@ -1,9 +1,11 @@
 """Top N items within every group, by partition lower bounds.
 
 The N-th best item that one partition holds of a group is a lower bound for the group's N-th
-best over all partitions.  Every partition sends at most one bound per group; the largest bound
-of a group is joined back and everything below it is filtered before the ranking shuffle, so a
-group with a third of all rows moves about N rows per partition instead of millions.
+best over all partitions.  Groups of at least 1 / HOT of all rows, so at most HOT of them, get such
+bounds: every partition sends at most one for each, and the largest bound of a group is broadcast
+and filters its rows before anything is shuffled.  The survivors are ranked by a window with a limit
+that keeps N rows of a group per partition, so a group with a third of all rows moves at most N
+rows per partition instead of millions, and groups too small for a bound move no more than that.
 """
 
 from __future__ import annotations
@@ -16,7 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from docketry.runtime import effective_case_id, table
+from docketry.runtime import cut, effective_case_id, table
+
+#: Groups of at least 1 / HOT of all rows, and of 20 N rows, get bounds; so many rows are broadcast at most.
+HOT = 10_000
 
 
 def _beats_or_equals(order: list[tuple[str, bool]], bound: str) -> F.Column:
@@ -64,11 +69,17 @@ def top_n_per_group(df: DataFrame, group: str, order: list[tuple[str, bool]], n:
             place = kept.groupby(group, sort=False).cumcount()
             yield kept[place == n - 1]
 
-    bounds = whole.select(group, *names).mapInPandas(local_bounds, keyed)
     # the larger bound is the one that comes first in the order
     ranked = Window.partitionBy(group).orderBy(*[F.desc(c) if d else F.asc(c) for c, d in order])
-    best = bounds.withColumn("_r", F.row_number().over(ranked)).where("_r = 1").select(F.col(group).alias("_g"), F.struct(*names).alias("_bound"))
-    kept = whole.join(best, F.col(group) == F.col("_g"), "left").where(F.col("_bound").isNull() | _beats_or_equals(order, "_bound")).drop("_g", "_bound")
+    counts = cut(whole.groupBy(group).agg(F.count("*").alias("_c")), "counts")
+    least = max(20 * n, -(-(counts.agg(F.sum("_c")).first()[0] or 0) // HOT))
+    hot = counts.where(F.col("_c") >= least).select(group)
+    kept = whole
+    if not hot.isEmpty():
+        bounds = whole.select(group, *names).join(F.broadcast(hot), group, "left_semi").mapInPandas(local_bounds, keyed)
+        best = bounds.withColumn("_r", F.row_number().over(ranked)).where("_r = 1").select(F.col(group).alias("_g"), F.struct(*names).alias("_bound"))
+        best = cut(best, "bounds")  # at most HOT rows
+        kept = whole.join(F.broadcast(best), F.col(group) == F.col("_g"), "left").where(F.col("_bound").isNull() | _beats_or_equals(order, "_bound")).drop("_g", "_bound")
     # rank() over a total order with a limit is pushed below the shuffle (window group limit)
     return kept.withColumn(rank, F.row_number().over(ranked)).where(F.col(rank) <= n)
 

@@ -80,6 +80,19 @@ def test_splits_keep_groups_and_shares(spark):
     got = groups.p3_splits(spark, FOLDER).toPandas()
     assert (got.groupby("group_id")["new_split"].nunique() == 1).all()
     assert len(got) == spark.read.parquet(f"{FOLDER}/quotes.parquet").count()
+    report = groups.p3_report(spark, FOLDER).toPandas().set_index("new_split")
+    assert report["rows"].sum() == len(got) and report["groups"].sum() == got["group_id"].nunique()
+    # no share can be nearer to its target than the largest group allows
+    largest = got.groupby("group_id").size().max() / len(got)
+    for split, share in (("train", 0.8), ("val", 0.1), ("test", 0.1)):
+        assert abs(report["share"][split] - share) <= max(0.02, largest)
+        assert report["outcome_deviation"][split] <= max(0.05, largest / report["share"][split])
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the test tables")
+def test_splits_come_near_their_shares(spark):
+    report = groups.p3_report(spark, "/root/testdata/sf0.01").toPandas().set_index("new_split")
+    assert all(abs(report["share"][s] - v) <= 0.01 for s, v in (("train", 0.8), ("val", 0.1), ("test", 0.1))) and (report["outcome_deviation"] <= 0.05).all()
 
 
 @needs
@@ -166,6 +179,53 @@ def test_p9_unknown_sources_and_empty(spark):
     assert mixing.mix_sources(df.limit(0), target).count() == 0
 
 
+def test_hot_groups_are_filtered_before_the_shuffle(spark):
+    rows = spark.range(0, 40_000, 1, 8).select(F.when(F.col("id") % 4 > 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 997)).alias("g"), (F.col("id") * 7919 % 40_009).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        top = topn.top_n_per_group(rows, "g", [("v", True)], 3)
+        plan = top._jdf.queryExecution().executedPlan().toString()
+        got = top.where("g = 'hot'").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one exchange, of ranked survivors; bounds are broadcast below it whatever the threshold
+    assert plan.count("Exchange hashpartitioning(g") == 1 and plan.index("Exchange hashpartitioning(g") < plan.index("BroadcastHashJoin") and "WindowGroupLimit" in plan[plan.index("Exchange hashpartitioning(g") :]
+    assert [r["v"] for r in sorted(got, key=lambda r: r["rnk"])] == sorted((i * 7919 % 40_009 for i in range(40_000) if i % 4), reverse=True)[:3]
+
+
+def test_repeated_sets_meet_once_and_lose_nothing(spark):
+    texts = ["one two three four five six seven eight"] * 400 + ["one two three four five six seven nine"] * 3
+    df = spark.createDataFrame([(i, t, ("train", "val", "test")[i % 3]) for i, t in enumerate(texts)], "k long, t string, s string").repartition(8)
+    sets = setjoin.word_sets(df, "t", "k", "s").withColumns({"e": F.col("s") != "train", "r": F.col("s") == "train"})
+    assert setjoin.first_of_equals(sets, "k", "e", "r").count() == 4
+    got = {tuple(r[:2]) for r in leakage.cross_split_pairs(df, "k", "t", "s", ["val", "test"], ["train"]).collect()}
+    assert got == {(i, j) for i in range(403) for j in range(403) if i % 3 and j % 3 == 0}
+
+
+def test_shared_parts_are_the_same_by_pairs_and_by_marks(spark, tmp_path):
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    common, other = noise(700), noise(330)
+    texts = [noise(rng.randint(0, 90)) + common[rng.randint(0, 200) :][: rng.randint(150, 500)] + noise(40) + (other if i % 4 == 0 else "") for i in range(60)] + [None, "", common, common]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    known, classes, hits = spans.shared_chunks(spark.read.parquet(f"{tmp_path}/documents.parquet"), "doc_id", "text")
+
+    def covered(df):
+        out = collections.defaultdict(set)
+        for r in df.collect():
+            out[r["k"]] |= set(range(r["s"], r["e"]))
+        return out
+
+    assert covered(spans.shared_intervals(known, hits, few=2)) == covered(spans.shared_intervals(known, hits, few=10**6))
+    got = {r["doc_id"]: r["shared_chars"] for r in spans.p10_shared(spark, str(tmp_path)).collect()}
+    grams = collections.defaultdict(set)
+    for i, t in enumerate(texts):
+        for j in range(len(t or "") - 199):
+            grams[t[j : j + 200]].add(i)
+    for i, t in enumerate(texts):
+        assert got[i] == len({p for j in range(len(t or "") - 199) if len(grams[t[j : j + 200]]) > 1 for p in range(j, j + 200)})
+
+
 def shared_run(a, b, n):
     grams = {a[i : i + n] for i in range(len(a) - n + 1)}
     return any(b[i : i + n] in grams for i in range(len(b) - n + 1))
