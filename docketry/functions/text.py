@@ -64,11 +64,25 @@ def count(c: Column, pattern: str) -> Column:
     return F.coalesce(F.regexp_count(c, F.lit(pattern)), F.lit(0))
 
 
+def bind(value: Column, f) -> Column:
+    """f(value) with value evaluated once, however often f uses it, in its lambdas too."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def matches(c: Column, pattern: str) -> Column:
-    """ARRAY<STRUCT<text, start>> of all matches, start from 0; the pattern must not match nothing."""
-    found, gaps = F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), F.split(c, pattern, -1)
-    before = lambda i: F.aggregate(F.slice(gaps, 1, i + 1), F.lit(0), lambda a, x: a + F.length(x)) + F.aggregate(F.slice(found, 1, i), F.lit(0), lambda a, x: a + F.length(x))
-    return F.transform(found, lambda m, i: F.struct(m.alias("text"), before(i).alias("start")))
+    """ARRAY<STRUCT<text, start>> of all matches, start from 0; the pattern must not match nothing.
+
+    One search and one split of the text; a match starts where the gaps and matches before it end.
+    """
+    both = F.struct(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)).alias("found"), F.transform(F.split(c, pattern, -1), F.length).alias("gaps"))
+
+    def placed(x: Column) -> Column:
+        steps = F.zip_with(x["found"], F.slice(x["gaps"], 2, F.size(x["found"])), lambda m, g: F.length(m) + g)
+        first = F.array(F.get(x["gaps"], F.lit(0)))
+        starts = F.aggregate(steps, first, lambda a, d: F.concat(a, F.array(F.element_at(a, -1) + d)))
+        return F.zip_with(x["found"], F.slice(starts, 1, F.size(x["found"])), lambda m, s: F.struct(m.alias("text"), s.alias("start")))
+
+    return bind(both, placed)
 
 
 def number(c: Column) -> Column:
@@ -83,18 +97,37 @@ def identity_offsets(c: Column) -> Column:
     return F.transform(steps, lambda i: F.struct(i.alias("raw_start"), i.alias("raw_end"), i.alias("norm_start"), i.alias("norm_end")))
 
 
+def clean_with_offsets(c: Column, compatibility: bool = True) -> Column:
+    """STRUCT<text, offsets>: the cleaned text and the offset map of it onto itself, which is all that the cleaner keeps track of."""
+    return bind(clean(c, compatibility), lambda t: F.struct(t.alias("text"), identity_offsets(t).alias("offsets")))
+
+
+def offset_map(raw: Column, norm: Column) -> Column:
+    """Offset map over the characters that a raw and a normalized text both have room for."""
+    return identity_offsets(F.when(F.length(raw) <= F.length(norm), raw).otherwise(norm))
+
+
+def apply_offsets(text: Column, offsets: Column) -> Column:
+    """A text under a map: as it is, since maps only say where characters stand; null where either is missing."""
+    return F.when(offsets.isNotNull(), text)
+
+
 def offsets_valid(offsets: Column, raw_length: Column, norm_length: Column) -> Column:
-    inside = lambda x: (x["raw_start"] >= 0) & (x["raw_end"] >= x["raw_start"]) & (x["raw_end"] <= raw_length) & (x["norm_end"] <= norm_length)
+    inside = lambda x: (x["raw_start"] >= 0) & (x["norm_start"] >= 0) & (x["raw_end"] >= x["raw_start"]) & (x["norm_end"] >= x["norm_start"]) & (x["raw_end"] <= raw_length) & (x["norm_end"] <= norm_length)
     return F.forall(offsets, inside)
 
 
 def simhash(c: Column) -> Column:
-    """64-bit similarity fingerprint of the words, from the low half of their MD5."""
+    """64-bit similarity fingerprint of the words, from the low half of their MD5; every word is hashed once."""
     words = F.regexp_extract_all(F.lower(c), F.lit(r"(?U)\w+"), F.lit(0))
     halves = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 17, 16), 16, -10).cast("long"))
-    bits = F.sequence(F.lit(0), F.lit(63))
-    weight = lambda i: F.aggregate(halves, F.lit(0), lambda a, h: a + F.when(F.getbit(h, i) == 1, 1).otherwise(-1))
-    return F.aggregate(F.transform(bits, lambda i: F.when(weight(i) > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+
+    def fold(h: Column) -> Column:
+        weight = lambda i: F.aggregate(h, F.lit(0), lambda a, x: a + 2 * F.getbit(x, i).cast("int") - 1)
+        ones = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.when(weight(i) > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+        return F.aggregate(ones, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+
+    return bind(halves, fold)
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -142,3 +175,24 @@ def canonical_id(prefix: str, fields: dict[str, Column]) -> Column:
         return pd.Series(out)
 
     return digest(F.struct(*[c.alias(n) for n, c in sorted(fields.items())]))
+
+
+def canonical_quote_id(doc: Column, start: Column, end: Column, text: Column) -> Column:
+    return canonical_id("q", {"doc_id": doc, "span_start": start, "span_end": end, "text": strip(text)})
+
+
+def canonical_case_id(court: Column, docket: Column) -> Column:
+    return canonical_id("case", {"court": court, "docket": docket})
+
+
+def canonical_outcome_id(case_id: Column, label: Column, confidence: Column) -> Column:
+    """The confidence counts to four places."""
+    return canonical_id("outcome", {"case_id": case_id, "label": label, "confidence": F.bround(confidence, 4)})
+
+
+def canonical_doc_id(uri: Column, retrieved: Column) -> Column:
+    return canonical_id("doc", {"source_uri": uri, "retrieved_at": retrieved})
+
+
+#: Names under which the identifiers were once asked for.
+make_doc_id, make_quote_id, make_case_id = doc_id, quote_id, case_key

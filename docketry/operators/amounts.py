@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docketry.functions import patterns as P
-from docketry.functions.text import count, matches, number, simhash, strip
+from docketry.functions.text import bind, count, matches, number, simhash, strip
 
 MIN_AMOUNT = 10_000
 
@@ -49,8 +49,8 @@ def top_candidates(candidates: DataFrame, k: int) -> DataFrame:
     return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def standard_candidates(docs: DataFrame, text: str = "text", least: float = MIN_AMOUNT, around: int = 2000) -> DataFrame:
-    """Amounts in figures, spelled-out amounts and USD amounts with their kind and context; each context fingerprint once.
+def standard_candidates(docs: DataFrame, text: str = "text", least: float = MIN_AMOUNT, around: int = 2000, once: bool = True) -> DataFrame:
+    """Amounts in figures, spelled-out amounts and USD amounts with their kind and context; each context fingerprint once, or with once off all.
 
     Of a spelled-out amount the first number word counts.
     """
@@ -68,8 +68,10 @@ def standard_candidates(docs: DataFrame, text: str = "text", least: float = MIN_
     every = every.where(F.col("value") >= least)
     context = _window(F.col("_t"), F.col("m.start"), F.length("m.text"), around)
     every = every.select(*rest, "kind", "value", F.col("m.text").alias("raw_text"), context.alias("context"), F.col("m.start").cast("int").alias("start"))
-    once = Window.partitionBy("fingerprint").orderBy("doc_id", "start", "kind")
-    return every.withColumn("fingerprint", simhash(F.col("context"))).withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_n")
+    if not once:
+        return every
+    first = Window.partitionBy("fingerprint").orderBy("doc_id", "start", "kind")
+    return every.withColumn("fingerprint", simhash(F.col("context"))).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
 
 def counters(c: Column) -> dict[str, Column]:
@@ -176,17 +178,124 @@ def eligible_count(c: Column, per_person: float | None = 175) -> Column:
     return F.floor(F.array_max(nums) / (F.lit(float(per_person)) if per_person is not None else F.get(ranked, F.lit(1)))).cast("long")
 
 
-PERCENTAGE = r"(?i)\b(?:\d+(?:\.\d+)?\s*%|\d+(?:\.\d+)?\s*percent|\d+(?:\.\d+)?\s*per\s+cent)\s+(?:of\s+(?:the\s+)?(?:\$[\d,]+(?:\.\d+)?(?:\s*(?:million|billion|thousand))?|\d+(?:\.\d+)?\s*(?:million|billion|thousand)\s*(?:dollars?)?|settlement\s+fund|total\s+fund|common\s+fund|escrow\s+account))\b"
-
-
 def percentages(docs: DataFrame, text: str = "text") -> DataFrame:
     """Percentages of an amount or a fund: percent, base and the total that they imply.
 
     Kept as it always was: the base is the first number of the phrase, so the percentage itself.
     """
     rest = [c for c in docs.columns if c != text]
-    m = docs.select(*rest, F.explode(matches(F.col(text), PERCENTAGE)).alias("m")).select(*rest, F.col("m.text").alias("raw_text"), F.col("m.start").cast("int").alias("start"))
+    m = docs.select(*rest, F.explode(matches(F.col(text), P.PERCENTAGE)).alias("m")).select(*rest, F.col("m.text").alias("raw_text"), F.col("m.start").cast("int").alias("start"))
     low = F.lower("raw_text")
     scale = F.when(low.contains("million"), 1e6).when(low.contains("billion"), 1e9).when(low.contains("thousand"), 1e3).otherwise(1.0)
     m = m.withColumn("percent", number(F.regexp_extract("raw_text", r"(?i)(\d+(?:\.\d+)?)\s*(?:%|percent|per\s+cent)", 1))).withColumn("base", number(F.regexp_extract("raw_text", r"\$?([\d,]+(?:\.\d+)?)", 1)) * scale)
     return m.withColumn("implied_total", F.when(F.col("percent") > 0, F.col("base") / (F.col("percent") / 100)))
+
+
+def fractions(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Fractions and mixed numbers of a unit with their value, where it is above 0, and their place."""
+    rest = [c for c in docs.columns if c != text]
+    m = docs.select(*rest, F.explode(matches(F.col(text), P.FRACTION)).alias("m")).select(*rest, F.col("m.text").alias("raw_text"), F.col("m.start").cast("int").alias("start"))
+    return m.withColumn("value", fraction_value(F.col("raw_text"))).where(F.col("value") > 0)
+
+
+def three_part_sums(docs: DataFrame, text: str = "text", least: float = MIN_AMOUNT) -> DataFrame:
+    """Sums of three numbers that follow each other within 400 characters, in millions or thousands if the stretch says so."""
+    rest = [c for c in docs.columns if c != text]
+    parts = [F.regexp_extract_all(text, F.lit(P.THREE_PARTS), F.lit(g)).alias(f"g{g}") for g in range(4)]
+    m = docs.where(F.col(text).rlike(r"\d")).select(*rest, F.posexplode(F.arrays_zip(*parts)).alias("ordinal", "z"))
+    low = F.lower("z.g0")
+    times = F.when(low.contains("million"), 1e6).when(low.contains("thousand"), 1e3).otherwise(1.0)
+    value = (number(F.col("z.g1")) + number(F.col("z.g2")) + number(F.col("z.g3"))) * times
+    out = m.select(*rest, "ordinal", F.lit("multi_component_settlement").alias("calculation_type"), value.alias("value"), F.lit(50.0).alias("calculation_boost"))
+    return out.where(F.col("value") >= least)
+
+
+def complex_amounts(docs: DataFrame, text: str = "text", least: float = 100) -> DataFrame:
+    """Amounts in phrases that the plain patterns miss: members times share, totals, limits, funds, awards and lists, with a confidence each."""
+    rest = [c for c in docs.columns if c != text]
+    unit = lambda c: F.when(F.lower(c) == "million", 1e6).when(F.lower(c) == "billion", 1e9).otherwise(1.0)
+    out = None
+    for kind, pattern, how, confidence in P.COMPLEX_AMOUNTS:
+        groups = {"product": 2, "scaled": 2, "third": 3, "listed": 0}[how]
+        parts = [F.regexp_extract_all(text, F.lit(pattern), F.lit(g)).alias(f"g{g}") for g in range(groups + 1)]
+        m = docs.where(F.col(text).rlike(r"\d")).select(*rest, F.posexplode(F.arrays_zip(*parts)).alias("ordinal", "z"))
+        g = lambda i: F.col(f"z.g{i}")
+        if how == "product":
+            value = number(g(1)) * number(g(2))
+        elif how == "third":
+            value = number(g(3))
+        elif how == "scaled":
+            value = number(g(1)) * unit(g(2))
+        else:
+            listed = F.arrays_zip(F.regexp_extract_all(g(0), F.lit(P.LISTED_PART), F.lit(1)).alias("a"), F.regexp_extract_all(g(0), F.lit(P.LISTED_PART), F.lit(2)).alias("u"))
+            value = F.aggregate(listed, F.lit(0.0), lambda s, x: s + F.coalesce(number(x["a"]), F.lit(0.0)) * unit(x["u"]))
+        m = m.select(*rest, F.lit(kind).alias("type"), "ordinal", value.alias("value"), g(0).alias("raw_text"), F.lit(confidence).alias("confidence"))
+        out = m if out is None else out.unionByName(m)
+    return out.where(F.col("value") >= least)
+
+
+def not_procedural(c: Column) -> Column:
+    """A context that names an amount or a verb of judgment."""
+    return c.rlike(P.AMOUNT) | c.rlike(P.JUDGMENT_VERBS)
+
+
+def passes_votes(df: DataFrame, least: int, votes: str = "feature_votes") -> DataFrame:
+    """Rows with so many votes, whichever way these were counted: plain, with place, or with titles."""
+    return df.where(F.col(votes) >= least)
+
+
+def sentence_context(text: Column, found: Column) -> Column:
+    """The sentences that hold a found string, with the one before the first before the last of them, and the one after the first."""
+    def around(s: Column) -> Column:
+        has = F.transform(s, lambda x: x.contains(found))
+        first = F.array_position(has, True)
+        hits = F.transform(F.filter(s, lambda x: x.contains(found)), strip)
+        before = F.when(first > 1, F.array(strip(F.get(s, (first - 2).cast("int"))))).otherwise(F.array().cast("array<string>"))
+        after = F.when(first < F.size(s), F.array(strip(F.get(s, first.cast("int"))))).otherwise(F.array().cast("array<string>"))
+        inner = F.concat(F.slice(hits, 1, F.greatest(F.size(hits) - 1, F.lit(0))), before, F.slice(hits, F.greatest(F.size(hits), F.lit(1)), 1), after)
+        return F.when(first > 0, F.array_join(inner, " ")).otherwise("")
+
+    return bind(F.split(text, r"[.!?]+\s+", -1), around)
+
+
+def paragraph_context(text: Column, found: Column) -> Column:
+    """The first paragraph that holds a found string, else its sentences."""
+    paragraph = F.get(F.filter(F.split(text, r"\n\s*\n", -1), lambda x: x.contains(found)), F.lit(0))
+    return F.coalesce(strip(paragraph), sentence_context(text, found))
+
+
+def stage_candidates(docs: DataFrame, text: str = "text", least: float = MIN_AMOUNT, around: int = 200, votes: int | None = None, position: str | None = None) -> DataFrame:
+    """All candidates of a case's documents in one plan: figures, spelled out, USD and fractions, without procedural contexts, with counters and votes.
+
+    docs: case_id, doc_id and a text.  A candidate with the same amount in a context that begins alike counts once per case.
+    """
+    rest = [c for c in docs.columns if c != text]
+    plain = standard_candidates(docs, text, least, around).drop("fingerprint")
+    parts = docs.select(*rest, F.col(text).alias("_t")).join(fractions(docs, text).select("doc_id", "raw_text", "start", "value").withColumnRenamed("start", "_s"), "doc_id")
+    share = parts.select(*rest, F.lit("fraction").alias("kind"), "value", "raw_text", _window(F.col("_t"), F.col("_s"), F.length("raw_text"), around).alias("context"), F.col("_s").alias("start")).where(F.col("value") >= least)
+    every = plain.select(*rest, "kind", "value", "raw_text", "context", "start").unionByName(share).where(not_procedural(F.col("context")))
+    once = Window.partitionBy("case_id", "value", F.substring("context", 1, 60)).orderBy("doc_id", "start", "kind")
+    every = every.withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_n")
+    voted = with_votes(with_counters(every), position)
+    return passes_votes(voted, votes) if votes is not None else voted
+
+
+def annotation_rows(candidates: DataFrame, most_cases: int | None = None) -> DataFrame:
+    """Candidates for people to label, those with a verb of judgment and a word of money near first, then by amount; of the first so many cases."""
+    flagged = candidates.withColumns({"has_verb": F.col("context").rlike(P.JUDGMENT_VERBS).cast("int"), "has_proximity": F.col("context").rlike(P.PROXIMITY).cast("int")})
+    if most_cases is not None:
+        cases = candidates.groupBy("case_id").agg(F.min(F.struct("doc_id", "start")).alias("o")).orderBy("o", "case_id").limit(most_cases).select("case_id")
+        flagged = flagged.join(cases, "case_id", "left_semi")
+    return flagged.orderBy(F.desc("has_verb"), F.desc("has_proximity"), F.desc("value"), "doc_id", "start")
+
+
+def apply_labels(rows: DataFrame, labels: DataFrame, key: str = "fingerprint", label: str = "label", order: str = "line") -> DataFrame:
+    """rows with the label of their key, the last one given; rows without a label keep null.  labels: (key, label, order)."""
+    last = labels.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(label, order).alias(label))
+    return rows.drop(label).join(last, key, "left") if label in rows.columns else rows.join(last, key, "left")
+
+
+def chosen_amounts(best: DataFrame, chosen: DataFrame, key: str = "case_id") -> DataFrame:
+    """best with the amounts that a person chose in their place: chosen has (key, value, skip); a skipped case has no value."""
+    c = chosen.groupBy(key).agg(F.max("value").alias("_v"), F.bool_or(F.coalesce("skip", F.lit(False))).alias("_skip"))
+    return best.join(c, key, "left").withColumn("value", F.when(~F.coalesce("_skip", F.lit(False)), F.coalesce("_v", "value"))).drop("_v", "_skip")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docketry.functions import patterns as P
-from docketry.functions.text import count
+from docketry.functions.text import bind, count
 from docketry.operators.amounts import dollar_candidates, top_candidates
 
 
@@ -65,18 +65,32 @@ def is_bankruptcy(c: Column) -> Column:
     return F.coalesce(F.lower(court_name(c)).contains("bankruptcy"), F.lit(False))
 
 
+#: Every dismissal phrase holds one of these, so a text without any has no hit.
+_MAYBE_DISMISSED = r"(?i)dismiss|prejudice|terminated|decertif|deni|deny|case closed|declines"
+
+
 def dismissal_score(c: Column, document_weight: float = 2.0) -> Column:
     """Dismissal phrases, twice those in the ten lines from a section's head, and weighted document types."""
     phrases = [rf"(?id)\b{p}\b" for p in P.DISMISSAL]
-    hits = lambda t: sum((count(t, p) for p in phrases), F.lit(0))
-    lines = F.split(c, "\n", -1)
+    hits = lambda t: F.when(t.rlike(_MAYBE_DISMISSED), sum((count(t, p) for p in phrases), F.lit(0))).otherwise(0)
     heads = "(?i)^\\s*(?:" + "|".join(P.DISMISSAL_SECTIONS) + ")\\b"
-    parts = F.transform(lines, lambda x, i: F.when(x.rlike(heads), F.array_join(F.slice(lines, i + 1, 10), "\n")))
-    context = F.aggregate(F.filter(parts, lambda x: x.isNotNull()), F.lit(0), lambda a, x: a + hits(x))
+
+    def sections(lines: Column) -> Column:
+        parts = F.transform(lines, lambda x, i: F.when(x.rlike(heads), F.array_join(F.slice(lines, i + 1, 10), "\n")))
+        return F.aggregate(F.filter(parts, lambda x: x.isNotNull()), F.lit(0), lambda a, x: a + hits(x))
+
+    context = F.when(c.rlike(_MAYBE_DISMISSED), bind(F.split(c, "\n", -1), sections)).otherwise(0)
     kinds = sum((c.rlike(rf"(?i)\b{d}\b").cast("int") for d in P.DISMISSAL_DOCUMENTS), F.lit(0))
     return hits(c) + 2.0 * context + kinds * document_weight
 
 
+def dismissed_cases(docs: DataFrame, text: str = "text", at: float = 0.3, ratio: bool = False, document_weight: float = 2.0) -> DataFrame:
+    """(case_id, is_dismissed): the average score of a case's texts reaches the threshold; with ratio, the share of texts with a score."""
+    score = dismissal_score(F.col(text), document_weight)
+    seen = docs.where(F.length(text) > 0).select("case_id", ((score > 0).cast("double") if ratio else score.cast("double")).alias("d"))
+    return seen.groupBy("case_id").agg((F.avg("d") >= at).alias("is_dismissed"))
+
+
 def case_flags(docs: DataFrame, text: str = "text", dismissed_at: float = 0.5, bankruptcy_at: float = 0.5, fees_at: float = 1.0, patent_at: float = 20.0) -> DataFrame:
     """(case_id, documents, is_bankruptcy, is_dismissed, has_fee_shifting, has_large_patent): all flags in one pass and one aggregate."""
     t = F.col(text)
@@ -153,13 +167,16 @@ def coverage(candidates: DataFrame, truth: DataFrame, k: int = 5) -> DataFrame:
     return joined.groupBy("case_id").agg(F.count("*").alias("candidates"), F.avg(F.when(F.col("r") <= k, F.col("feature_votes"))).alias("mean_top_votes"), F.coalesce(F.bool_or(near), F.lit(False)).alias("hit"))
 
 
-def definitively_dismissed(docs: DataFrame, text: str = "text", at: float = 0.5) -> DataFrame:
-    """(case_id, is_dismissed): share of files with dismissal words, orders and judgments counting three times.
+def definitively_dismissed(files: DataFrame, lines: str = "lines", at: float = 0.8, weight: float = 3.0) -> DataFrame:
+    """(case_id, is_dismissed): weighted files with a line that dismisses for good, over the weighted lines before such a line or without one.
 
-    docs: case_id, file_name and a line's text.  Lines of a file count until its first hit.
+    files: case_id, file_name and the file's lines in order; a null list counts as empty.  Orders,
+    judgments, rulings and decisions, by file name, weigh three times.  A case without a line that
+    counts below the fraction is not dismissed.
     """
-    hit = F.greatest(*[F.col(text).rlike(rf"(?id)\b{p}\b").cast("int") for p in P.DISMISSAL])
-    weight = F.when(F.lower("file_name").rlike("order|judgment|ruling|decision"), 3.0).otherwise(1.0)
-    files = docs.where(F.length(text) > 0).groupBy("case_id", "file_name").agg(F.max(hit).alias("hit"), F.count("*").alias("lines"), F.first(weight).alias("w"))
-    total = F.sum(F.when(F.col("hit") == 1, F.col("w")).otherwise(F.col("w") * F.col("lines")))
-    return files.groupBy("case_id").agg((F.sum(F.col("hit") * F.col("w")) / total >= at).alias("is_dismissed"))
+    hit = F.coalesce(F.array_position(F.transform(lines, lambda x: F.coalesce(x.rlike(P.DEFINITE_DISMISSAL), F.lit(False))), True), F.lit(0))
+    w = F.when(F.lower("file_name").rlike("|".join(P.WEIGHTY_FILES)), weight).otherwise(1.0)
+    per = files.select("case_id", w.alias("w"), (hit > 0).alias("hit"), F.when(hit > 0, hit - 1).otherwise(F.coalesce(F.size(lines), F.lit(0))).alias("before"))
+    below = F.sum(F.col("w") * F.col("before"))
+    above = F.sum(F.when(F.col("hit"), F.col("w")).otherwise(0.0))
+    return per.groupBy("case_id").agg(F.coalesce((below > 0) & (above / below >= at), F.lit(False)).alias("is_dismissed"))

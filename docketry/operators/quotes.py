@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docketry.functions import patterns as P
-from docketry.functions.text import clean, collapse_spaces, hamming, simhash, strip, tokens
+from docketry.functions.text import clean, collapse_spaces, count, hamming, simhash, strip, tokens
 
 
 def first_pass(docs: DataFrame, text: str = "text", shortest: int = 20, longest: int = 600, compatibility: bool = True, stop: str | None = None) -> DataFrame:
@@ -48,12 +50,71 @@ def drop_near_duplicates(df: DataFrame, text: str, scope: list[str], order: list
 
 
 def attribute(df: DataFrame, context: str = "context", aliases: list[str] | None = None) -> DataFrame:
-    """Rows that somebody can be found to have said, with speaker: a name before a saying verb and the quote, else the longest alias in the context."""
+    """Rows that somebody can be found to have said, with speaker: a name before a saying verb and the quote, else the longest alias in the context.
+
+    However many the aliases, the context is searched once for each length there is, by one alternation
+    of the aliases of that length, longest first; equal lengths go by the first in alphabetical order.
+    """
     cue = F.regexp_extract(context, r"([A-Z][a-z]+)\s+\b(?i:" + P.CUES + r")\b\s*[:,-]?\s*[\"“](.+?)[\"”]", 1)
-    ranked = sorted(aliases or P.ALIASES, key=lambda a: (-len(a), a))
     low = F.lower(context)
-    alias = F.coalesce(*[F.when(low.contains(a.lower()), F.lit(a.title())) for a in ranked])
-    return df.withColumn("speaker", F.coalesce(F.nullif(cue, F.lit("")), alias)).where("speaker is not null")
+    by_length: dict[int, list[str]] = {}
+    for a in {a.lower() for a in aliases or P.ALIASES}:
+        by_length.setdefault(len(a), []).append(a)
+    found = []
+    for n in sorted(by_length, reverse=True):
+        # overlapping occurrences count, so the match stands in a look-ahead
+        some = "|".join(re.escape(a) for a in sorted(by_length[n]))
+        found.append(F.array_min(F.regexp_extract_all(low, F.lit(f"(?=({some}))"), F.lit(1))))
+    return df.withColumn("speaker", F.coalesce(F.nullif(cue, F.lit("")), F.initcap(F.coalesce(*found)))).where("speaker is not null")
+
+
+def attribute_by_names(df: DataFrame, names: DataFrame, context: str = "context", key: str = "doc_id") -> DataFrame:
+    """Rows whose context holds a name of a gazetteer, with speaker the longest such name, then the first in alphabetical order.
+
+    names: (name), a table of any size.  Contexts and names meet by their words: every run of as many
+    words as some name has is looked up by an equi join, so neither side is broadcast or searched in full.
+    """
+    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"(?U)[\w']+"), F.lit(0))
+    table = names.select(F.col("name")).distinct().withColumn("w", words(F.col("name"))).where(F.size("w") > 0).select("name", F.array_join("w", " ").alias("gram"), F.size("w").alias("n"))
+    sizes = [r["n"] for r in table.select("n").distinct().orderBy("n").limit(16).collect()]
+    rows = df.withColumn("_row", F.xxhash64(*[F.col(c).cast("string") for c in df.columns if c != "urls"])).withColumn("_w", words(F.col(context)))
+    grams = lambda n: F.when(F.size("_w") >= n, F.transform(F.sequence(F.lit(1), F.size("_w") - n + 1), lambda i: F.array_join(F.slice("_w", i, n), " "))).otherwise(F.array().cast("array<string>"))
+    asked = rows.select("_row", F.explode(F.array_distinct(F.concat(*[grams(n) for n in sizes]))).alias("gram")) if sizes else rows.select("_row", F.lit("").alias("gram")).limit(0)
+    best = asked.join(table, "gram").groupBy("_row").agg(F.min(F.struct((-F.length("name")).alias("l"), "name")).alias("b")).select("_row", F.col("b.name").alias("speaker"))
+    return rows.drop("speaker").join(best, "_row").drop("_row", "_w")
+
+
+def quote_pipeline(docs: DataFrame, text: str = "text", aliases: list[str] | None = None, names: DataFrame | None = None, embed=None, seeds: list[list[float]] | None = None, threshold: float = 0.55, exclude: list[str] | None = None) -> DataFrame:
+    """(doc_id, paragraph, ordinal, quote, context, urls, speaker, score): cleaned text -> quoted spans -> near-duplicates -> speakers -> rerank.
+
+    embed, a function from DataFrame to DataFrame that adds a column ``vector``, turns on the rerank
+    by cosine to the seeds; without it the score is 0.  names, a table, adds its names to the aliases.
+    """
+    paragraphs = docs.select("doc_id", F.array_join(F.transform(F.split(text, r"\n\s*\n", -1), lambda p: clean(p, False)), "\n\n").alias("text"))
+    found = drop_near_duplicates(first_pass(paragraphs, compatibility=False), "quote", ["doc_id"], ["paragraph", "ordinal"])
+    said = attribute(found, aliases=aliases)
+    if names is not None:
+        rest = found.join(said.select("doc_id", "paragraph", "ordinal"), ["doc_id", "paragraph", "ordinal"], "left_anti")
+        said = said.unionByName(attribute_by_names(rest, names).select(*said.columns))
+    if exclude:
+        said = filter_speakers(said, exclude)
+    if embed is None or not seeds:
+        return said.withColumn("score", F.lit(0.0))
+    return rerank(embed(said), "vector", seeds, threshold).drop("vector")
+
+
+def process_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+    """Every document with its cleaned text, its quotes nested in order and quote_count; a document without quotes keeps an empty list."""
+    quotes = quote_pipeline(docs, text, **options)
+    nested = quotes.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("paragraph", "ordinal", F.col("quote").alias("text"), "context", "speaker", "score", "urls"))).alias("quotes"))
+    out = docs.withColumn("clean", clean(F.col(text), False)).join(nested, "doc_id", "left")
+    empty = F.array().cast(nested.schema["quotes"].dataType)
+    return out.withColumn("quotes", F.coalesce("quotes", empty)).withColumn("quote_count", F.size("quotes"))
+
+
+def explode_quotes(processed: DataFrame) -> DataFrame:
+    """One row per quote of processed documents, with the document's id."""
+    return processed.select("doc_id", F.explode("quotes").alias("q")).select("doc_id", "q.*")
 
 
 def rerank(df: DataFrame, vector: str, seeds: list[list[float]], threshold: float = 0.55) -> DataFrame:
@@ -133,16 +194,28 @@ def with_provenance(df: DataFrame) -> DataFrame:
 def docket_index(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds docket_number, chars_before and tokens_before: the place of each document in its case, ordered by entry and document.
 
-    docs: case_id, doc_id, entry, document number.  Documents of a case are joined by one space.
+    docs: case_id, doc_id (unique), entry, number.  Documents of a case are joined by one space.
     """
     order = Window.partitionBy("case_id").orderBy("entry", "number", "doc_id")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    n = docs.withColumn("_tokens", F.size(tokens(F.col(text))))
-    return n.withColumns({
-        "docket_number": F.row_number().over(order),
-        "chars_before": F.coalesce(F.sum(F.length(text) + 1).over(before), F.lit(0)),
-        "tokens_before": F.coalesce(F.sum("_tokens").over(before), F.lit(0)),
-    }).drop("_tokens")
+    # only lengths go through the window; the texts come back by their key
+    n = docs.select("case_id", "doc_id", "entry", "number", F.length(text).alias("_chars"), count(F.col(text), r"(?U)\S+").alias("_tokens"))
+    placed = n.select(
+        "doc_id", F.row_number().over(order).alias("docket_number"), F.coalesce(F.sum(F.col("_chars") + 1).over(before), F.lit(0)).alias("chars_before"),
+        F.coalesce(F.sum("_tokens").over(before), F.lit(0)).alias("tokens_before"))
+    return docs.join(placed, "doc_id")
+
+
+def full_case_text(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(case_id, documents, full_text): a case's texts in docket order, joined by one space."""
+    parts = F.array_sort(F.collect_list(F.struct(F.coalesce("entry", F.lit(-1)).alias("entry"), F.coalesce("number", F.lit(-1)).alias("number"), "doc_id", F.col(text).alias("t"))))
+    return docs.groupBy("case_id").agg(parts.alias("p")).select("case_id", F.size("p").alias("documents"), F.array_join(F.transform("p", lambda x: x["t"]), " ").alias("full_text"))
+
+
+def char_to_token(text: Column, at: Column) -> Column:
+    """How many tokens start before a character, counted from 0; null for a null place."""
+    ahead = F.substr(text, F.lit(1), F.greatest(at, F.lit(0)))
+    return F.when(at.isNotNull(), count(ahead, r"(?U)\S+"))
 
 
 def find_start(text: Column, needle: Column) -> Column:
@@ -166,7 +239,7 @@ def quote_positions(quotes: DataFrame, index: DataFrame, text: str = "text") ->
     q = q.withColumn("_s", start)
     error = F.when(F.col("docket_number").isNull(), "Docket not found for doc_id").when(F.coalesce(F.length("text"), F.lit(0)) == 0, "Empty quote text").when(F.col("_s").isNull(), "Low confidence match")
     q = q.withColumn("feature_error", error).withColumn("_s", F.when(error.isNull(), F.col("_s")))
-    ahead = F.size(tokens(F.substr("_d", F.lit(1), F.col("_s"))))
+    ahead = char_to_token(F.col("_d"), F.col("_s"))
     keep = [c for c in quotes.columns]
     found = F.col("_s").isNotNull()
     return q.select(

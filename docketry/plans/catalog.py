@@ -13,35 +13,21 @@ from docketry.operators import analytics as N
 from docketry.operators import cases as C
 from docketry.operators import people as K
 from docketry.operators import quotes as Q
+from docketry.plans.registry import QUERIES, SQL, ascii_flags, query, quoted
 from docketry.runtime import effective_case_id, table
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def keep(f):
-        QUERIES[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return keep
-
-
-def queries() -> dict:
-    return dict(QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
-
-
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct documents of the docket with their text."""
     return table(spark, folder, "docs").select("doc_id", F.coalesce("raw_text", "plain_text").alias("text")).where("text is not null and doc_id is not null").distinct()
 
 
+def newest_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, text) of every document, of one delivered with several texts the newest by ingestion, then the first in order."""
+    d = table(spark, folder, "docs").select("doc_id", F.coalesce("raw_text", "plain_text").alias("text"), "ingested_at").where("text is not null and doc_id is not null")
+    return d.groupBy("doc_id").agg(F.min_by("text", F.struct((-F.unix_micros(F.col("ingested_at").cast("timestamp"))).alias("age"), "text")).alias("text"))
+
+
+NEWEST = "nt AS (SELECT doc_id, text FROM (SELECT doc_id, coalesce(raw_text, plain_text) AS text, row_number() OVER (PARTITION BY doc_id ORDER BY ingested_at DESC NULLS FIRST, coalesce(raw_text, plain_text)) AS n FROM docs WHERE coalesce(raw_text, plain_text) IS NOT NULL AND doc_id IS NOT NULL) WHERE n = 1)"
 _TEXTS = "d AS (SELECT DISTINCT doc_id, coalesce(raw_text, plain_text) AS text FROM docs WHERE coalesce(raw_text, plain_text) IS NOT NULL AND doc_id IS NOT NULL)"
 _CANDIDATES = r"""
 m AS (SELECT doc_id, text, regexp_extract_all(text, '\$[\d,]+(?:\.\d{2})?') AS f, string_split_regex(text, '\$[\d,]+(?:\.\d{2})?') AS g FROM d),
@@ -75,17 +61,17 @@ def top_amounts(spark, folder):
     return A.top_candidates(A.dollar_candidates(_texts(spark, folder)), 10).select("doc_id", "value", "feature_votes", "rank")
 
 
-@query("outcomes", f"""WITH {_TEXTS}, {_CANDIDATES}, b AS (SELECT doc_id, arg_max(value, (feature_votes, value, -start)) AS amount FROM c GROUP BY doc_id),
+@query("outcomes", f"""WITH {NEWEST}, d AS (SELECT * FROM nt), {_CANDIDATES}, b AS (SELECT doc_id, arg_max(value, (feature_votes, value, -start)) AS amount FROM c GROUP BY doc_id),
  o AS (SELECT doc_id, {_OUTCOME} AS outcome_type,
   CASE WHEN contains(lower(text), 'district court') THEN 'district' WHEN contains(lower(text), 'court of appeals') OR contains(lower(text), 'circuit court') THEN 'appeals'
    WHEN contains(lower(text), 'supreme court') THEN 'supreme' WHEN contains(lower(text), 'bankruptcy court') THEN 'bankruptcy' END AS court_type,
   contains(lower(text), 'dismissed') AND (contains(lower(text), 'with prejudice') OR contains(lower(text), 'without prejudice')) AS is_dismissed,
   (contains(lower(text), 'attorney') AND contains(lower(text), 'fee')) OR contains(lower(text), 'fee shifting') OR contains(lower(text), 'prevailing party') AS has_fee_shifting,
-  row_number() OVER (PARTITION BY doc_id ORDER BY text) AS n FROM d)
+  1 AS n FROM nt)
  SELECT o.doc_id, outcome_type, court_type, is_dismissed, has_fee_shifting, amount FROM o LEFT JOIN b USING (doc_id) WHERE n = 1 AND (amount IS NOT NULL OR outcome_type IS NOT NULL)""")
 def outcomes(spark, folder):
     """Outcome type, court type, flags and best amount of each document."""
-    one = _texts(spark, folder).groupBy("doc_id").agg(F.min("text").alias("text"))
+    one = newest_texts(spark, folder)
     return C.outcomes(one).drop("candidates")
 
 
@@ -94,12 +80,12 @@ _PREFIX = "coalesce(nullif({0}.case_id, ''), split_part({0}.doc_id, '_', 1))"
 
 def _outcome_rows(spark, folder):
     """Outcome of each docket text by its words and the text's largest amount in plain dollars."""
-    t = _texts(spark, folder).groupBy("doc_id").agg(F.min("text").alias("text"))
+    t = newest_texts(spark, folder)
     largest = F.array_max(F.transform(F.regexp_extract_all("text", F.lit(P.DOLLARS), F.lit(0)), X.number))
     return t.select("doc_id", F.lit(None).cast("string").alias("case_id"), C.outcome_type(F.col("text")).alias("outcome_type"), largest.alias("amount"))
 
 
-@query("case_values", f"""WITH t AS (SELECT doc_id, min(coalesce(raw_text, plain_text)) AS text FROM docs WHERE coalesce(raw_text, plain_text) IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id),
+@query("case_values", f"""WITH {NEWEST}, t AS (SELECT doc_id, text FROM nt),
  o AS (SELECT split_part(doc_id, '_', 1) AS case_id, doc_id, {_OUTCOME} AS outcome_type,
    list_max(list_transform(regexp_extract_all(text, '\\$[\\d,]+(?:\\.\\d{{2}})?'), lambda z: try_cast(replace(replace(z, '$', ''), ',', '') AS DOUBLE))) AS amount FROM t),
  bo AS (SELECT case_id, max(amount) AS v FROM o WHERE outcome_type = 'settlement' AND amount > 0 GROUP BY case_id),
@@ -131,30 +117,72 @@ def best_cash(spark, folder):
     return C.best_cash(C.with_case_id(table(spark, folder, "cash_amounts").select("doc_id", "case_id", "value", "feature_votes"))).withColumn("cash_docs", F.size("cash_docs").cast("long"))
 
 
-@query("imputed_values")
+_DISMISSAL_SCORE = f"""pats(p) AS (VALUES {", ".join("(" + quoted(chr(92) + "b" + p + chr(92) + "b").replace("'" + chr(92), "'(?i)" + chr(92), 1) + ")" for p in P.DISMISSAL)}),
+ kinds(p) AS (VALUES {", ".join("('(?i)" + chr(92) + "b" + p + chr(92) + "b')" for p in P.DISMISSAL_DOCUMENTS)}),
+ t AS (SELECT split_part(doc_id, '_', 1) AS case_id, row_number() OVER () AS i, text FROM d WHERE length(text) > 0),
+ li AS (SELECT i, string_split(text, chr(10)) AS ls FROM t), sec AS (SELECT i, array_to_string(ls[k:k+9], chr(10)) AS part FROM (SELECT i, ls, unnest(range(1, len(ls) + 1)) AS k FROM li) WHERE regexp_matches(ls[k], '(?i)^\\s*(?:{"|".join(P.DISMISSAL_SECTIONS)})\\b')),
+ a AS (SELECT i, sum(len(regexp_extract_all(text, p))) AS n FROM t, pats GROUP BY i), b AS (SELECT i, sum(len(regexp_extract_all(part, p))) AS n FROM sec, pats GROUP BY i), c AS (SELECT i, sum(regexp_matches(text, p)::INT) AS n FROM t, kinds GROUP BY i),
+ sc AS (SELECT t.case_id, t.i, t.text, a.n + 2.0 * coalesce(b.n, 0) + 2.0 * c.n AS score FROM t JOIN a USING (i) LEFT JOIN b USING (i) JOIN c USING (i))"""
+_BANKRUPT = "coalesce(contains(lower(coalesce(" + ", ".join(f"nullif(regexp_extract(substr(text, 1, 2000), '(?i){n}'), '')" for n in P.COURT_NAMES) + ")), 'bankruptcy'), false)"
+_FLAGS = f"""fl AS (SELECT case_id, count(*) AS documents, avg({_BANKRUPT}::INT) >= 0.5 AS is_bankruptcy, avg(score) >= 0.5 AS is_dismissed, avg(len(regexp_extract_all(text, {quoted(P.FEE_SHIFTING)}))) >= 1 AS has_fee_shifting,
+  avg(len(regexp_extract_all(text, {quoted(P.PATENT)}))) >= 20 AS has_large_patent FROM sc GROUP BY case_id)"""
+
+
+@query("imputed_values", f"""WITH {_TEXTS}, {_DISMISSAL_SCORE}, {_FLAGS}, {_CANDIDATES}, best AS (SELECT split_part(doc_id, '_', 1) AS case_id, arg_max(value, (feature_votes, value)) AS v FROM c GROUP BY 1)
+ SELECT fl.case_id, CASE WHEN NOT is_bankruptcy THEN CASE WHEN is_dismissed THEN 0.0 ELSE v END END AS final_judgement_real FROM fl LEFT JOIN best USING (case_id)""".replace(" c AS (SELECT i, sum(regexp", " kc AS (SELECT i, sum(regexp").replace("2.0 * c.n", "2.0 * kc.n").replace("JOIN c USING (i)", "JOIN kc USING (i)"))
 def imputed_values(spark, folder):
     """Case flags and amounts of the docket's texts put together to one value per case."""
     docs = _texts(spark, folder).withColumn("case_id", C.case_prefix(F.col("doc_id")))
     return C.impute_case_values(C.case_flags(docs), A.dollar_candidates(docs))
 
 
-@query("case_flags")
+@query("case_flags", f"WITH {_TEXTS}, {_DISMISSAL_SCORE}, {_FLAGS} SELECT * FROM fl")
 def case_flags(spark, folder):
     """Bankruptcy, dismissal, fee shifting and large patent flags of every case."""
     return C.case_flags(_texts(spark, folder).withColumn("case_id", C.case_prefix(F.col("doc_id"))))
 
 
-_COUNTED = {"proximity": P.PROXIMITY, "judgment_verbs": P.JUDGMENT_VERBS, "financial_terms": P.FINANCIAL_TERMS, "settlement_terms": P.SETTLEMENT_TERMS, "legal_proceedings": P.LEGAL_PROCEEDINGS, "monetary_phrases": P.MONETARY_PHRASES, "high_confidence": P.HIGH_CONFIDENCE, "amount_adjacent": P.AMOUNT_ADJACENT}
+@query("dismissed_share", f"WITH {_TEXTS}, {_DISMISSAL_SCORE} SELECT case_id, avg((score > 0)::INT) >= 0.3 AS is_dismissed FROM sc GROUP BY case_id")
+def dismissed_share(spark, folder):
+    """Cases in which at least three tenths of the texts speak of a dismissal at all."""
+    return C.dismissed_cases(_texts(spark, folder).withColumn("case_id", C.case_prefix(F.col("doc_id"))), ratio=True)
 
 
-@query("signal_counters", "SELECT amount_id, " + ", ".join("CAST(len(regexp_extract_all(context, '" + p.replace("'", "''") + f"')) AS INTEGER) AS n_{k}" for k, p in _COUNTED.items()) + " FROM cash_amounts WHERE context IS NOT NULL")
+_COUNTED = {
+    "proximity": [P.PROXIMITY], "judgment_verbs": [P.JUDGMENT_VERBS], "financial_terms": [P.FINANCIAL_TERMS], "settlement_terms": [P.SETTLEMENT_TERMS], "legal_proceedings": [P.LEGAL_PROCEEDINGS],
+    "monetary_phrases": [P.MONETARY_PHRASES], "document_structure": [P.TABLES, P.HEADERS, P.SECTIONS], "high_confidence": [P.HIGH_CONFIDENCE], "amount_adjacent": [P.AMOUNT_ADJACENT],
+    "all_caps_titles": [rf"\b{t}\b" for t in P.ALL_CAPS_TITLES],
+}
+_SUM = lambda column, patterns: " + ".join(f"len(regexp_extract_all({column}, {quoted(p)}))" for p in patterns)
+_COUNTERS = ", ".join(f"CAST({_SUM('context', p)} AS INTEGER) AS n_{k}" for k, p in _COUNTED.items()) + (
+    f", CAST({_SUM('lower(context)', [chr(92) + 'b(?:' + '|'.join([*P.NUMBER_WORDS, *P.LARGE_WORDS, *P.FRACTION_WORDS]) + ')' + chr(92) + 'b'])} AS INTEGER) AS n_numeric_gazetteer"
+    f", CAST({_SUM('substr(context, 1, 2000)', [chr(92) + 'b' + t + chr(92) + 'b' for t in P.DOCUMENT_TITLES])} AS INTEGER) AS n_document_titles"
+)
+
+
+@query("signal_counters", f"SELECT amount_id, {_COUNTERS} FROM cash_amounts WHERE context IS NOT NULL")
 def signal_counters(spark, folder):
-    """How often each family of signals stands in an amount's context."""
+    """How often each family of signals stands in an amount's context, all twelve."""
     rows = table(spark, folder, "cash_amounts").where("context is not null").select("amount_id", "context")
-    return A.with_counters(rows).select("amount_id", *[f"n_{k}" for k in _COUNTED])
+    return A.with_counters(rows).drop("context")
+
 
+_W = P.VOTE_WEIGHTS
+_PLAIN = ("proximity", "judgment_verbs", "financial_terms", "settlement_terms", "legal_proceedings", "monetary_phrases", "document_structure", "numeric_gazetteer", "high_confidence", "amount_adjacent")
+_VOTES = (
+    "trunc(trunc(trunc(" + " + ".join(f"n_{k} * {_W[k]}::DOUBLE" for k in _PLAIN)
+    + f" + (n_high_confidence * 5.0 + n_amount_adjacent * 2.0 + CASE WHEN n_high_confidence > 0 AND n_amount_adjacent > 0 THEN 3.0 ELSE 0.0 END) * {_W['confidence_boost']}::DOUBLE)"
+    + f" + position_votes * {_W['case_position']}::DOUBLE) + n_all_caps_titles * {_W['all_caps_titles']}::DOUBLE + n_document_titles * {_W['document_titles']}::DOUBLE)"
+)
+_EFFECTIVE = "lower(coalesce(nullif(trim(case_id, ' ' || chr(9) || chr(10) || chr(13)), ''), nullif(trim(split_part(doc_id, '_', 1), ' ' || chr(9) || chr(10) || chr(13)), '')))"
 
-@query("weighted_votes")
+
+@query("weighted_votes", f"""WITH r AS (SELECT amount_id, doc_id, {_EFFECTIVE} AS case_id, {_COUNTERS} FROM cash_amounts WHERE context IS NOT NULL),
+ f AS (SELECT DISTINCT case_id, doc_id, try_cast(nullif(regexp_extract(doc_id, '(\\d+)$', 1), '') AS INTEGER) AS number FROM r),
+ g AS (SELECT *, count(*) OVER (PARTITION BY case_id) AS n, rank() OVER (PARTITION BY case_id ORDER BY doc_id NULLS FIRST) AS a, rank() OVER (PARTITION BY case_id ORDER BY number NULLS FIRST) AS b FROM f),
+ p AS (SELECT case_id, doc_id, (CASE WHEN n > 1 AND (a - 1) / (n - 1) >= 0.5 THEN 1 ELSE 0 END) + (CASE WHEN number IS NOT NULL AND n > 1 AND (b - 1) / (n - 1) >= 0.5 THEN 1 ELSE 0 END) AS v FROM g),
+ j AS (SELECT r.*, coalesce(p.v, 0) AS position_votes FROM r LEFT JOIN p ON r.case_id = p.case_id AND r.doc_id = p.doc_id)
+ SELECT amount_id, CAST(position_votes AS INTEGER) AS position_votes, CAST({_VOTES} AS INTEGER) AS feature_votes FROM j""")
 def weighted_votes(spark, folder):
     """All votes with the place of the document in its case."""
     rows = table(spark, folder, "cash_amounts").where("context is not null").select("amount_id", "doc_id", effective_case_id().alias("case_id"), "context")
@@ -180,10 +208,14 @@ def percentages(spark, folder):
     return A.percentages(_texts(spark, folder))
 
 
-@query("definitely_dismissed")
+@query("definitely_dismissed", f"""WITH {_TEXTS}, l AS (SELECT split_part(doc_id, '_', 1) AS case_id, doc_id, string_split(text, chr(10)) AS ls FROM d),
+ h AS (SELECT case_id, ls, CASE WHEN regexp_matches(lower(doc_id), '{"|".join(P.WEIGHTY_FILES)}') THEN 3.0 ELSE 1.0 END AS w, coalesce(list_position(list_transform(ls, lambda z: regexp_matches(z, {quoted(P.DEFINITE_DISMISSAL)})), true), 0) AS p FROM l),
+ f AS (SELECT case_id, w, p, CASE WHEN p > 0 THEN p - 1 ELSE len(ls) END AS before FROM h)
+ SELECT case_id, coalesce(sum(w * before) > 0 AND sum(CASE WHEN p > 0 THEN w ELSE 0.0 END) / nullif(sum(w * before), 0) >= 0.8, false) AS is_dismissed FROM f GROUP BY case_id""")
 def definitely_dismissed(spark, folder):
+    """Cases whose files say for good that they are over; a file is a text of the docket, its rows the text's lines."""
     docs = _texts(spark, folder)
-    return C.definitively_dismissed(docs.select(C.case_prefix(F.col("doc_id")).alias("case_id"), F.col("doc_id").alias("file_name"), "text"))
+    return C.definitively_dismissed(docs.select(C.case_prefix(F.col("doc_id")).alias("case_id"), F.col("doc_id").alias("file_name"), F.split("text", "\n", -1).alias("lines")))
 
 
 @query("smart_sums")
@@ -191,43 +223,83 @@ def smart_sums(spark, folder):
     return A.smart_sums(_texts(spark, folder))
 
 
+_SPACE = r"\t\n\x0b\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_STRIP = lambda c: f"regexp_replace({c}, '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g')"
+_STEPS = [
+    (r"(?m)^(?:Page \d+ of \d+)\s*$", "''"), (r"(?m)^\s*(?:Id\.|EPIC\s*–\s*CDD Complaint|Federal Trade Commission).*\n", "''"), (rf"[{_SPACE}]*\[\p{{Nd}}+\]", "''"), None,
+    (r"[ \t]{2,}", "' '"), (rf"(?m)^[{_SPACE}]*\[?\p{{Nd}}+\]?[{_SPACE}]*$", "''"), (r"-\n", "''"), (r"(^|[^\n])\n([^\n]|$)", r"'\1 \2'"), (r"(^|[^\n])\n([^\n]|$)", r"'\1 \2'"),
+    (rf"([\p{{L}}\p{{M}}\p{{Nd}}_]+)-[{_SPACE}]*\n[{_SPACE}]*([\p{{L}}\p{{M}}\p{{Nd}}_]+)", r"'\1\2'"), (r"(?m)^[ \t]+", "''"), (r"\n{3,}", "chr(10) || chr(10)"),
+    (r"\r\n|[\r\x0b\f\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]", "chr(10)"), (rf"(?m)[{_SPACE.replace(r'\n', '')}]+$", "''"),
+]
+_SIGNS = "'‘’“”–—' || chr(160), " + chr(39) * 5 + '""-- ' + chr(39)
+
+
+def clean_sql(column: str) -> str:
+    """The cleaner's steps but for the compatibility form, which DuckDB lacks."""
+    for step in _STEPS:
+        column = f"translate({column}, {_SIGNS})" if step is None else f"regexp_replace({column}, '{step[0]}', {step[1]}, 'g')"
+    return f"regexp_replace({_STRIP(column)}, '[ \\t]{{2,}}', ' ', 'g')"
+
+
 @query("clean_text")
 def clean_text(spark, folder):
     """The cleaner over the docket's texts, with lengths before and after."""
     return _texts(spark, folder).select("doc_id", X.clean(F.col("text")).alias("clean"), F.length("text").alias("original_length")).withColumn("normalized_length", F.length("clean"))
 
 
-@query("clean_steps", r"""WITH s AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL),
- a AS (SELECT doc_id, regexp_replace(regexp_replace(text, '\[\d+\]', '', 'g'), '[ \t]{2,}', ' ', 'g') AS t FROM s),
- b AS (SELECT doc_id, regexp_replace(translate(t, '‘’“”–—', '''''""--'), '\n{3,}', chr(10) || chr(10), 'g') AS t FROM a)
- SELECT doc_id, md5(t) AS digest, CAST(length(t) AS INTEGER) AS chars FROM b""")
+@query("clean_steps", f"SELECT doc_id, md5(t) AS digest, CAST(length(t) AS INTEGER) AS chars FROM (SELECT doc_id, {clean_sql('text')} AS t FROM documents WHERE text IS NOT NULL)")
 def clean_steps(spark, folder):
-    """Those steps of the cleaner that SQL has too, over the documents."""
-    c = F.regexp_replace(F.regexp_replace("text", r"\[\d+\]", ""), r"[ \t]{2,}", " ")
-    c = F.regexp_replace(F.translate(c, "‘’“”–—", "''\"\"--"), r"\n{3,}", "\n\n")
+    """The cleaner without the compatibility form over all documents."""
+    c = X.clean(F.col("text"), False)
     return table(spark, folder, "documents").where("text is not null").select("doc_id", F.md5(c).alias("digest"), F.length(c).alias("chars"))
 
 
-@query("token_counts", r"""SELECT doc_id, CAST(CASE WHEN trim(regexp_replace(text, '[ \t\n\r\f\v]+', ' ', 'g'), ' ') = '' THEN 0 ELSE len(string_split(trim(regexp_replace(text, '[ \t\n\r\f\v]+', ' ', 'g'), ' '), ' ')) END AS INTEGER) AS n_tokens
- FROM documents WHERE text IS NOT NULL""")
+@query("clean_docket", f"WITH {_TEXTS} SELECT doc_id, md5(t) AS digest, CAST(length(t) AS INTEGER) AS normalized_length, CAST(length(text) AS INTEGER) AS original_length FROM (SELECT doc_id, text, {clean_sql('text')} AS t FROM d)")
+def clean_docket(spark, folder):
+    """The same over the docket's scanned and born-digital texts, where page markers, footnotes and broken lines are."""
+    c = X.clean(F.col("text"), False)
+    return _texts(spark, folder).select("doc_id", F.md5(c).alias("digest"), F.length(c).alias("normalized_length"), F.length("text").alias("original_length"))
+
+
+@query("clean_offsets", f"WITH {_TEXTS}, t AS (SELECT doc_id, {clean_sql('text')} AS t FROM d) SELECT doc_id, CAST(length(t) AS INTEGER) AS offsets, true AS valid, CAST(length(t) * (length(t) - 1) / 2 AS BIGINT) AS places FROM t")
+def clean_offsets(spark, folder):
+    """The cleaned texts' offset maps: their size, whether they are within bounds, and the sum of their places."""
+    got = _texts(spark, folder).select("doc_id", F.length("text").alias("raw"), X.clean_with_offsets(F.col("text"), False).alias("c"))
+    n = F.length("c.text")
+    return got.select("doc_id", F.size("c.offsets").alias("offsets"), X.offsets_valid(F.col("c.offsets"), F.greatest("raw", n), n).alias("valid"), F.aggregate("c.offsets", F.lit(0).cast("long"), lambda a, x: a + x["raw_start"]).alias("places"))
+
+
+_TOKENS = _STRIP(f"regexp_replace(text, '[{_SPACE}]+', ' ', 'g')")
+
+
+@query("token_counts", f"SELECT doc_id, CAST(CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END AS INTEGER) AS n_tokens FROM (SELECT doc_id, {_TOKENS} AS t FROM documents WHERE text IS NOT NULL)")
 def token_counts(spark, folder):
-    plain = F.trim(F.regexp_replace("text", r"[ \t\n\r\f\x0B]+", " "))
-    return table(spark, folder, "documents").where("text is not null").select("doc_id", F.when(plain == "", 0).otherwise(F.size(F.split(plain, " ", -1))).alias("n_tokens"))
+    return table(spark, folder, "documents").where("text is not null").select("doc_id", F.size(X.tokens(F.col("text"))).alias("n_tokens"))
 
 
 @query("quote_candidates")
 def quote_candidates(spark, folder):
     """Quoted spans of the docket's texts without near-duplicates within a document."""
-    found = Q.first_pass(_texts(spark, folder).groupBy("doc_id").agg(F.min("text").alias("text")))
+    found = Q.first_pass(newest_texts(spark, folder))
     return Q.drop_near_duplicates(found, "quote", ["doc_id"], ["paragraph", "ordinal"])
 
 
-@query("quotes_attributed")
+_CUED = "([A-Z][a-z]+)[ \\t\\n\\x0b\\f\\r]+\\b(?i:" + P.CUES + ")\\b[ \\t\\n\\x0b\\f\\r]*[:,-]?[ \\t\\n\\x0b\\f\\r]*[\"“](.+?)[\"”]"
+_ALIASED = "CASE " + " ".join(f"WHEN contains(lower(context), '{a}') THEN '{a.title()}'" for a in sorted(P.ALIASES, key=lambda a: (-len(a), a))) + " END"
+_PASS = f"""pa AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS paragraph, {_STRIP('string_split(text, chr(10) || chr(10))[i]')} AS p FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10) || chr(10))) + 1)) AS i FROM nt)),
+ sp AS (SELECT doc_id, paragraph, p, unnest(regexp_extract_all(p, '(?s)“(.*?)”|"(.*?)"')) AS raw, unnest(range(0, len(regexp_extract_all(p, '(?s)“(.*?)”|"(.*?)"')))) AS o FROM pa WHERE p <> ''),
+ rw AS (SELECT doc_id, paragraph, CAST(o AS INTEGER) AS ordinal, p, {_STRIP('raw[2:length(raw) - 1]')} AS q FROM sp),
+ fp AS (SELECT doc_id, paragraph, ordinal, {_STRIP("regexp_replace(q, 'https?://[^ \\t\\n\\x0b\\f\\r]+', '', 'g')")} AS quote, {clean_sql(_STRIP(f"regexp_replace(p, '[{_SPACE}]+', ' ', 'g')"))} AS context FROM rw WHERE length(q) BETWEEN 20 AND 600 AND NOT regexp_matches(q, '^[^\\p{{L}}\\p{{M}}_]+$') AND NOT regexp_matches(q, '^\\p{{Nd}}'))"""
+
+
+@query("quotes_attributed", f"WITH {NEWEST}, {_PASS} SELECT * FROM (SELECT doc_id, paragraph, ordinal, quote, coalesce(nullif(regexp_extract(context, '{_CUED}', 1), ''), {_ALIASED}) AS speaker FROM fp) WHERE speaker IS NOT NULL")
 def quotes_attributed(spark, folder):
-    return Q.attribute(Q.first_pass(_texts(spark, folder).groupBy("doc_id").agg(F.min("text").alias("text")))).select("doc_id", "paragraph", "ordinal", "quote", "speaker")
+    return Q.attribute(Q.first_pass(newest_texts(spark, folder))).select("doc_id", "paragraph", "ordinal", "quote", "speaker")
 
 
-@query("quotes_reranked")
+@query("quotes_reranked", """WITH n AS (SELECT max(len(embedding)) AS n FROM embeddings), s AS (SELECT list_transform(range(n), lambda i: CASE WHEN i % 2 = 1 THEN 1.0 ELSE -1.0 END::DOUBLE) AS a, list_transform(range(n), lambda i: CASE WHEN i < n // 2 THEN 1.0 ELSE 0.0 END::DOUBLE) AS b FROM n),
+ v AS (SELECT vec_id, embedding::DOUBLE[] AS v, greatest(list_inner_product(embedding::DOUBLE[], a) / sqrt(list_inner_product(a, a)), list_inner_product(embedding::DOUBLE[], b) / sqrt(list_inner_product(b, b)), -1.0) / nullif(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 0) AS score FROM embeddings, s)
+ SELECT vec_id, round(score, 6) AS score FROM v WHERE score >= 0.05""")
 def quotes_reranked(spark, folder):
     """Embeddings near one of two seed vectors, as the rerank step sees quotes."""
     e = table(spark, folder, "embeddings")
@@ -264,18 +336,25 @@ def provenance(spark, folder):
     return q.select("record_id", F.col("prov_court").alias("court"), F.col("prov_year").alias("year"), F.col("prov_law").alias("law"))
 
 
-@query("provenance_company")
+def _company(column: str) -> str:
+    """First named company of a column's sentences: up to three words before the first company form that has enough of them."""
+    words = f"list_filter(string_split_regex(s, '[{_SPACE}]+'), lambda z: z <> '')"
+    per = f"list_filter(list_transform(range(1, len({words}) + 1), lambda i: CASE WHEN regexp_matches({words}[i], {quoted(P.COMPANY_FORMS)}) THEN array_to_string({words}[greatest(i - 3, 1):i - 1], ' ') END), lambda x: length(x) > 3)[1]"
+    return f"list_filter(list_transform(string_split({column}, '.'), lambda s: {per}), lambda x: x IS NOT NULL)[1]"
+
+
+@query("provenance_company", f"SELECT record_id, coalesce({_company('c')}, {_company('speaker')}) AS company FROM (SELECT record_id, coalesce(nullif(context, ''), text) AS c, speaker FROM quotes)")
 def provenance_company(spark, folder):
     q = Q.with_provenance(table(spark, folder, "quotes").select("record_id", "doc_id", "case_id", "case_year", "context", "text", "speaker"))
     return q.select("record_id", F.col("prov_company").alias("company"))
 
 
 def _index(spark, folder):
-    d = _texts(spark, folder).groupBy("doc_id").agg(F.min("text").alias("text"))
+    d = newest_texts(spark, folder)
     return Q.docket_index(d.select(F.lower("doc_id").alias("doc_id"), "text", C.case_prefix(F.lower("doc_id")).alias("case_id"), F.regexp_extract("doc_id", r"(?:entry|opinions)_(\d+)", 1).try_cast("int").alias("entry"), F.regexp_extract("doc_id", r"(\d+)$", 1).try_cast("int").alias("number")))
 
 
-@query("docket_index", r"""WITH d AS (SELECT lower(doc_id) AS doc_id, min(coalesce(raw_text, plain_text)) AS text FROM docs WHERE coalesce(raw_text, plain_text) IS NOT NULL AND doc_id IS NOT NULL GROUP BY 1),
+@query("docket_index", rf"""WITH {NEWEST}, d AS (SELECT lower(doc_id) AS doc_id, text FROM nt),
  e AS (SELECT doc_id, split_part(doc_id, '_', 1) AS case_id, text, try_cast(nullif(regexp_extract(doc_id, '(?:entry|opinions)_(\d+)', 1), '') AS INTEGER) AS entry, try_cast(nullif(regexp_extract(doc_id, '(\d+)$', 1), '') AS INTEGER) AS number FROM d)
  SELECT doc_id, CAST(row_number() OVER w AS INTEGER) AS docket_number, CAST(coalesce(sum(length(text) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS chars_before FROM e
  WINDOW w AS (PARTITION BY case_id ORDER BY entry NULLS FIRST, number NULLS FIRST, doc_id)""")
@@ -346,10 +425,44 @@ def speaker_cases(spark, folder):
     return N.speaker_case_counts(table(spark, folder, "quotes").select("speaker", "case_id"))
 
 
-@query("case_folds", """WITH s AS (SELECT case_id AS component, count(*) AS rows FROM quotes WHERE case_id IS NOT NULL GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY rows DESC, component) - 1 AS k FROM s)
- SELECT component, rows, CAST(CASE WHEN (k // 5) % 2 = 0 THEN k % 5 ELSE 4 - k % 5 END AS INTEGER) AS fold FROM r""")
+#: Speakers that name nobody bind no cases.
+_NOBODY = ["Unknown", "unknown", "UNKNOWN", "N/A", "None", "Court", "the Court", "Counsel", "Plaintiff", "Defendant", "Spokesperson", "spokesperson", "Company", "the Company", "Management"]
+_COMPONENTS = f"""q AS (SELECT DISTINCT {_EFFECTIVE} AS e, speaker FROM quotes WHERE {_EFFECTIVE} IS NOT NULL), s AS (SELECT e, speaker FROM q WHERE speaker IS NOT NULL AND speaker NOT IN ({", ".join(f"'{x}'" for x in _NOBODY)})),
+ links AS (SELECT DISTINCT a.e AS a, b.e AS b FROM s a JOIN s b USING (speaker) WHERE a.e <> b.e), reach(a, b) AS (SELECT e, e FROM (SELECT DISTINCT e FROM q) UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+ comp AS (SELECT a AS case_id, min(b) AS component FROM reach GROUP BY a)"""
+
+
+def _case_rows(spark, folder):
+    return table(spark, folder, "quotes").select(effective_case_id().alias("case_id"), "speaker")
+
+
+@query("case_components", f"WITH RECURSIVE {_COMPONENTS} SELECT case_id, component FROM comp")
+def case_components(spark, folder):
+    """Cases that hang together through people heard in them."""
+    return N.entity_components(_case_rows(spark, folder), "case_id", "speaker", _NOBODY)
+
+
+_FOLDS = f"""{_COMPONENTS}, sz AS (SELECT component, count(*) AS rows FROM (SELECT {_EFFECTIVE} AS case_id FROM quotes) JOIN comp USING (case_id) GROUP BY 1), rk AS (SELECT *, row_number() OVER (ORDER BY rows DESC, component) AS k FROM sz),
+ deal(k, f, component, rows, fold) AS (SELECT 0::BIGINT, [0, 0, 0, 0, 0]::BIGINT[], NULL::VARCHAR, NULL::BIGINT, NULL::INTEGER UNION ALL
+  SELECT rk.k, list_transform(f, lambda x, i: CASE WHEN i = list_position(f, list_min(f)) THEN x + rk.rows ELSE x END), rk.component, rk.rows, CAST(list_position(f, list_min(f)) - 1 AS INTEGER) FROM deal JOIN rk ON rk.k = deal.k + 1)"""
+
+
+def _folds(spark, folder):
+    rows = _case_rows(spark, folder).where("case_id is not null")
+    sizes = rows.join(case_components(spark, folder), "case_id").groupBy("component").agg(F.count("*").alias("rows"))
+    return N.pack_folds(sizes, 5)
+
+
+@query("case_folds", f"WITH RECURSIVE {_FOLDS} SELECT component, rows, fold FROM deal WHERE k > 0")
 def case_folds(spark, folder):
-    return N.pack_folds(table(spark, folder, "quotes").where("case_id is not null").groupBy(F.col("case_id").alias("component")).agg(F.count("*").alias("rows")), 5)
+    """Components of cases in five folds, the largest first, each to the fold with fewest quotes."""
+    return _folds(spark, folder)
+
+
+@query("fold_balance", f"""WITH RECURSIVE {_FOLDS}, p AS (SELECT fold, sum(rows) AS w FROM deal WHERE k > 0 GROUP BY 1)
+ SELECT count(*) AS folds, min(w)::BIGINT AS least, max(w)::BIGINT AS most, round(max(w)::DOUBLE / min(w), 6) AS ratio, CASE WHEN max(w)::DOUBLE / min(w) < 1.5 THEN 'GOOD' WHEN max(w)::DOUBLE / min(w) < 2 THEN 'MODERATE' ELSE 'POOR' END AS quality FROM p""")
+def fold_balance(spark, folder):
+    return N.fold_balance(_folds(spark, folder))
 
 
 @query("quote_violations", r"""SELECT rule, CAST(broken AS BIGINT) AS broken FROM (SELECT
@@ -369,18 +482,27 @@ def duplicate_documents(spark, folder):
 def manifest(spark, folder):
     """Rows and order-free digest of each table."""
     out = None
-    for t in ("wiki_companies", "wiki_key_people", "court_cases", "quotes", "cash_amounts"):
+    for t in ("wiki_companies", "wiki_key_people", "court_cases", "docs", "quotes", "cash_amounts", "documents", "mix_targets"):
         one = N.content_digest(table(spark, folder, t)).select(F.lit(t).alias("table"), "rows", "digest")
         out = one if out is None else out.unionByName(one)
     return out
 
 
-_NAME = "list_reduce(list_transform(string_split({0}, ' '), lambda w, i: CASE WHEN i > 1 AND lower(w) IN ('de','van','von','der','den','di','la','le') THEN lower(w) ELSE upper(w[1:1]) || lower(w[2:]) END), lambda a, b: a || ' ' || b)"
+_NAME = "CASE WHEN length({0}) <= 1 THEN {0} ELSE list_reduce(list_transform(string_split({0}, ' '), lambda w, i: CASE WHEN i > 1 AND lower(w) IN ('de','van','von','der','den','di','la','le') THEN lower(w) ELSE upper(w[1:1]) || lower(w[2:]) END), lambda a, b: a || ' ' || b) END"
+
+
+def _bare(column: str) -> str:
+    """A name without footnote marks and bracketed remarks; RE2 has no look-ahead, so suffixes of generations are kept apart first."""
+    column = f"regexp_replace({column}, '\\[\\d+\\]', '', 'g')"
+    column = f"regexp_replace({column}, '\\((Jr|Sr|III|IV|V|I?X)', '<\\1', 'g')"
+    column = f"replace(regexp_replace({column}, '\\([\\p{{L}}\\p{{Nd}}_][^)]*\\)', '', 'g'), '<', '(')"
+    return _STRIP(f"regexp_replace({column}, '[{_SPACE}]+', ' ', 'g')")
 
 
-@query("normal_names", rf"""SELECT person_row_id, {_NAME.format("regexp_replace(trim(clean_name), ' +', ' ', 'g')")} AS normal FROM wiki_key_people WHERE clean_name IS NOT NULL AND regexp_matches(clean_name, '^[ -~]+$')""")
+@query("normal_names", f"SELECT person_row_id, {_NAME.format('b')} AS normal FROM (SELECT person_row_id, {_bare('nfc_normalize(clean_name)')} AS b FROM wiki_key_people WHERE clean_name IS NOT NULL)")
 def normal_names(spark, folder):
-    return table(spark, folder, "wiki_key_people").where(F.col("clean_name").rlike("^[ -~]+$")).select("person_row_id", K.normal_name(F.col("clean_name")).alias("normal"))
+    """All names of people, in canonical form, without marks and remarks, one capital a word."""
+    return table(spark, folder, "wiki_key_people").where("clean_name is not null").select("person_row_id", K.normal_name(F.col("clean_name"), True).alias("normal"))
 
 
 _ROLE = "CASE " + " ".join(f"WHEN contains(lower(clean_title), '{k}') THEN '{v}'" for k, v in P.ROLE_CANON) + " ELSE 'EXECUTIVE' END"
@@ -391,9 +513,46 @@ def role_canon(spark, folder):
     return table(spark, folder, "wiki_key_people").where("clean_title is not null").select("person_row_id", K.role_canon(F.col("clean_title")).alias("role"))
 
 
-@query("normal_titles")
+_CAPITALS = "list_reduce(list_transform(string_split({0}, ' '), lambda w, i: CASE WHEN i > 1 AND i < len(string_split({0}, ' ')) AND lower(w) IN (" + ", ".join(f"'{w}'" for w in P.SMALL_WORDS) + ") THEN lower(w) ELSE upper(w[1:1]) || lower(w[2:]) END), lambda a, b: a || ' ' || b)"
+
+
+def _expanded(column: str) -> str:
+    for pattern, full in P.TITLE_EXPANSIONS:
+        column = f"regexp_replace({column}, '(?i){pattern}', '{full}', 'g')"
+    return column
+
+
+def _vocabulary(column: str) -> str:
+    ranked = sorted(P.ROLE_WORDS, key=lambda w: (-len(w), w))
+    return f"CASE WHEN upper({column}) IN ({', '.join(repr(w) for w in P.ROLE_WORDS)}) THEN upper({column}) " + " ".join(f"WHEN contains(upper({column}), '{w}') OR (length({column}) > 0 AND contains('{w}', upper({column}))) THEN '{w}'" for w in ranked) + f" ELSE {column} END"
+
+
+def _valid_title(column: str) -> str:
+    return f"coalesce(length(trim({column})) >= 2 AND regexp_matches({column}, '[a-zA-Z]') AND lower(trim({column})) NOT IN ('executive','director','officer','manager','person'), false)"
+
+
+def _tidy(column: str) -> str:
+    return _STRIP(f"regexp_replace({column}, '[{_SPACE}]+', ' ', 'g')")
+
+
+@query("normal_titles", f"""WITH e AS (SELECT person_row_id, clean_title, {_expanded('clean_title')} AS t FROM wiki_key_people WHERE clean_title IS NOT NULL), v AS (SELECT person_row_id, clean_title, t, {_vocabulary('t')} AS u FROM e),
+ w AS (SELECT person_row_id, clean_title, {_tidy('t')} AS t, {_tidy('u')} AS u FROM v)
+ SELECT person_row_id, {_CAPITALS.format('u')} AS title, {_CAPITALS.format('t')} AS full_title, {_valid_title('clean_title')} AS valid FROM w""")
 def normal_titles(spark, folder):
-    return table(spark, folder, "wiki_key_people").where("clean_title is not null").select("person_row_id", K.normal_title(F.col("clean_title")).alias("title"), K.valid_title(F.col("clean_title")).alias("valid"))
+    """Titles written out, by the controlled vocabulary and without it."""
+    c = F.col("clean_title")
+    return table(spark, folder, "wiki_key_people").where("clean_title is not null").select("person_row_id", K.normal_title(c).alias("title"), K.normal_title(c, False).alias("full_title"), K.valid_title(c).alias("valid"))
+
+
+def _rewritten(column: str) -> str:
+    for pattern, canonical in P.TITLE_VOCABULARY:
+        column = f"regexp_replace({column}, '(?i)\\b{pattern}\\b', '{canonical}', 'g')"
+    return column
+
+
+@query("rewritten_titles", f"SELECT person_row_id, {_CAPITALS.format('t')} AS title FROM (SELECT person_row_id, {_tidy(_rewritten('clean_title'))} AS t FROM wiki_key_people WHERE clean_title IS NOT NULL)")
+def rewritten_titles(spark, folder):
+    return table(spark, folder, "wiki_key_people").where("clean_title is not null").select("person_row_id", K.rewritten_title(F.col("clean_title")).alias("title"))
 
 
 @query("resolved_people", """SELECT person_row_id FROM (SELECT person_row_id, row_number() OVER (PARTITION BY lower(clean_name), ticker ORDER BY confidence_score DESC NULLS LAST, scraped_at DESC NULLS LAST, length(clean_title) DESC NULLS LAST, clean_name, person_row_id) AS n
@@ -440,9 +599,46 @@ def method_share(spark, folder):
     return K.method_share(table(spark, folder, "wiki_key_people"))
 
 
-@query("person_names", r"""SELECT person_row_id, coalesce(length(raw_name) BETWEEN 3 AND 80, false) AS fits, coalesce(length(trim(clean_title)) >= 2 AND regexp_matches(clean_title, '[a-zA-Z]') AND lower(trim(clean_title)) NOT IN ('executive','director','officer','manager','person'), false) AS title_ok FROM wiki_key_people""")
+def _shape(column: str) -> str:
+    column = f"regexp_replace({column}, '\\([^)]*\\)|\\[.*\\]', '', 'g')"
+    return _STRIP(f"regexp_replace({column}, '[^\\p{{L}}\\p{{M}}\\p{{Nd}}_{_SPACE}]', '', 'g')")
+
+
+def _good_name(column: str) -> str:
+    return f"(length({_STRIP(column)}) >= 3 AND len(string_split_regex({_STRIP(column)}, '[ \\t\\n\\x0b\\f\\r]+')) >= 2 AND NOT regexp_matches({column}, '\\d') AND upper({column}) <> {column} AND lower({column}) <> {column})"
+
+
+def _valid_name(column: str) -> str:
+    return f"coalesce(length({_STRIP(column)}) >= 2 AND regexp_matches({column}, '[a-zA-Z]'), false)"
+
+
+_FIRMS = "inc|corp|ltd|llc|company|corporation|systems|software|services|group|holdings|technologies|solutions|international|global"
+
+
+@query("person_names", f"""WITH n AS (SELECT person_row_id, raw_name, clean_name, clean_title, {_shape('raw_name')} AS t FROM wiki_key_people),
+ w AS (SELECT *, string_split_regex(t, '[{_SPACE}]+') AS ws FROM n)
+ SELECT person_row_id, coalesce(length(raw_name) BETWEEN 3 AND 80 AND len(ws) BETWEEN 2 AND 4 AND len(list_filter(ws, lambda x: NOT regexp_matches(x, '^\\p{{Lu}}'))) = 0 AND NOT regexp_matches(t, '\\d') AND NOT regexp_matches(t, '(?i){_FIRMS}') AND upper(t) <> t, false) AS person,
+  coalesce({_good_name('clean_name')}, false) AS good_name, {_valid_name('clean_name')} AS valid_name, {_valid_title('clean_title')} AS title_ok FROM w""")
 def person_names(spark, folder):
-    return table(spark, folder, "wiki_key_people").select("person_row_id", F.coalesce(F.length("raw_name").between(3, 80), F.lit(False)).alias("fits"), K.valid_title(F.col("clean_title")).alias("title_ok"))
+    """Which rows have the shape of a person's name, a good name, a valid name, a valid title."""
+    return table(spark, folder, "wiki_key_people").select("person_row_id", K.looks_like_person(F.col("raw_name")).alias("person"), K.high_quality_name(F.col("clean_name")).alias("good_name"), K.valid_name(F.col("clean_name")).alias("valid_name"), K.valid_title(F.col("clean_title")).alias("title_ok"))
+
+
+@query("people_report", f"""WITH v AS (SELECT {_valid_name('clean_name')} AS n, {_valid_title('clean_title')} AS t, coalesce(confidence_score >= 0.8, false) AS c FROM wiki_key_people)
+ SELECT count(*) AS people, count(*) FILTER (WHERE n) AS valid_names, count(*) FILTER (WHERE t) AS valid_titles, count(*) FILTER (WHERE c) AS high_confidence,
+  round(avg(n::INT), 6) AS name_rate, round(avg(t::INT), 6) AS title_rate, round(avg(c::INT), 6) AS confidence_rate FROM v""")
+def people_report(spark, folder):
+    return K.people_report(table(spark, folder, "wiki_key_people"))
+
+
+@query("normalized_people", f"""WITH b AS (SELECT person_row_id, ticker, confidence_score, coalesce({_bare('clean_name')}, '') AS b, {_expanded("coalesce(clean_title, '')")} AS t FROM wiki_key_people),
+ n AS (SELECT person_row_id, ticker, confidence_score, {_NAME.format('b')} AS name, {_vocabulary('t')} AS u FROM b), o AS (SELECT * EXCLUDE (u), {_tidy('u')} AS u FROM n), m AS (SELECT person_row_id, ticker, confidence_score, name, {_CAPITALS.format('u')} AS title FROM o),
+ c AS (SELECT person_row_id, ticker, name AS clean_name, title AS clean_title, CASE WHEN {_good_name('name')} AND length(title) > 0 THEN least(confidence_score + 0.1, 1.0) ELSE confidence_score END AS confidence,
+  row_number() OVER (PARTITION BY lower(name), upper({_STRIP('ticker')}), lower(title) ORDER BY person_row_id) AS k FROM m)
+ SELECT person_row_id, clean_name, clean_title, round(confidence, 6) AS confidence FROM c WHERE k = 1""")
+def normalized_people(spark, folder):
+    """People with names and titles normalized, better confidence for good names, each person of a company once per title."""
+    return K.normalize_people(table(spark, folder, "wiki_key_people")).select("person_row_id", "clean_name", "clean_title", F.round("confidence_score", 6).alias("confidence"))
 
 
 @query("constituent_filter", """SELECT ticker, index_name, company_name FROM wiki_companies WHERE sector IN ('Materials', 'Makers') AND (try_strptime(date_added, ['%Y-%m-%d', '%B %d, %Y', '%d %B %Y', '%m/%d/%Y']) IS NULL OR try_strptime(date_added, ['%Y-%m-%d', '%B %d, %Y', '%d %B %Y', '%m/%d/%Y'])::DATE BETWEEN DATE '2000-01-01' AND DATE '2015-12-31')""")
@@ -501,3 +697,14 @@ def event_windows(spark, folder):
 def key_sets(spark, folder):
     t = lambda n, c: table(spark, folder, n).select(F.col(c).alias("k"))
     return t("customer", "c_custkey").intersect(t("orders", "o_custkey")).withColumn("side", F.lit("both")).unionByName(t("part", "p_partkey").exceptAll(t("lineitem", "l_partkey").distinct()).distinct().withColumn("side", F.lit("parts")))
+
+
+def queries() -> dict:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
+
+
+from docketry.plans import amounts as _amounts, records as _records, tables as _tables  # noqa: E402, F401  they add their queries

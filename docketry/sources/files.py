@@ -22,10 +22,50 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = DOC, stric
 
 
 def read_json_any(spark: SparkSession, path: str, schema: T.StructType = DOC) -> DataFrame:
-    """A whole-file array or object, or one object a line, by the file's first character."""
-    head = spark.read.text(path, wholetext=False).where(F.length(F.trim("value")) > 0).first()
-    lines = head is None or not head["value"].lstrip().startswith("[")
-    return spark.read.schema(schema).option("multiLine", not lines).json(path)
+    """Objects of files that hold one array or object each, or one object a line; each file says which by its first character.
+
+    Members that are no objects, bad and blank lines are left out.
+    """
+    files = spark.read.text(path, wholetext=True).where(F.length(F.trim("value")) > 0)
+    array = F.ltrim("value").startswith("[")
+    members = F.from_json(F.col("value"), "array<string>")
+    lines = files.where(~array).select(F.explode(F.split("value", r"\r?\n")).alias("v")).unionByName(files.where(array).select(F.explode(members).alias("v")))
+    return lines.where(F.ltrim("v").startswith("{")).select(F.from_json("v", schema).alias("o")).where("o is not null").select("o.*")
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, strict: bool = False) -> DataFrame:
+    """Rows of CSV files with a head; strict: a bad row fails the job, else it is left out."""
+    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').option("mode", "FAILFAST" if strict else "DROPMALFORMED").csv(path)
+
+
+def rewrite_stage(spark: SparkSession, source: str, target: str, schema: str, change) -> None:
+    """The files of a stage with ``change`` applied, as the next stage's; they appear all together or not at all."""
+    change(spark.read.schema(schema).json(source)).write.mode("overwrite").json(target, ignoreNullFields=False)
+
+
+def discover_cases(spark: SparkSession, base: str) -> DataFrame:
+    """(case_id) of the folders of a tree that hold entries or opinions."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(base).select("path")
+    case = F.url_decode(F.url_decode(F.regexp_extract("path", r"([^/]+)/(?:entries|opinions)/[^/]+$", 1)))
+    return files.select(case.alias("case_id")).where("case_id <> ''").distinct()
+
+
+def write_case_tree(docs: DataFrame, base: str) -> None:
+    """Every document as a file entries/doc_*.json or opinions/opinions_*.json in its case's folder, whose name is URL-encoded.
+
+    docs: case_id, kind (entry or opinion), original_id, plain_text.  For exchange with tools that
+    want such trees: rows pass the driver one by one, so large results belong into a table instead.
+    """
+    shown = docs.select(F.url_encode("case_id").alias("folder"), "kind", F.url_encode("original_id").alias("name"), F.to_json(F.struct(F.col("original_id").alias("id"), "plain_text")).alias("body"))
+
+    # one row a folder and file: a partitioned text sink would rename files, so the driver's file system writes them by name
+    jvm, conf = docs.sparkSession.sparkContext._jvm, docs.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for r in shown.toLocalIterator():
+        part = ("opinions/opinions_" if r["kind"] == "opinion" else "entries/doc_") + r["name"] + ".json"
+        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{r['folder']}/{part}")
+        out = path.getFileSystem(conf).create(path, True)
+        out.write(bytearray(r["body"].encode()))
+        out.close()
 
 
 def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
@@ -42,8 +82,8 @@ def read_case_tree(spark: SparkSession, base: str, cases: list[str] | None = Non
     def part(kind: str, pattern: str) -> DataFrame:
         raw = spark.read.schema(shape).option("multiLine", True).option("mode", "DROPMALFORMED").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).json(base)
         place = F.col("_metadata.file_path")
-        found = raw.withColumn("case_id", F.url_decode(F.regexp_extract(place, rf"([^/]+)/{kind}/[^/]+$", 1))).where("case_id <> ''")
-        return found.where(F.length(F.trim("plain_text")) > 0).select("case_id", F.lit(kind.rstrip("s") if kind == "opinions" else "entry").alias("kind"), F.coalesce("id", F.lit("unknown")).alias("original_id"), "plain_text", "date_created", "author")
+        found = raw.withColumn("case_id", F.url_decode(F.url_decode(F.regexp_extract(place, rf"([^/]+)/{kind}/[^/]+$", 1)))).where("case_id <> ''")
+        return found.where(F.length(F.trim("plain_text")) > 0).select("case_id", F.lit("opinion" if kind == "opinions" else "entry").alias("kind"), F.coalesce("id", F.lit("unknown")).alias("original_id"), "plain_text", "date_created", "author")
 
     both = part("entries", "doc_*.json").unionByName(part("opinions", "opinions_*.json"))
     if cases is not None:
@@ -60,9 +100,10 @@ def read_stage_files(spark: SparkSession, base: str) -> DataFrame:
 
 def parse_feeds(feeds: DataFrame, ticker: str = "ticker", xml: str = "xml", limit: int | None = None) -> DataFrame:
     """(ticker, title, link, guid, published, summary, slug) of the items of RSS texts, each guid or link once, the first; items without either are dropped."""
-    get = lambda tag: F.expr(f"xpath({xml}, '//item/{tag}/text()')")
-    zipped = F.arrays_zip(*[get(t).alias(n) for t, n in (("title", "title"), ("link", "link"), ("guid", "guid"), ("pubDate", "published"), ("description", "summary"))])
-    rows = feeds.select(ticker, F.posexplode(zipped).alias("at", "i")).select(ticker, "at", "i.*").withColumn("_k", F.coalesce("guid", "link")).where("_k is not null")
+    # an item at a time: an element that one lacks must not shift those of the next
+    items = feeds.select(ticker, F.posexplode(F.regexp_extract_all(xml, F.lit(r"(?s)<item\b.*?</item>"), F.lit(0))).alias("at", "item"))
+    get = lambda tag: F.nullif(F.trim(F.xpath_string("item", F.lit(f"item/{tag}"))), F.lit(""))
+    rows = items.select(ticker, "at", *[get(t).alias(n) for t, n in (("title", "title"), ("link", "link"), ("guid", "guid"), ("pubDate", "published"), ("description", "summary"))]).withColumn("_k", F.coalesce("guid", "link")).where("_k is not null")
     from pyspark.sql.window import Window
 
     rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("_k").orderBy(ticker, "at"))).where("_n = 1")

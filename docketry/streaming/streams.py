@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docketry.functions.text import clean, simhash
+from docketry.runtime import shared_dir
 
 
 def document_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 64) -> DataFrame:
@@ -48,18 +51,29 @@ def recent_near_duplicates(stream: DataFrame, key: str, text: str, scope: str, r
     """
 
     def run(group: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        seen = list(state.get[0]) if state.exists else []
+        seen = np.array(state.get[0] if state.exists else [], np.int64).view(np.uint64)
         for b in batches:
             flags = []
-            for h in b["h"].astype("int64"):
-                near = any(((int(h) ^ s) & 0xFFFFFFFFFFFFFFFF).bit_count() <= radius for s in seen)
+            for h in b["h"].to_numpy(np.int64).view(np.uint64):
+                near = bool((np.bitwise_count(seen ^ h) <= radius).any())
                 flags.append(near)
                 if not near:
-                    seen.append(int(h))
-                    del seen[:-remember]
+                    seen = np.append(seen, h)[-remember:]
             yield pd.DataFrame({scope: group[0], key: b[key], "duplicate": flags})
-        state.update((seen,))
+        state.update((seen.view(np.int64).tolist(),))
 
     kinds = dict(stream.dtypes)
     rows = stream.select(scope, key, simhash(F.col(text)).alias("h"))
     return rows.groupBy(scope).applyInPandasWithState(run, f"{scope} {kinds[scope]}, {key} {kinds[key]}, duplicate boolean", "seen array<bigint>", "append", "NoTimeout")
+
+
+def run_to_end(stream: DataFrame, mode: str = "append") -> DataFrame:
+    """What a stream over files gives until nothing is left to read, as a table in the shared folder."""
+    spark = stream.sparkSession
+    path = f"{shared_dir(spark)}/docketry/{spark.sparkContext.applicationId}/ended-{uuid.uuid4().hex}"
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/out/batch={number}")
+
+    stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/out").select(*stream.columns)

@@ -81,12 +81,12 @@ def test_pages(spark):
     assert [(x["symbol"], x["sector"], x["date_added"]) for x in r] == [("MMM", "Industrials", "1957-03-04")]
     box = '<table class="infobox vcard"><tr><th>Key people</th><td><ul><li>Ann Lee (CEO)</li><li>Bo Chu, Chairman</li></ul></td></tr><tr><th>Founder</th><td>Cy Doe<br>Di Eve</td></tr><tr><th>Area</th><td>Nowhere</td></tr></table>'
     people = K.infobox_people(spark.createDataFrame([("p", box)], "page string, html string")).select(K.split_person(F.col("text")).alias("p")).collect()
-    assert {(x["p"]["name"], x["p"]["title"]) for x in people} == {("Ann Lee", "Ceo"), ("Bo Chu", "Chairman"), ("Cy Doe", "Executive"), ("Di Eve", "Executive")}
+    assert {(x["p"]["name"], x["p"]["title"]) for x in people} == {("Ann Lee", "Chief Executive Officer"), ("Bo Chu", "Chairman"), ("Cy Doe", "Executive"), ("Di Eve", "Executive")}
 
 
 def test_names_and_titles(spark):
     df = spark.createDataFrame([("john van der berg", "vice president of sales")], "n string, t string")
-    assert df.select(K.normal_name(F.col("n")), K.normal_title(F.col("t")), K.role_canon(F.col("t"))).first()[:] == ("John van der Berg", "Vice President of Sales", "PRESIDENT")
+    assert df.select(K.normal_name(F.col("n")), K.normal_title(F.col("t"), False), K.rewritten_title(F.col("t")), K.normal_title(F.col("t")), K.role_canon(F.col("t"))).first()[:] == ("John van der Berg", "Vice President of Sales", "Vice President of Sales", "President", "PRESIDENT")
     names = spark.createDataFrame([("Ann Lee",), ("ACME INC",), ("Acme Corporation",), ("ann lee",), (None,)], "n string").select(K.looks_like_person(F.col("n")).alias("p")).collect()
     assert [r["p"] for r in names] == [True, False, False, False, False]
 
@@ -118,3 +118,68 @@ def test_sources(spark, tmp_path):
     df = spark.createDataFrame([(2, 0.5), (1, None)], "k int, v double")
     S.write_sorted(df, str(tmp_path / "o"), ["k"])
     assert spark.read.parquet(str(tmp_path / "o")).count() == 2
+
+
+def test_folds_are_greedy_with_small_components_dealt_together(spark):
+    import random
+
+    rng = random.Random(6)
+    sizes = [(f"c{i:04d}", rng.choice([1, 1, 1, 2, 2, 3, 5, 40, 300]) + (2000 if i == 0 else 0)) for i in range(700)]
+    for k in (2, 3, 5):
+        filled, want = [0] * k, {}
+        for name, w in sorted(sizes, key=lambda x: (-x[1], x[0])):
+            f = min(range(k), key=lambda i: filled[i])
+            filled[f] += w
+            want[name] = f
+        got = N.pack_folds(spark.createDataFrame(sizes, "component string, rows int").repartition(5), k, large=0.005).collect()
+        assert {r["component"]: r["fold"] for r in got} == want
+    assert N.pack_folds(spark.createDataFrame([], "component string, rows int"), 3).count() == 0
+
+
+def test_components_of_a_long_chain(spark):
+    rows = [(f"c{i:02d}", f"s{i + j}") for i in range(40) for j in (0, 1)] + [("alone", None), (None, "s1"), ("left", "Unknown"), ("c00", "Unknown")]
+    got = dict(map(tuple, N.entity_components(spark.createDataFrame(rows, "case_id string, speaker string"), "case_id", "speaker", ["Unknown"]).collect()))
+    assert got.pop("alone") == "alone" and got.pop("left") == "left" and set(got.values()) == {"c00"} and len(got) == 40
+
+
+def test_titles_as_written_out(spark):
+    df = spark.createDataFrame([("Chris Kempczinski (President and CEO)",), ("John Doe — Chief Financial Officer",), (None,)], "t string")
+    got = [r["p"] for r in df.select(K.split_person(F.col("t")).alias("p")).collect()]
+    assert (got[0]["name"], got[0]["title"]) == ("Chris Kempczinski", "President and Chief Executive Officer") and got[1]["title"] == "Chief Financial Officer" and got[2] is None
+
+
+def test_thousands_of_amounts_in_one_text(spark):
+    import time
+
+    from docketry.functions import text as X
+
+    text = " ".join(f"pay ${i},000 and" for i in range(1, 4001))
+    df = spark.createDataFrame([(text,), (None,), ("",)], "t string")
+    run = lambda: df.select(X.matches(F.col("t"), r"\$[\d,]+").alias("m")).collect()
+    run()
+    began = time.time()
+    got = run()
+    assert time.time() - began < 5
+    assert len(got[0]["m"]) == 4000 and all(text[m["start"] :].startswith(m["text"]) for m in got[0]["m"]) and not got[1]["m"] and got[2]["m"] == []
+
+
+def test_new_operators_bear_nulls_and_empty_tables(spark):
+    from docketry.operators import amounts as A
+    from docketry.operators import cases as C
+    from docketry.operators import documents as D
+    from docketry.operators import quotes as Q
+
+    docs = spark.createDataFrame([("c", "d1", None), ("c", "d2", ""), (None, "d3", "no amount here")], "case_id string, doc_id string, text string")
+    for df in (docs, docs.limit(0)):
+        assert A.complex_amounts(df).count() == 0 and A.fractions(df).count() == 0 and A.three_part_sums(df).count() == 0 and A.stage_candidates(df).count() == 0
+        assert Q.quote_pipeline(df.select("doc_id", "text")).count() == 0
+        assert Q.process_documents(df.select("doc_id", "text")).where("quote_count <> 0").count() == 0
+    lines = spark.createDataFrame([("a", "order.txt", ["x", "The case is hereby closed."]), ("b", "order.txt", None), ("c", "memo", [])], "case_id string, file_name string, lines array<string>")
+    assert {r["case_id"]: r["is_dismissed"] for r in C.definitively_dismissed(lines).collect()} == {"a": True, "b": False, "c": False}
+    paths = spark.createDataFrame([("/x/1:19-cv-02184_dcd/entries/entry_9_documents/doc_7_text.txt",), ("/y",), (None,)], "p string")
+    held = spark.createDataFrame([("1:19-cv-02184_dcd", "9", "7", "u")], "case_id string, entry_id string, doc_id string, url string")
+    found, misses = D.join_by_path(paths, held, "p")
+    assert found.first()["metadata"]["url"] == "u" and misses.first()[0] == 2
+    people = spark.createDataFrame([(1, None, None, None, None), (2, "Bo LI", "ceo", "T", 0.95), (3, "bo li", "Chief Executive Officer", "T", 0.2)], "person_row_id int, clean_name string, clean_title string, ticker string, confidence_score double")
+    got = {r["person_row_id"]: r for r in K.normalize_people(people).collect()}
+    assert got[2]["clean_name"] == "Bo Li" and got[2]["confidence_score"] == 1.0 and 3 not in got and got[1]["clean_name"] == ""
