@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from docketry.llm.tokens import BYTE_BPE, encode_corpus
 from docketry.runtime import blank_to_null, cut, table
 
-#: Labelled rows the classifier is fitted on at most, its hash buckets, and steps of the descent at most.
+#: Labelled rows the classifier is fitted on, as a share of all that gives so many, its hash buckets, and steps of the descent at most.
 SAMPLE, BUCKETS, STEPS = 20_000, 1 << 14, 40
 
 
@@ -38,15 +38,30 @@ def _features(texts, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(rows, np.int64), np.array(cols, np.int64)
 
 
-def fit_classifier(labelled: pd.DataFrame, domains: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """(log prior, log likelihood of each bucket) per domain, from columns text and source, with add-one smoothing."""
+def fit_classifier(labelled: DataFrame, domains: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """(log prior, log likelihood of each bucket) per domain, from columns text and source, with add-one smoothing.
+
+    Texts are counted where they are; a table of domains by buckets comes back, whatever their number.
+    """
     place = {d: i for i, d in enumerate(domains)}
-    own = labelled["source"].map(place).to_numpy(np.int64)
-    row, col = _features(labelled["text"], buckets)
-    counts = np.ones((len(domains), buckets))
-    np.add.at(counts, (own[row], col), 1.0)
-    prior = np.bincount(own, minlength=len(domains)) + 1.0
-    return np.log(prior / prior.sum()), np.log(counts / counts.sum(1, keepdims=True))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, rows = np.zeros((len(domains), buckets), np.int64), np.zeros(len(domains), np.int64)
+        for b in batches:
+            own = np.array([place[s] for s in b.column("source").to_pylist()], np.int64)
+            row, col = _features(b.column("text").to_pylist(), buckets)
+            np.add.at(words, (own[row], col), 1)
+            np.add.at(rows, own, 1)
+        at = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1 - np.arange(len(domains)))), pa.array(np.append(words.ravel()[at], rows))], ["at", "c"])
+
+    got = labelled.select("text", "source").mapInArrow(count, "at long, c long").groupBy("at").agg(F.sum("c").alias("c")).toArrow()
+    at, c = got.column("at").to_numpy(), got.column("c").to_numpy()
+    counts, prior = np.ones(len(domains) * buckets), np.ones(len(domains))
+    counts[at[at >= 0]] += c[at >= 0]
+    prior[-1 - at[at < 0]] += c[at < 0]
+    counts = counts.reshape(len(domains), buckets)
+    return np.log(prior / prior.sum()), np.log(counts / counts.sum(1, keepdims=True)).astype(np.float32)
 
 
 def posteriors(texts, prior: np.ndarray, likelihood: np.ndarray) -> np.ndarray:
@@ -129,9 +144,9 @@ def mix_sources(df: DataFrame, targets: DataFrame, key: str = "doc_id", text: st
     known = df.select(F.col(key).alias("k"), F.col(text).alias("t"), blank_to_null(F.col(source)).alias("s"))
     known = known.where((F.col("s").isNull() | F.col("s").isin(domains)) & (F.length("t") > 0))
     tokens = encode_corpus(df, key, text, vocabulary, counts_only=True).groupBy(key).agg(F.max("n_tokens").alias("tokens")).withColumnRenamed(key, "k")
-    rate = min(1.0, 1.2 * SAMPLE / max(known.count(), 1))
-    sample = known.where("s is not null").sample(fraction=rate, seed=7).select(F.col("t").alias("text"), F.col("s").alias("source")).limit(SAMPLE)
-    model = spark.sparkContext.broadcast(fit_classifier(sample.toPandas(), domains))
+    rate = min(1.0, SAMPLE / max(known.count(), 1))
+    sample = known.where("s is not null").sample(fraction=rate, seed=7).select(F.col("t").alias("text"), F.col("s").alias("source"))
+    model = spark.sparkContext.broadcast(fit_classifier(sample, domains))
 
     def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
