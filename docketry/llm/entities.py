@@ -98,15 +98,17 @@ def whitened(x: np.ndarray) -> np.ndarray:
 def train_vectors(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(centred skip-gram vector beside one of the bucket's own, inverse document frequency) of every token bucket."""
     from pyspark.ml.feature import Word2Vec
+    from pyspark.ml.functions import vector_to_array
 
     spark = tokens.sparkSession
     sentences = cut(walk_sentences(tokens), "walks")
     parts = max(1, min(16, spark.sparkContext.defaultParallelism))
     model = Word2Vec(vectorSize=DIMENSIONS, minCount=1, numPartitions=parts, maxIter=2, windowSize=3, seed=11, inputCol="sentence", outputCol="v", maxSentenceLength=2 * STEPS).fit(sentences.repartition(parts))
     vectors = np.zeros((BUCKETS, DIMENSIONS), np.float32)
-    got = model.getVectors().toPandas()
-    place = got["word"].astype(int).to_numpy()
-    vectors[place] = np.stack([v.toArray() for v in got["vector"]])
+    got = model.getVectors().select(F.col("word").cast("int").alias("word"), vector_to_array("vector", "float32").alias("v")).toArrow()
+    place = got.column("word").to_numpy()
+    vectors[place] = got.column("v").combine_chunks().flatten().to_numpy().reshape(-1, DIMENSIONS)
+    del got, model
     vectors[place] = SHARE * whitened(vectors[place])
     apart = np.random.default_rng(17).normal(size=vectors.shape).astype(np.float32)
     vectors = np.concatenate([vectors, apart / np.linalg.norm(apart, axis=1, keepdims=True)], 1).astype(np.float16)
