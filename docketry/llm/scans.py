@@ -36,12 +36,13 @@ RATIO, LEAST = 20, 20
 TOP = 100_000
 
 
+#: Confusions by the lengths of what is printed and what is read.
+_BY_SIZE = {size: {c for c in CONFUSIONS if (len(c[0]), len(c[1])) == size} for size in {(len(p), len(r)) for p, r in CONFUSIONS}}
+
+
 def repair_cost(seen: str, word: str, most: float = MOST) -> float:
     """Weighted distance from a printed word to what was read; above most it may be any value above most."""
     far = most + 1
-    by_end: dict[tuple[int, int], list[tuple[str, str]]] = {}
-    for p, r in CONFUSIONS:
-        by_end.setdefault((len(p), len(r)), []).append((p, r))
     n, m = len(word), len(seen)
     if abs(n - m) > 2:
         return far
@@ -59,7 +60,7 @@ def repair_cost(seen: str, word: str, most: float = MOST) -> float:
                 best = min(best, d[i - 1][j] + OTHER)
             if j:
                 best = min(best, d[i][j - 1] + OTHER)
-            for (x, y), pairs in by_end.items():
+            for (x, y), pairs in _BY_SIZE.items():
                 if i >= x and j >= y and d[i - x][j - y] + CONFUSED < best:
                     a, b = word[i - x : i], seen[j - y : j]
                     if (a, b) in pairs:
