@@ -58,6 +58,12 @@ def drop_cut(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop_cuts(spark: SparkSession) -> None:
+    """Delete every step that this application has written; to be called once no result is read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/docketry/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def free(spark: SparkSession) -> None:
     """Let go of the shuffle files of plans that nothing refers to any more.
 
