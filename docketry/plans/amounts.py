@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from docketry.functions import patterns as P
 from docketry.functions import text as X
 from docketry.operators import amounts as A
-from docketry.plans.registry import query, quoted
+from docketry.plans import catalog as G
+from docketry.plans.registry import SQL, fingerprint_sql, query, quoted
 from docketry.runtime import table
 
 #: A sentence for each remainder of the order's number; {n} is its price in whole dollars, with groups.
@@ -61,17 +62,19 @@ _WORD_VALUES = "CASE {0} " + " ".join(f"WHEN '{k}' THEN {float(v)}" for k, v in
 _SCALE = "CASE WHEN contains(lower({0}), 'million') THEN 1e6 WHEN contains(lower({0}), 'billion') THEN 1e9 ELSE 1.0 END"
 
 
-@query("amount_kinds", f"""WITH {LEGAL}, {spans('a', P.SPELLED_OUT)}, {spans('b', P.USD)}, {spans('c', P.AMOUNT)},
- v AS (SELECT doc_id, 'spelled' AS kind, {_WORD_VALUES.format("lower(split_part(trim(raw), ' ', 1))")} * CASE WHEN contains(lower(raw), 'million') THEN 1e6 ELSE 1e9 END AS value, raw, start FROM a
-  UNION ALL SELECT doc_id, 'usd', {_number("regexp_extract(raw, '[0-9,]+(?:\\.[0-9]{2})?')")}, raw, start FROM b
-  UNION ALL SELECT doc_id, 'figures', {_number("regexp_extract(raw, '[0-9][0-9,]*(?:\\.[0-9]+)?')")} * {_SCALE.format('raw')}, raw, start FROM c)
- SELECT doc_id, kind, value, raw AS raw_text, start FROM v WHERE value >= 10000""")
+_KINDS = f"""{spans('a', P.SPELLED_OUT)}, {spans('b', P.USD)}, {spans('c', P.AMOUNT)},
+ v AS (SELECT doc_id, text, 'spelled' AS kind, {_WORD_VALUES.format("lower(split_part(trim(raw), ' ', 1))")} * CASE WHEN contains(lower(raw), 'million') THEN 1e6 ELSE 1e9 END AS value, raw, start FROM a
+  UNION ALL SELECT doc_id, text, 'usd', {_number("regexp_extract(raw, '[0-9,]+(?:\\.[0-9]{2})?')")}, raw, start FROM b
+  UNION ALL SELECT doc_id, text, 'figures', {_number("regexp_extract(raw, '[0-9][0-9,]*(?:\\.[0-9]+)?')")} * {_SCALE.format('raw')}, raw, start FROM c)"""
+
+
+@query("amount_kinds", f"WITH {LEGAL}, {_KINDS} SELECT doc_id, kind, value, raw AS raw_text, start FROM v WHERE value >= 10000")
 def amount_kinds(spark, folder):
     """Amounts in figures, spelled out and in USD, with their places."""
     return A.standard_candidates(legal_texts(spark, folder).drop("case_id"), around=100, once=False).select("doc_id", "kind", "value", "raw_text", "start")
 
 
-def _calculated() -> str:
+def _calculated(texts: str = LEGAL) -> str:
     parts = []
     for k, (kind, pattern, how, boost) in enumerate(P.CALCULATIONS):
         groups = 2 if how in ("product", "sum") else 1
@@ -82,7 +85,7 @@ def _calculated() -> str:
     d = quoted(P.DAMAGE_COMPONENT)
     total = f"list_sum(list_transform(range(1, len(w) + 1), lambda i: coalesce({_number('v[i]')} * CASE WHEN contains(lower(w[i]), 'million') THEN 1e6 WHEN contains(lower(w[i]), 'thousand') THEN 1e3 ELSE 1.0 END, 0.0)))"
     parts.append((f"dm AS (SELECT doc_id, regexp_extract_all(text, {d}) AS w, regexp_extract_all(text, {d}, 1) AS v FROM lt)", f"SELECT doc_id, 'damage_component_sum', {total}, 50.0::DOUBLE FROM dm WHERE len(w) >= 2"))
-    return f"WITH {LEGAL}, {', '.join(p for p, _ in parts)}, every AS ({' UNION ALL '.join(q for _, q in parts)}) SELECT * FROM every WHERE value >= 10000"
+    return f"WITH {texts}, {', '.join(p for p, _ in parts)}, every AS ({' UNION ALL '.join(q for _, q in parts)}) SELECT * FROM every WHERE value >= 10000"
 
 
 @query("calculated_sums", _calculated())
@@ -127,9 +130,12 @@ def fractions(spark, folder):
     return A.fractions(legal_texts(spark, folder).drop("case_id"))
 
 
-@query("percent_bases", f"""WITH {LEGAL}, {spans('k', P.PERCENTAGE)}, v AS (SELECT doc_id, raw AS raw_text, start, {_number("regexp_extract(raw, '(?i)(\\d+(?:\\.\\d+)?)\\s*(?:%|percent|per\\s+cent)', 1)")} AS percent,
+_BASES = f"""{spans('k', P.PERCENTAGE)}, v AS (SELECT doc_id, raw AS raw_text, start, {_number("regexp_extract(raw, '(?i)(\\d+(?:\\.\\d+)?)\\s*(?:%|percent|per\\s+cent)', 1)")} AS percent,
   {_number("regexp_extract(raw, '\\$?([\\d,]+(?:\\.\\d+)?)', 1)")} * CASE WHEN contains(lower(raw), 'million') THEN 1e6 WHEN contains(lower(raw), 'billion') THEN 1e9 WHEN contains(lower(raw), 'thousand') THEN 1e3 ELSE 1.0 END AS base FROM k)
- SELECT doc_id, raw_text, start, percent, base, CASE WHEN percent > 0 THEN base / (percent / 100) END AS implied_total FROM v""")
+ SELECT doc_id, raw_text, start, percent, base, CASE WHEN percent > 0 THEN base / (percent / 100) END AS implied_total FROM v"""
+
+
+@query("percent_bases", f"WITH {LEGAL}, {_BASES}")
 def percent_bases(spark, folder):
     return A.percentages(legal_texts(spark, folder).drop("case_id"))
 
@@ -218,11 +224,23 @@ def best_of_case(spark, folder):
 _JOINED = "regexp_matches(substr(text, s[{0}] + length(f[{0}]) + 1, s[{0} + 1] - s[{0}] - length(f[{0}])), '(?i)\\b(?:and|plus|additional|along with|as well as)\\b')"
 
 
-@query("added_sums", f"""WITH {LEGAL}, {spans('k', P.AMOUNT)}, t AS (SELECT doc_id, any_value(text) AS text, list(raw ORDER BY i) AS f, list(start ORDER BY i) AS s, list({_number("regexp_extract(raw, '[0-9][0-9,]*(?:\\.[0-9]+)?')")} * {_SCALE.format('raw')} ORDER BY i) AS v FROM k GROUP BY doc_id),
+_SUMMED = f"""{spans('k', P.AMOUNT)}, t AS (SELECT doc_id, text, list(raw ORDER BY i) AS f, list(start ORDER BY i) AS s, list({_number("regexp_extract(raw, '[0-9][0-9,]*(?:\\.[0-9]+)?')")} * {_SCALE.format('raw')} ORDER BY i) AS v FROM k GROUP BY doc_id, text),
  u AS (SELECT *, unnest(range(1, len(f))) AS i FROM t WHERE len(f) >= 2), r AS (SELECT doc_id, i, v, {_JOINED.format('i')} AND coalesce(v[i + 1], 0) >= 10000 AS a, i + 2 <= len(f) AND coalesce({_JOINED.format('(i + 1)')}, false) AND coalesce(v[i + 2], 0) >= 10000 AS b,
   i + 3 <= len(f) AND coalesce({_JOINED.format('(i + 2)')}, false) AND coalesce(v[i + 3], 0) >= 10000 AS c FROM u),
  w AS (SELECT doc_id, CAST(1 + (coalesce(a, false))::INT + (coalesce(a AND b, false))::INT + (coalesce(a AND b AND c, false))::INT AS INTEGER) AS parts, v[i] AS first, v[i] + CASE WHEN a THEN v[i + 1] ELSE 0 END + CASE WHEN a AND b THEN v[i + 2] ELSE 0 END + CASE WHEN a AND b AND c THEN v[i + 3] ELSE 0 END AS value FROM r)
- SELECT doc_id, value, parts FROM w WHERE parts >= 2 AND first >= 10000""")
+ SELECT doc_id, value, parts FROM w WHERE parts >= 2 AND first >= 10000"""
+
+
+@query("added_sums", f"WITH {LEGAL}, {_SUMMED}")
 def added_sums(spark, folder):
     """Amounts with the next ones while words of addition stand between."""
     return A.smart_sums(legal_texts(spark, folder).drop("case_id")).select("doc_id", "value", "parts")
+
+
+# the same over the docket's own texts, for the queries of the catalog
+_DOCKET = f"{G._TEXTS}, lt AS (SELECT doc_id, text FROM d)"
+SQL["percentages"] = f"WITH {_DOCKET}, {_BASES}"
+SQL["calculated_amounts"] = _calculated(_DOCKET)
+SQL["smart_sums"] = f"SELECT doc_id, 'smart_sum' AS calculation_type, value, parts, 180.0::DOUBLE AS calculation_boost FROM (WITH {_DOCKET}, {_SUMMED})"
+SQL["all_amounts"] = f"""WITH {_DOCKET}, {_KINDS}, n AS (SELECT row_number() OVER () AS r, doc_id, kind, value, raw AS raw_text, start, substr(text, greatest(start - 200, 0) + 1, start - greatest(start - 200, 0) + length(raw) + 200) AS context FROM v WHERE value >= 10000),
+ {fingerprint_sql('fp', 'n', 'r', 'context')}, o AS (SELECT n.*, fp.h AS fingerprint, row_number() OVER (PARTITION BY fp.h ORDER BY doc_id, start, kind) AS k FROM n JOIN fp USING (r)) SELECT doc_id, kind, value, raw_text, start, fingerprint FROM o WHERE k = 1"""

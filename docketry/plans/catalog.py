@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,7 +14,7 @@ from docketry.operators import analytics as N
 from docketry.operators import cases as C
 from docketry.operators import people as K
 from docketry.operators import quotes as Q
-from docketry.plans.registry import QUERIES, SQL, ascii_flags, query, quoted
+from docketry.plans.registry import QUERIES, SQL, fingerprint_sql, query, quoted
 from docketry.runtime import effective_case_id, table
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -280,7 +281,7 @@ def token_counts(spark, folder):
 @query("quote_candidates")
 def quote_candidates(spark, folder):
     """Quoted spans of the docket's texts without near-duplicates within a document."""
-    found = Q.first_pass(newest_texts(spark, folder))
+    found = Q.first_pass(newest_texts(spark, folder), compatibility=False)
     return Q.drop_near_duplicates(found, "quote", ["doc_id"], ["paragraph", "ordinal"])
 
 
@@ -297,6 +298,10 @@ def quotes_attributed(spark, folder):
     return Q.attribute(Q.first_pass(newest_texts(spark, folder))).select("doc_id", "paragraph", "ordinal", "quote", "speaker")
 
 
+SQL["quote_candidates"] = f"""WITH {NEWEST}, {_PASS}, n AS (SELECT row_number() OVER () AS r, * FROM fp), {fingerprint_sql('sh', 'n', 'r', 'quote')}, o AS (SELECT n.*, sh.h AS h, row_number() OVER (PARTITION BY doc_id, sh.h ORDER BY paragraph, ordinal) AS k FROM n JOIN sh USING (r)), one AS (SELECT * FROM o WHERE k = 1)
+ SELECT doc_id, paragraph, ordinal, quote, context, regexp_extract_all(context, 'https?://[^ \\t\\n\\x0b\\f\\r]+') AS urls FROM one a WHERE NOT EXISTS (SELECT 1 FROM one b WHERE b.doc_id = a.doc_id AND (b.paragraph, b.ordinal) < (a.paragraph, a.ordinal) AND bit_count(xor(a.h, b.h)) <= 3)"""
+
+
 @query("quotes_reranked", """WITH n AS (SELECT max(len(embedding)) AS n FROM embeddings), s AS (SELECT list_transform(range(n), lambda i: CASE WHEN i % 2 = 1 THEN 1.0 ELSE -1.0 END::DOUBLE) AS a, list_transform(range(n), lambda i: CASE WHEN i < n // 2 THEN 1.0 ELSE 0.0 END::DOUBLE) AS b FROM n),
  v AS (SELECT vec_id, embedding::DOUBLE[] AS v, greatest(list_inner_product(embedding::DOUBLE[], a) / sqrt(list_inner_product(a, a)), list_inner_product(embedding::DOUBLE[], b) / sqrt(list_inner_product(b, b)), -1.0) / nullif(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 0) AS score FROM embeddings, s)
  SELECT vec_id, round(score, 6) AS score FROM v WHERE score >= 0.05""")
@@ -362,7 +367,26 @@ def docket_index(spark, folder):
     return _index(spark, folder).select("doc_id", "docket_number", "chars_before")
 
 
-@query("quote_positions")
+_NEEDLE = f"regexp_replace(regexp_replace({{0}}, '([\\\\\\[\\](){{{{}}}}.*+?^$|#&~-])', '\\\\\\1', 'g'), '[{_SPACE.replace('{', '{{').replace('}', '}}')}]+', '[{_SPACE.replace(chr(92), chr(92) * 2).replace('{', '{{').replace('}', '}}')}]+', 'g')"
+
+
+def _found(needle: str) -> str:
+    """Place from 0 of a needle in t, as it is, in any case, or with any white space."""
+    flexible = f"'(?i)' || {_NEEDLE.format(needle)}"
+    return f"CASE WHEN length({needle}) > 0 THEN CASE WHEN strpos(t, {needle}) > 0 THEN strpos(t, {needle}) - 1 WHEN strpos(lower(t), lower({needle})) > 0 THEN strpos(lower(t), lower({needle})) - 1 WHEN regexp_matches(t, {flexible}) THEN length(string_split_regex(t, {flexible})[1]) END END"
+
+
+@query("quote_positions", rf"""WITH {NEWEST}, d AS (SELECT lower(doc_id) AS doc_id, text FROM nt),
+ e AS (SELECT doc_id, split_part(doc_id, '_', 1) AS case_id, text, try_cast(nullif(regexp_extract(doc_id, '(?:entry|opinions)_(\d+)', 1), '') AS INTEGER) AS entry, try_cast(nullif(regexp_extract(doc_id, '(\d+)$', 1), '') AS INTEGER) AS number, len(regexp_extract_all(text, '[^{_SPACE}]+')) AS k FROM d),
+ x AS (SELECT doc_id, text AS t, CAST(row_number() OVER w AS INTEGER) AS docket_number, coalesce(sum(length(text) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS chars_before, coalesce(sum(k) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS tokens_before
+  FROM e WINDOW w AS (PARTITION BY case_id ORDER BY entry NULLS FIRST, number NULLS FIRST, doc_id)),
+ q AS (SELECT record_id, lower(trim(doc_id, ' ')) AS doc_id, text, context, {_STRIP("coalesce(text, '')")} AS n, {_STRIP("coalesce(context, '')")} AS cn FROM quotes),
+ j AS (SELECT q.*, x.t, docket_number, chars_before, tokens_before FROM q LEFT JOIN x USING (doc_id)),
+ s AS (SELECT *, coalesce({_found('n')}, CASE WHEN strpos(context, n) > 0 THEN strpos(context, n) - 1 + {_found('context').replace('length(context) > 0', 'length(cn) > 0')} END) AS s0 FROM j),
+ f AS (SELECT *, CASE WHEN docket_number IS NULL THEN 'Docket not found for doc_id' WHEN coalesce(length(text), 0) = 0 THEN 'Empty quote text' WHEN s0 IS NULL THEN 'Low confidence match' END AS feature_error FROM s),
+ g AS (SELECT *, CASE WHEN feature_error IS NULL THEN s0 END AS p FROM f)
+ SELECT record_id, doc_id, feature_error, CASE WHEN p IS NOT NULL THEN docket_number END AS docket_number, CASE WHEN p IS NOT NULL THEN CAST(len(regexp_extract_all(substr(t, 1, p), '[^{_SPACE}]+')) AS INTEGER) END AS docket_token_start,
+  CASE WHEN p IS NOT NULL THEN tokens_before + len(regexp_extract_all(substr(t, 1, p), '[^{_SPACE}]+')) END AS global_token_start, CAST(p AS INTEGER) AS docket_char_start, chars_before + p AS global_char_start, CASE WHEN p IS NOT NULL THEN CAST(len(regexp_extract_all(text, '[^{_SPACE}]+')) AS INTEGER) END AS num_tokens FROM g""")
 def quote_positions(spark, folder):
     """Where each quote stands in its document and case."""
     q = table(spark, folder, "quotes").select("record_id", F.lower(F.trim("doc_id")).alias("doc_id"), "text", "context")
@@ -488,6 +512,22 @@ def manifest(spark, folder):
     return out
 
 
+_TABLES = ("wiki_companies", "wiki_key_people", "court_cases", "docs", "quotes", "cash_amounts", "documents", "mix_targets")
+
+
+@query("manifest_counts", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows, true AS found FROM {t}" for t in _TABLES) + " UNION ALL SELECT 'missing_table', 0, false")
+def manifest_counts(spark, folder):
+    """Rows of each table, and which of those asked for are there."""
+    out = None
+    for t in (*_TABLES, "missing_table"):
+        try:
+            one = table(spark, folder, t).agg(F.count("*").alias("rows")).select(F.lit(t).alias("table"), "rows", F.lit(True).alias("found"))
+        except AnalysisException:
+            one = spark.range(1).select(F.lit(t).alias("table"), F.lit(0).cast("long").alias("rows"), F.lit(False).alias("found"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 _NAME = "CASE WHEN length({0}) <= 1 THEN {0} ELSE list_reduce(list_transform(string_split({0}, ' '), lambda w, i: CASE WHEN i > 1 AND lower(w) IN ('de','van','von','der','den','di','la','le') THEN lower(w) ELSE upper(w[1:1]) || lower(w[2:]) END), lambda a, b: a || ' ' || b) END"
 
 

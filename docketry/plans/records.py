@@ -16,6 +16,7 @@ from docketry.plans import catalog as G
 from docketry.plans.registry import query
 from docketry.runtime import shared_dir, table
 from docketry.sources import files as S
+from docketry.sources import providers as V
 
 
 def _folder(spark, label: str) -> str:
@@ -283,3 +284,50 @@ def fresh_pages(spark, folder):
     e = table(spark, folder, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url"), F.col("event_id").alias("body"), F.col("ts").cast("timestamp_ntz").alias("fetched_at"))
     now = e.agg(F.max("fetched_at")).first()[0]
     return S.fresh_pages(e.withColumn("etag", F.lit("e")), now).select("url", "body")
+
+
+@query("saved_pages", "SELECT 'p' || n_nationkey AS page, '<p>' || n_name || '</p>' AS html FROM nation")
+def saved_pages(spark, folder):
+    """Pages saved in a folder, read through the data source for pages."""
+    import os
+
+    path = _folder(spark, "pages").removeprefix("file:").replace("///", "/")
+    os.makedirs(path)
+    for r in table(spark, folder, "nation").select("n_nationkey", "n_name").collect():  # 25 rows
+        with open(f"{path}/p{r[0]}.html", "w") as f:
+            f.write(f"<p>{r[1]}</p>")
+    spark.dataSource.register(V.PageSource)
+    return spark.read.format("pages").option("path", path).option("parts", 3).load()
+
+
+@query("item_people", "SELECT s_suppkey AS id, 'Person ' || s_suppkey AS name, 'chief executive officer' AS position, '2001-02-03' AS start FROM supplier WHERE s_suppkey % 3 = 0")
+def item_people(spark, folder):
+    """People in made answers of a data service, some without a position, some that cannot be read."""
+    s = F.col("s_suppkey")
+    name = F.concat(F.lit('{"results":{"bindings":[{"personLabel":{"value":"Person '), s.cast("string"), F.lit('"}'))
+    body = F.when(s % 3 == 0, F.concat(name, F.lit(',"positionLabel":{"value":"chief executive officer"},"start":{"value":"2001-02-03T00:00:00Z"}}]}}'))).when(s % 3 == 1, F.concat(name, F.lit("}]}}"))).otherwise("{broken")
+    return V.item_people(table(spark, folder, "supplier").select(s.alias("id"), body.alias("body")), "id").select("id", "name", "position", "start")
+
+
+@query("search_chunks", """WITH n AS (SELECT name, (row_number() OVER (ORDER BY name) - 1) // 10 AS chunk FROM (SELECT DISTINCT company_name AS name FROM wiki_companies WHERE company_name IS NOT NULL)), c AS (SELECT chunk, string_agg('"' || name || '"', ' OR ' ORDER BY name) AS who FROM n GROUP BY 1)
+ SELECT s AS statute, chunk, '"' || s || '" AND (' || who || ')' AS query FROM c, (VALUES ('FTC Section 5'), ('Lanham Act')) t(s)""")
+def search_chunks(spark, folder):
+    """Searches of ten companies at once for each statute."""
+    return V.search_chunks(table(spark, folder, "wiki_companies"), "company_name", ["FTC Section 5", "Lanham Act"])
+
+
+@query("refreshed_pages", """WITH e AS (SELECT 'u' || user_id AS url, event_id, ts, CASE event_id % 3 WHEN 0 THEN 200 WHEN 1 THEN 304 ELSE 500 END AS status FROM events WHERE event_id % 2 = 0), a AS (SELECT url, arg_max(status, (ts, event_id)) AS status, arg_max(event_id, (ts, event_id)) AS body, max(ts) AS at FROM e WHERE status <> 500 GROUP BY 1),
+ c AS (SELECT 'u' || user_id AS url, arg_max(event_id, (ts, event_id)) AS body FROM events WHERE event_id % 2 = 1 GROUP BY 1) SELECT url, CASE WHEN a.status = 200 THEN a.body ELSE c.body END AS body FROM a FULL JOIN c USING (url) WHERE CASE WHEN a.status = 200 THEN a.body ELSE c.body END IS NOT NULL""")
+def refreshed_pages(spark, folder):
+    """A cache of pages after answers that bring new bodies, confirm old ones or fail."""
+    e = table(spark, folder, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url"), F.lit("e").alias("etag"), F.col("event_id").alias("body"), F.struct("ts", "event_id").alias("fetched_at"))
+    status = F.when(F.col("body") % 3 == 0, 200).when(F.col("body") % 3 == 1, 304).otherwise(500)
+    return V.refreshed_pages(e.where("body % 2 = 1"), e.where("body % 2 = 0").withColumn("status", status)).select("url", "body")
+
+
+@query("saved_feeds", "SELECT s_suppkey % 4 AS ticker, count(*) AS items FROM supplier GROUP BY 1")
+def saved_feeds(spark, folder):
+    """Items saved in a folder for each ticker and read again."""
+    path = _folder(spark, "feeds")
+    V.save_feeds(table(spark, folder, "supplier").select((F.col("s_suppkey") % 4).alias("ticker"), F.col("s_name").alias("title")), path)
+    return spark.read.schema("title string, ticker long").json(path).groupBy("ticker").agg(F.count("*").alias("items"))

@@ -183,3 +183,24 @@ def test_new_operators_bear_nulls_and_empty_tables(spark):
     people = spark.createDataFrame([(1, None, None, None, None), (2, "Bo LI", "ceo", "T", 0.95), (3, "bo li", "Chief Executive Officer", "T", 0.2)], "person_row_id int, clean_name string, clean_title string, ticker string, confidence_score double")
     got = {r["person_row_id"]: r for r in K.normalize_people(people).collect()}
     assert got[2]["clean_name"] == "Bo Li" and got[2]["confidence_score"] == 1.0 and 3 not in got and got[1]["clean_name"] == ""
+
+
+def test_configuration_schemas_and_providers(spark):
+    from pyspark.sql import types as T
+
+    from docketry.sources import providers as V
+
+    base = {"a": {"b": 1, "c": 2}, "d": [1]}
+    assert V.merged(base, {"a": {"b": 5}, "d": [2]}) == {"a": {"b": 5, "c": 2}, "d": [2]} and base["a"]["b"] == 1
+    made = V.json_schema(T.StructType().add("id", "long", False).add("tags", "array<string>").add("at", "timestamp"), "row")
+    assert made["required"] == ["id"] and made["properties"]["id"] == {"type": "integer"} and made["properties"]["at"]["anyOf"][0]["format"] == "date-time"
+    found = spark.createDataFrame([("see Q42", None), (None, '{"search": [{"id": "Q7"}]}'), (None, None)], "t string, s string").select(V.resolved_item(F.col("t"), F.col("s")).alias("q"))
+    assert [r["q"] for r in found.collect()] == ["Q42", "Q7", None]
+
+    class P:
+        def __init__(self, name, weight):
+            self.name, self.weight = name, weight
+
+    got = V.by_weight({P("x", 60): spark.createDataFrame([("A", 1), ("B", 1)], "k string, v int"), P("y", 100): spark.createDataFrame([("A", 2)], "k string, v int")}, "k").collect()
+    assert {(r["k"], r["v"], r["provider"]) for r in got} == {("A", 2, "y"), ("B", 1, "x")}
+    assert V.feed_catalog(spark, ["AA", "BB"]).count() == 2
