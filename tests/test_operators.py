@@ -192,7 +192,7 @@ def test_configuration_schemas_and_providers(spark):
 
     base = {"a": {"b": 1, "c": 2}, "d": [1]}
     assert V.merged(base, {"a": {"b": 5}, "d": [2]}) == {"a": {"b": 5, "c": 2}, "d": [2]} and base["a"]["b"] == 1
-    made = V.json_schema(T.StructType().add("id", "long", False).add("tags", "array<string>").add("at", "timestamp"), "row")
+    made = V.json_schema(T.StructType.fromDDL("id bigint not null, tags array<string>, at timestamp"), "row")
     assert made["required"] == ["id"] and made["properties"]["id"] == {"type": "integer"} and made["properties"]["at"]["anyOf"][0]["format"] == "date-time"
     found = spark.createDataFrame([("see Q42", None), (None, '{"search": [{"id": "Q7"}]}'), (None, None)], "t string, s string").select(V.resolved_item(F.col("t"), F.col("s")).alias("q"))
     assert [r["q"] for r in found.collect()] == ["Q42", "Q7", None]
