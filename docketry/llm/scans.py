@@ -72,14 +72,10 @@ def repair_cost(seen: str, word: str, most: float = MOST) -> float:
     return d[n][m]
 
 
-def deletes(word: str, whole: int = 14) -> set[str]:
-    """The word, and what one or two deleted characters leave; in long words the two stand side by side."""
+def deletes(word: str) -> set[str]:
+    """The word, and what one or two deleted characters leave; words are of 40 letters at most."""
     one = {word[:i] + word[i + 1 :] for i in range(len(word))}
-    if len(word) <= whole:
-        two = {w[:i] + w[i + 1 :] for w in one for i in range(len(w))}
-    else:
-        two = {word[:i] + word[i + 2 :] for i in range(len(word) - 1)}
-    return {word} | one | two
+    return {word} | one | {w[:i] + w[i + 1 :] for w in one for i in range(len(w))}
 
 
 _FOLD = str.maketrans({"0": "o", "1": "l", "i": "l", "|": "l", "!": "l", "j": "l", "@": "a", "(": "c", "e": "c", "h": "b", "q": "g", "5": "s", "$": "s", "8": "b", "y": "v", "t": "f", "u": "n"})

@@ -129,6 +129,13 @@ def test_frequent_misreadings_are_corrected(spark):
     assert len(got) == 65 and all(r["clean"] == "and that was said" and [(f["line_no"], f["fix"]) for f in r["fixes"]] == [(1, "chars")] for r in got)
 
 
+def test_two_misreadings_in_a_long_word(spark):
+    texts = ["the misrepresentations of the defendants"] * 60 + ["the misrcprcsentations of the defendants"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = scans.repair_scans(df, "doc_id", "text").where("doc_id = 60").first()
+    assert got["clean"] == texts[0] and [(f["line_no"], f["fix"]) for f in got["fixes"]] == [(1, "chars")]
+
+
 @needs
 def test_whole_queries_have_their_form(spark):
     found = entities.p1_found(spark, FOLDER)
