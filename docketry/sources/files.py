@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import os
+import uuid
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +48,26 @@ def rewrite_stage(spark: SparkSession, source: str, target: str, schema: str, ch
     change(spark.read.schema(schema).json(source)).write.mode("overwrite").json(target, ignoreNullFields=False)
 
 
+def _in_few_tasks(scan: DataFrame) -> DataFrame:
+    """A scan of many small files.  Spark counts 4 MB for opening each and gives a task a handful; here a task has 64 MB or its share."""
+    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return scan.coalesce(max(2 * scan.sparkSession.sparkContext.defaultParallelism, size >> 26))
+
+
+@contextlib.contextmanager
+def _listed_in_few_tasks(spark: SparkSession):
+    """Where nothing is set, Spark lists up to 10,000 folders by a task each; here each core's tasks share them."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def discover_cases(spark: SparkSession, base: str) -> DataFrame:
     """(case_id) of the folders of a tree that hold entries or opinions."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(base).select("path")
@@ -54,20 +79,47 @@ def write_case_tree(docs: DataFrame, base: str) -> None:
     """Every document as a file entries/doc_*.json or opinions/opinions_*.json in its case's folder, whose name is URL-encoded.
 
     docs: case_id, kind (entry or opinion), original_id, plain_text.  For exchange with tools that
-    want such trees: rows pass the driver one by one, so large results belong into a table instead.
+    want such trees.  The tasks write where base is a mounted folder; into any other file system
+    rows pass the driver one by one, so there large results belong into a table instead.
     """
-    shown = docs.select(F.url_encode("case_id").alias("folder"), "kind", F.url_encode("original_id").alias("name"), F.to_json(F.struct(F.col("original_id").alias("id"), "plain_text")).alias("body"))
+    part = F.concat(F.when(F.col("kind") == "opinion", "opinions/opinions_").otherwise("entries/doc_"), F.url_encode("original_id"), F.lit(".json"))
+    shown = docs.select(F.url_encode("case_id").alias("folder"), part.alias("part"), F.to_json(F.struct(F.col("original_id").alias("id"), "plain_text")).alias("body"))
 
-    # one row a folder and file: a partitioned text sink would rename files, so the driver's file system writes them by name
+    # one row a folder and file: a partitioned text sink would rename files, so they are written by name
     jvm, conf = docs.sparkSession.sparkContext._jvm, docs.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(base)
+    system = top.getFileSystem(conf)
+    if system.getUri().getScheme() == "file":
+        root = system.makeQualified(top).toUri().getPath()
+        shown.mapInArrow(lambda batches: _write_files(root, batches), "files long").agg(F.sum("files")).collect()
+        return
     for r in shown.toLocalIterator():
-        part = ("opinions/opinions_" if r["kind"] == "opinion" else "entries/doc_") + r["name"] + ".json"
-        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{r['folder']}/{part}")
+        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{r['folder']}/{r['part']}")
         out = path.getFileSystem(conf).create(path, True)
         out.write(bytearray(r["body"].encode()))
         out.close()
 
 
+def _write_files(root: str, batches):
+    """Writes (folder, part, body) of Arrow batches below root; a file stands there whole or not at all, however often its task runs."""
+    made = set()
+    for batch in batches:
+        for folder, part, body in zip(*(c.to_pylist() for c in batch.columns)):
+            kind, name = part.split("/")
+            at = f"{root}/{folder}/{kind}"
+            if at not in made:
+                os.makedirs(at, exist_ok=True)
+                made.add(at)
+            new = f"{at}/.{uuid.uuid4().hex}"
+            with open(new, "wb") as out:
+                out.write(body.encode())
+            # a checksum that Hadoop left beside an older file would not fit the new one
+            with contextlib.suppress(FileNotFoundError):
+                os.unlink(f"{at}/.{name}.crc")
+            os.replace(new, f"{at}/{name}")
+        yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+
 def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
     df.write.mode("append" if append else "overwrite").json(path, ignoreNullFields=False)
 
@@ -78,14 +130,14 @@ def read_case_tree(spark: SparkSession, base: str, cases: list[str] | None = Non
     The case is the folder above; a file that cannot be read is left out.
     """
     shape = "id string, plain_text string, date_created string, description string, page_count int, document_number string, author string"
-
-    def part(kind: str, pattern: str) -> DataFrame:
-        raw = spark.read.schema(shape).option("multiLine", True).option("mode", "DROPMALFORMED").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).json(base)
-        place = F.col("_metadata.file_path")
-        found = raw.withColumn("case_id", F.url_decode(F.url_decode(F.regexp_extract(place, rf"([^/]+)/{kind}/[^/]+$", 1)))).where("case_id <> ''")
-        return found.where(F.length(F.trim("plain_text")) > 0).select("case_id", F.lit("opinion" if kind == "opinions" else "entry").alias("kind"), F.coalesce("id", F.lit("unknown")).alias("original_id"), "plain_text", "date_created", "author")
-
-    both = part("entries", "doc_*.json").unionByName(part("opinions", "opinions_*.json"))
+    # one listing and one scan for both kinds
+    with _listed_in_few_tasks(spark):
+        raw = spark.read.schema(shape).option("multiLine", True).option("mode", "DROPMALFORMED").option("pathGlobFilter", "{doc_,opinions_}*.json").option("recursiveFileLookup", True).json(base)
+    raw = _in_few_tasks(raw.select("*", F.col("_metadata.file_path").alias("_place")))
+    part = lambda group: F.regexp_extract("_place", r"([^/]+)/(entries/doc_|opinions/opinions_)[^/]*$", group)
+    found = raw.withColumn("case_id", F.url_decode(F.url_decode(part(1)))).where("case_id <> ''").where(F.length(F.trim("plain_text")) > 0)
+    kind = F.when(part(2).startswith("opinions"), "opinion").otherwise("entry")
+    both = found.select("case_id", kind.alias("kind"), F.coalesce("id", F.lit("unknown")).alias("original_id"), "plain_text", "date_created", "author")
     if cases is not None:
         both = both.where(F.col("case_id").isin(cases))
     return both.withColumn("doc_id", F.concat_ws("_", "case_id", "kind", "original_id"))

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from docketry.operators import amounts as A
@@ -204,3 +205,33 @@ def test_configuration_schemas_and_providers(spark):
     got = V.by_weight({P("x", 60): spark.createDataFrame([("A", 1), ("B", 1)], "k string, v int"), P("y", 100): spark.createDataFrame([("A", 2)], "k string, v int")}, "k").collect()
     assert {(r["k"], r["v"], r["provider"]) for r in got} == {("A", 2, "y"), ("B", 1, "x")}
     assert V.feed_catalog(spark, ["AA", "BB"]).count() == 2
+
+
+def _tasks_of(spark, group, run):
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        out = run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(i) for j in tracker.getJobIdsForGroup(group) for i in tracker.getJobInfo(j).stageIds]
+    return out, sum(s.numTasks for s in stages if s)
+
+
+def test_a_tree_of_many_cases_is_written_and_read_by_few_tasks(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    monkeypatch.setattr(DataFrame, "toLocalIterator", lambda *a, **k: pytest.fail("rows pass the driver"))
+    base = str(tmp_path / "tree")
+    rows = [(f"1:{i}-cv_é", kind, f"{i} {kind}/1", f'text "{i}"\n') for i in range(150) for kind in ("entry", "opinion")] + [("1:0-cv_é", "entry", "blank", " "), ("1:0-cv_é", "entry", "none", None)]
+    docs = spark.createDataFrame(rows, "case_id string, kind string, original_id string, plain_text string")
+    S.write_case_tree(docs.limit(0), base + "_none")
+    S.write_case_tree(docs.withColumn("plain_text", F.lit("an older text")), base)
+    old = tmp_path / "tree" / "1%3A0-cv_%C3%A9" / "entries" / ".doc_0+entry%2F1.json.crc"
+    old.write_bytes(b"crc\0\0\0\2\0\1\2\3\4")  # as Hadoop leaves one
+    S.write_case_tree(docs, base)
+    got, tasks = _tasks_of(spark, "tree", lambda: S.read_case_tree(spark, base).select("case_id", "kind", "original_id", "plain_text", "doc_id").collect())
+    assert sorted(map(tuple, got)) == sorted((*r, "_".join(r[:3])) for r in rows[:300])
+    assert tasks <= 60 and spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism", None) is None
