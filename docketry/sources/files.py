@@ -70,7 +70,9 @@ def _listed_in_few_tasks(spark: SparkSession):
 
 def discover_cases(spark: SparkSession, base: str) -> DataFrame:
     """(case_id) of the folders of a tree that hold entries or opinions."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(base).select("path")
+    with _listed_in_few_tasks(spark):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(base)
+    files = _in_few_tasks(files.select("path"))
     case = F.url_decode(F.url_decode(F.regexp_extract("path", r"([^/]+)/(?:entries|opinions)/[^/]+$", 1)))
     return files.select(case.alias("case_id")).where("case_id <> ''").distinct()
 

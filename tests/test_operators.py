@@ -235,3 +235,12 @@ def test_a_tree_of_many_cases_is_written_and_read_by_few_tasks(spark, tmp_path,
     got, tasks = _tasks_of(spark, "tree", lambda: S.read_case_tree(spark, base).select("case_id", "kind", "original_id", "plain_text", "doc_id").collect())
     assert sorted(map(tuple, got)) == sorted((*r, "_".join(r[:3])) for r in rows[:300])
     assert tasks <= 60 and spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism", None) is None
+
+
+def test_cases_of_a_tree_are_found_by_few_tasks(spark, tmp_path):
+    for i in range(150):
+        for kind in ("entries", "opinions", "other"):
+            (tmp_path / f"c%3A{i}" / kind).mkdir(parents=True)
+        (tmp_path / f"c%3A{i}" / ("other" if i % 3 == 0 else "opinions") / "x.json").write_text("{}")
+    got, tasks = _tasks_of(spark, "cases", lambda: S.discover_cases(spark, str(tmp_path)).collect())
+    assert {r["case_id"] for r in got} == {f"c:{i}" for i in range(150) if i % 3} and len(got) == 100 and tasks <= 60
