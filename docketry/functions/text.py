@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -117,17 +121,29 @@ def offsets_valid(offsets: Column, raw_length: Column, norm_length: Column) -> C
     return F.forall(offsets, inside)
 
 
-def simhash(c: Column) -> Column:
-    """64-bit similarity fingerprint of the words, from the low half of their MD5; every word is hashed once."""
-    words = F.regexp_extract_all(F.lower(c), F.lit(r"(?U)\w+"), F.lit(0))
-    halves = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 17, 16), 16, -10).cast("long"))
+@F.arrow_udf(T.LongType())
+def _majority(words: pa.Array) -> pa.Array:
+    """The bits that more than half of a list's words have in the low half of their MD5; 0 for none.
+
+    An aggregate over the words for each of 64 bits says the same, but looks at every word 64 times, one expression at a time.
+    """
+    sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+    flat = words.flatten().cast(pa.binary()).dictionary_encode()
+    place, ends = flat.indices.to_numpy(), np.cumsum(sizes)
+    halves = b"".join(hashlib.md5(w).digest()[8:] for w in flat.dictionary.to_pylist())
+    bits = np.unpackbits(np.frombuffer(halves, np.uint8).reshape(-1, 8), axis=1)
+    out, some = np.zeros(len(words), np.int64), np.flatnonzero(sizes)
+    # some 100,000 words at a time, as each takes 64 bytes here
+    for rows in np.split(some, np.flatnonzero(np.diff(ends[some] // 100_000)) + 1) if len(some) else ():
+        first = ends[rows[0]] - sizes[rows[0]]
+        ones = np.add.reduceat(bits[place[first : ends[rows[-1]]]], ends[rows] - sizes[rows] - first, dtype=np.int64)
+        out[rows] = np.packbits(2 * ones > sizes[rows, None], axis=1).view(">i8")[:, 0]
+    return pa.array(out)
 
-    def fold(h: Column) -> Column:
-        weight = lambda i: F.aggregate(h, F.lit(0), lambda a, x: a + 2 * F.getbit(x, i).cast("int") - 1)
-        ones = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.when(weight(i) > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-        return F.aggregate(ones, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
 
-    return bind(halves, fold)
+def simhash(c: Column) -> Column:
+    """64-bit similarity fingerprint of the words, from the low half of their MD5; every word is hashed once."""
+    return _majority(F.regexp_extract_all(F.lower(c), F.lit(r"(?U)\w+"), F.lit(0)))
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -163,7 +179,6 @@ def id_valid(c: Column, prefix: str) -> Column:
 
 def canonical_id(prefix: str, fields: dict[str, Column]) -> Column:
     """prefix + BLAKE2b-128 of the fields as sorted JSON; for the ids that are made of JSON."""
-    import hashlib
     import json
 
     @F.pandas_udf(T.StringType())

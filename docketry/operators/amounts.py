@@ -87,7 +87,9 @@ def counters(c: Column) -> dict[str, Column]:
 
 
 def with_counters(df: DataFrame, context: str = "context") -> DataFrame:
-    return df.withColumns({f"n_{k}": v for k, v in counters(F.col(context)).items()})
+    # from a generator, as a filter on the votes would otherwise be pushed below and every pattern searched for in it again
+    found = F.struct(*[v.alias(f"n_{k}") for k, v in counters(F.col(context)).items()])
+    return df.select(*[c for c in df.columns if c not in {f"n_{k}" for k in counters(F.col(context))}], F.inline(F.array(found)))
 
 
 def with_votes(df: DataFrame, position_votes: str | None = None, weights: dict[str, float] | None = None) -> DataFrame:
@@ -270,9 +272,12 @@ def stage_candidates(docs: DataFrame, text: str = "text", least: float = MIN_AMO
     docs: case_id, doc_id and a text.  A candidate with the same amount in a context that begins alike counts once per case.
     """
     rest = [c for c in docs.columns if c != text]
+    # texts are short beside the searches in them: the files that hold a table may be fewer than the cores
+    spark = docs.sparkSession
+    docs = docs.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism))
     plain = standard_candidates(docs, text, least, around).drop("fingerprint")
-    parts = docs.select(*rest, F.col(text).alias("_t")).join(fractions(docs, text).select("doc_id", "raw_text", "start", "value").withColumnRenamed("start", "_s"), "doc_id")
-    share = parts.select(*rest, F.lit("fraction").alias("kind"), "value", "raw_text", _window(F.col("_t"), F.col("_s"), F.length("raw_text"), around).alias("context"), F.col("_s").alias("start")).where(F.col("value") >= least)
+    parts = fractions(docs.withColumn("_t", F.col(text)), text)
+    share = parts.select(*rest, F.lit("fraction").alias("kind"), "value", "raw_text", _window(F.col("_t"), F.col("start"), F.length("raw_text"), around).alias("context"), "start").where(F.col("value") >= least)
     every = plain.select(*rest, "kind", "value", "raw_text", "context", "start").unionByName(share).where(not_procedural(F.col("context")))
     once = Window.partitionBy("case_id", "value", F.substring("context", 1, 60)).orderBy("doc_id", "start", "kind")
     every = every.withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_n")

@@ -244,3 +244,31 @@ def test_cases_of_a_tree_are_found_by_few_tasks(spark, tmp_path):
         (tmp_path / f"c%3A{i}" / ("other" if i % 3 == 0 else "opinions") / "x.json").write_text("{}")
     got, tasks = _tasks_of(spark, "cases", lambda: S.discover_cases(spark, str(tmp_path)).collect())
     assert {r["case_id"] for r in got} == {f"c:{i}" for i in range(150) if i % 3} and len(got) == 100 and tasks <= 60
+
+
+def test_candidates_of_a_stage_search_each_context_once(spark):
+    docs = spark.createDataFrame([("c", "d1", "The court ordered one and a half million dollars paid, a settlement of $2,500,000."), ("c", "d1", "Awarded 2 and a half million.")], "case_id string, doc_id string, text string")
+    df = A.stage_candidates(docs, votes=1)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("injunctive\\s+relief|declaratory\\s+judgment") == 1 and "Join" not in plan  # once, though a filter on the votes stands above
+    assert [(r["kind"], r["value"], r["start"]) for r in df.collect()] == [("figures", 2.5e6, 71)]
+    # a document delivered with another text: each fraction goes with its own
+    got = {(r["value"], r["start"], r["context"][:7]) for r in A.stage_candidates(docs, least=0).where("kind = 'fraction'").collect()}
+    assert got == {(1.5, 18, "The cou"), (0.5, 8, "Awarded")}
+
+
+def test_fingerprints_of_many_words(spark):
+    import hashlib
+    from collections import Counter
+
+    from docketry.functions.text import simhash
+
+    texts = ["", None, "...", *(" ".join(f"w{i * j % 977}" for j in range(i * 90)) for i in range(120)), "a " * 250_000 + "b"]
+
+    def plain(text):
+        n = Counter((text or "").replace(".", "").split())
+        h = {w: int(hashlib.md5(w.encode()).hexdigest()[-16:], 16) for w in n}
+        return sum(1 << i for i in range(64) if sum(k if h[w] >> i & 1 else -k for w, k in n.items()) > 0)
+
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1).select("i", simhash(F.col("t")).alias("h")).collect()
+    assert {r["i"]: r["h"] % 2**64 for r in got} == {i: plain(t) for i, t in enumerate(texts)}
