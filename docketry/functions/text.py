@@ -98,7 +98,7 @@ def identity_offsets(c: Column) -> Column:
     """Offset map of a text onto itself: one (raw start, raw end, start, end) per character."""
     n = F.length(c)
     steps = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(steps, lambda i: F.struct(i.alias("raw_start"), i.alias("raw_end"), i.alias("norm_start"), i.alias("norm_end")))
+    return bind(steps, lambda s: F.arrays_zip(*[s.alias(x) for x in ("raw_start", "raw_end", "norm_start", "norm_end")]))
 
 
 def clean_with_offsets(c: Column, compatibility: bool = True) -> Column:
@@ -117,8 +117,9 @@ def apply_offsets(text: Column, offsets: Column) -> Column:
 
 
 def offsets_valid(offsets: Column, raw_length: Column, norm_length: Column) -> Column:
-    inside = lambda x: (x["raw_start"] >= 0) & (x["norm_start"] >= 0) & (x["raw_end"] >= x["raw_start"]) & (x["norm_end"] >= x["norm_start"]) & (x["raw_end"] <= raw_length) & (x["norm_end"] <= norm_length)
-    return F.forall(offsets, inside)
+    """Whether every place lies within bounds.  The lengths are bound, as a lambda would count the text's characters for each place."""
+    inside = lambda x, b: (x["raw_start"] >= 0) & (x["norm_start"] >= 0) & (x["raw_end"] >= x["raw_start"]) & (x["norm_end"] >= x["norm_start"]) & (x["raw_end"] <= b["raw"]) & (x["norm_end"] <= b["norm"])
+    return bind(F.struct(offsets.alias("offsets"), raw_length.alias("raw"), norm_length.alias("norm")), lambda b: F.forall(b["offsets"], lambda x: inside(x, b)))
 
 
 @F.arrow_udf(T.LongType())
