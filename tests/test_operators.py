@@ -221,9 +221,7 @@ def _tasks_of(spark, group, run):
 
 
 def test_a_tree_of_many_cases_is_written_and_read_by_few_tasks(spark, tmp_path, monkeypatch):
-    from pyspark.sql import DataFrame
-
-    monkeypatch.setattr(DataFrame, "toLocalIterator", lambda *a, **k: pytest.fail("rows pass the driver"))
+    monkeypatch.setattr(type(spark.range(1)), "toLocalIterator", lambda *a, **k: pytest.fail("rows pass the driver"))
     base = str(tmp_path / "tree")
     rows = [(f"1:{i}-cv_é", kind, f"{i} {kind}/1", f'text "{i}"\n') for i in range(150) for kind in ("entry", "opinion")] + [("1:0-cv_é", "entry", "blank", " "), ("1:0-cv_é", "entry", "none", None)]
     docs = spark.createDataFrame(rows, "case_id string, kind string, original_id string, plain_text string")
