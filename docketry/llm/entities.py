@@ -3,8 +3,8 @@
 Records of both sources and the tokens of their attributes form one graph.  Random walks over it
 are sentences of tokens, from which skip-gram vectors are trained; a token's vector is its
 skip-gram vector beside a fixed random one of its own, so that tokens that are always seen together
-stay apart, and a record's vectors are the weighted sums of its tokens'.  Tables of random
-hyperplanes, as many as their bits ask for, bring the records of the two sources together, exact
+stay apart, and a record's vectors are the weighted sums of its tokens'.  Tables of nearest random
+directions, as many as their bits ask for, bring the records of the two sources together, exact
 keys those that names cannot.  What meets is ranked anew by its exact cosine and by how names, seats,
 lines of business and people agree.  How much a cosine and an agreement count is calibrated: the
 name's part on pairs about which everything but the name leaves no doubt, the other part on pairs
@@ -15,15 +15,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry.llm.people import bounded_distance, company_core, given_agrees, near, person_parts, plain, word_agrees
-from docketry.runtime import blank_to_null, cut, effective_case_id, free, table
+from docketry.runtime import blank_to_null, cut, drop_cut, effective_case_id, free, table
 
 #: Tokens are hashed into so many buckets: the vectors, 16 MB, and the neighbour lists have a fixed bound.
 BUCKETS, DIMENSIONS, NEIGHBOURS = 1 << 16, 48, 64
@@ -31,6 +33,10 @@ BUCKETS, DIMENSIONS, NEIGHBOURS = 1 << 16, 48, 64
 WALKS, STEPS = 2, 4
 #: Pairs of cosine MEET_COSINE share a code with this probability, however many the bits.
 MEET_COSINE, MEETING = 0.7, 0.9
+#: A part of a code is one of at most so many directions and its sign, as bits.
+PART_BITS = 8
+#: Pairs weighed at once, and blocks of pairs for each shuffle partition.
+WEIGHED, BLOCKS = 20_000, 2
 #: Length of a token's skip-gram vector beside its own of length 1.
 SHARE = 0.7
 #: Pairs without a common exact key go on from this cosine of names: of 600 pairs accepted when all of 800 x 6,000
@@ -109,6 +115,7 @@ def train_vectors(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     place = got.column("word").to_numpy()
     vectors[place] = got.column("v").combine_chunks().flatten().to_numpy().reshape(-1, DIMENSIONS)
     del got, model
+    drop_cut(sentences)
     vectors[place] = SHARE * whitened(vectors[place])
     apart = np.random.default_rng(17).normal(size=vectors.shape).astype(np.float32)
     vectors = np.concatenate([vectors, apart / np.linalg.norm(apart, axis=1, keepdims=True)], 1).astype(np.float16)
@@ -152,18 +159,39 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.int8).reshape(len(column), -1).astype(np.float32)
 
 
+def part_bits(bits: int) -> list[int]:
+    """Bits of the parts of a code."""
+    parts = -(-bits // PART_BITS)
+    return [(bits + i) // parts for i in range(parts)]
+
+
+@lru_cache(maxsize=None)
+def part_agrees(bits: int) -> float:
+    """How often two vectors of cosine MEET_COSINE have the same nearest of 2^(bits - 1) random directions or their opposites.
+
+    A vector's products with random directions are normal and independent, those of the two vectors with one direction
+    correlated by their cosine; counted over 40,000 drawn pairs.
+    """
+    rng, same, rows = np.random.default_rng(3), 0, np.arange(2_000)
+    for _ in range(20):
+        x, y = rng.normal(size=(2, len(rows), 1 << (bits - 1))).astype(np.float32)
+        y = MEET_COSINE * x + np.float32((1 - MEET_COSINE**2) ** 0.5) * y
+        i, j = np.abs(x).argmax(1), np.abs(y).argmax(1)
+        same += int(((i == j) & ((x[rows, i] > 0) == (y[rows, j] > 0))).sum())
+    return same / (20 * len(rows))
+
+
 def tables_for(bits: int) -> int:
-    """How many hyperplane tables of so many bits a pair of MEET_COSINE needs to meet with probability MEETING."""
-    one = (1 - np.arccos(MEET_COSINE) / np.pi) ** bits
-    return int(np.ceil(np.log(1 - MEETING) / np.log1p(-one)))
+    """How many tables of codes of so many bits a pair of MEET_COSINE needs to meet with probability MEETING."""
+    one = float(np.prod([part_agrees(b) for b in part_bits(bits)]))
+    return max(1, int(np.ceil(np.log(1 - MEETING) / np.log1p(-min(one, 1 - 1e-9)))))
 
 
 def _codes(bits: int):
     """A record's codes in the tables of names, or where it has no name in those of everything else."""
+    tables, parts = tables_for(bits), part_bits(bits)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = tables_for(bits)
-        weight = 1 << np.arange(bits, dtype=np.int64)
         for b in batches:
             if not len(b):
                 continue
@@ -175,9 +203,14 @@ def _codes(bits: int):
                 if not some.any():
                     continue
                 v, rid = v[some], b["rid"].to_numpy()[some]
-                planes = np.random.default_rng(5).normal(size=(tables, bits, v.shape[1])).astype(np.float32)
+                rows = np.arange(len(v))
                 for t in range(tables):
-                    yield pd.DataFrame({"rid": rid, "t": np.int32(first + t), "code": ((v @ planes[t].T) > 0) @ weight})
+                    rng, code = np.random.default_rng([5, t]), np.zeros(len(v), np.int64)
+                    for part in parts:
+                        x = v @ rng.normal(size=(1 << (part - 1), v.shape[1])).astype(np.float32).T
+                        at = np.abs(x).argmax(1)
+                        code = (code << part) | (at << 1) | (x[rows, at] > 0)
+                    yield pd.DataFrame({"rid": rid, "t": np.int32(first + t), "code": code})
 
     return run
 
@@ -185,6 +218,8 @@ def _codes(bits: int):
 def hyperplane_candidates(left: DataFrame, right: DataFrame, bits: int) -> DataFrame:
     """(lid, rid): pairs of a left and a right record that share a code in one of the tables.
 
+    A code is the nearest of random directions, a few times over.  At equal chance for strangers it is the same for near
+    vectors far more often than the sides of hyperplanes are, so 51 tables of 14 bits do what 137 of hyperplanes did.
     The tables of everything but the name are for left records without one: a company's seats,
     lines and people are many and a record's few, so such a cosine says little beside a name.
     """
@@ -241,10 +276,44 @@ def _cosines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             continue
         u, v = _matrix(b["l_own"]), _matrix(b["r_own"])
         cos = (u * v).sum(1) / np.maximum(np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1), 1e-6)
-        out = pd.DataFrame({"lid": b["lid"], "rid": b["rid"], "cosine": cos.astype(float)})
+        out = b.drop(columns=["keyed", "l_own", "r_own"]).assign(cosine=cos.astype(float))
         yield out[(cos >= LEAST_COSINE) | b["keyed"].to_numpy(bool) | ~np.any(u != 0, axis=1)]
 
 
+def _weigh(pairs: pa.Table, records: pa.Table) -> pa.Table:
+    """Cosine and evidence of the names of a block's pairs, each once; keeps those that go on."""
+    ids, left, v, names = (records.column(c).to_pylist() for c in ("id", "left", "v", "names"))
+    at = {(m, i): k for k, (m, i) in enumerate(zip(left, ids))}
+    p = pairs.select(["lid", "rid", "keyed"]).to_pandas().groupby(["lid", "rid"], as_index=False, sort=False)["keyed"].max()
+    out = [pd.DataFrame({"lid": np.zeros(0, np.int64), "rid": np.zeros(0, np.int64), "cosine": np.zeros(0), "own": np.zeros(0)})]
+    for i in range(0, len(p), WEIGHED):
+        some = p.iloc[i : i + WEIGHED]
+        l, r = [at[True, x] for x in some["lid"].tolist()], [at[False, x] for x in some["rid"].tolist()]
+        near = pd.concat(_cosines(iter([some.assign(l_own=[v[k] for k in l], r_own=[v[k] for k in r], name=[names[k][0] for k in l], names=[names[k] for k in r])])))
+        out += list(_own(iter([near])))
+    return pa.Table.from_pandas(pd.concat(out), pa.schema([("lid", pa.int64()), ("rid", pa.int64()), ("cosine", pa.float64()), ("own", pa.float64())]), preserve_index=False)
+
+
+def weighed(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """(lid, rid, cosine, own) of the pairs (lid, rid, keyed) that their names let go on.
+
+    left, right: (id, v, names).  Pairs are dealt to a grid of blocks by the hashes of both records, so a record goes once
+    to each block of its row or column, instead of once with each of its pairs.
+    """
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n, m = max(left.count(), 1), max(right.count(), 1)
+    wide = int(min(max(round((BLOCKS * tasks * m / n) ** 0.5), 1), BLOCKS * tasks))
+    high = -(-BLOCKS * tasks // wide)
+    row, column = (lambda c: F.pmod(F.xxhash64(c), F.lit(high)).cast("int")), (lambda c: F.pmod(F.xxhash64(c), F.lit(wide)).cast("int"))
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    lefts = left.withColumn("k", every(wide)).select((row("id") * wide + F.col("k")).alias("block"), "id", F.lit(True).alias("left"), "v", "names")
+    rights = right.withColumn("k", every(high)).select((F.col("k") * wide + column("id")).alias("block"), "id", F.lit(False).alias("left"), "v", "names")
+    # the evidence is work for the processor: as many tasks as shuffles have, however few the bytes
+    dealt = pairs.select((row("lid") * wide + column("rid")).alias("block"), "lid", "rid", "keyed").repartition(tasks, "block")
+    records = lefts.unionByName(rights).repartition(tasks, "block")
+    return dealt.groupBy("block").cogroup(records.groupBy("block")).applyInArrow(_weigh, "lid long, rid long, cosine double, own double")
+
+
 def _seat(s: str) -> tuple[list[str], str]:
     """(words of the city, region) of a seat as typed; both may be one."""
     p = re.split(r"[,(]", plain(s), maxsplit=1)
@@ -433,30 +502,32 @@ def match_companies(left: DataFrame, right: DataFrame, heard: DataFrame | None =
     lone = lambda c: F.filter(F.array(c), lambda x: x.isNotNull())
     lefts = cut(left.dropDuplicates(["key"]).withColumn("lid", F.xxhash64(F.lit("l"), "key")), "left")
     rights = cut(right.withColumn("rid", F.xxhash64(F.lit("r"), "ticker")), "right")
+    heard = cut(heard, "heard") if heard is not None else None
     shape = "rid long, own array<int>, other array<int>"
     a = cut(lefts.select(F.col("lid").alias("rid"), lone("name").alias("names"), lone("seat").alias("seats"), lone("line").alias("lines"), none.alias("people")).mapInPandas(_tokenize, shape), "tokens")
     b = cut(rights.select("rid", "names", "seats", F.concat("sectors", "industries").alias("lines"), "people").mapInPandas(_tokenize, shape), "tokens")
     graph = a.unionByName(b).select("rid", F.array_union("own", "other").alias("toks"))
-    shared = spark.sparkContext.broadcast(train_vectors(cut(graph, "graph")))
+    graph = cut(graph, "graph")
+    shared = spark.sparkContext.broadcast(train_vectors(graph))
+    drop_cut(graph)
     bits = max(4, int(np.ceil(np.log2(max(b.count(), 2)))) + 1)
     la, rb = (cut(x.mapInPandas(_vectors(shared), "rid long, v_own binary, v_other binary"), "vectors") for x in (a, b))
     shared.destroy()
+    drop_cut(a)
+    drop_cut(b)
+    free(spark)
     keyed = keyed_candidates(lefts, rights, heard).withColumn("keyed", F.lit(True))
-    met = hyperplane_candidates(la, rb, bits).withColumn("keyed", F.lit(False)).unionByName(keyed).groupBy("lid", "rid").agg(F.max("keyed").alias("keyed"))
-    met = cut(met, "met")
+    met = cut(hyperplane_candidates(la, rb, bits).withColumn("keyed", F.lit(False)).unionByName(keyed), "met")
     free(spark)
-    met = met.join(la.drop("v_other").toDF("lid", "l_own"), "lid").join(rb.drop("v_other").toDF("rid", "r_own"), "rid")
-    pairs = cut(met.mapInPandas(_cosines, "lid long, rid long, cosine double"), "pairs")
-    del met
+    l_names, r_names = lefts.select("lid", F.array("name").alias("names")), rights.select("rid", "names")
+    sides = [cut(x.drop("v_other").toDF("id", "v").join(y.toDF("id", "names"), "id"), "sides") for x, y in ((la, l_names), (rb, r_names))]
+    alike = cut(weighed(met, *sides), "alike")
+    for x in (met, la, rb, *sides):
+        drop_cut(x)
     free(spark)
     sector = rights.select(F.explode("industries").alias("i"), "sectors").select(F.lower("i").alias("i"), F.explode("sectors").alias("line_sector")).groupBy("i").agg(F.mode("line_sector", True).alias("line_sector"))
     known = lefts.withColumn("i", F.regexp_replace(F.lower("line"), "^maker of ", "")).join(sector, "i", "left")
-    # the evidence is work for the processor: as many tasks as shuffles have, however few the bytes
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    named = pairs.join(known.select("lid", "name"), "lid").join(rights.select("rid", "names"), "rid").repartition(tasks, "lid", "rid")
-    alike = cut(named.mapInPandas(_own, "lid long, rid long, cosine double, own double"), "alike")
-    del named
-    free(spark)
     full = alike.join(known.select("lid", "seat", "line", "line_sector", "officer"), "lid").join(rights.drop("names", "ticker"), "rid").repartition(tasks, "lid", "rid")
     scored = full.mapInPandas(_other, "lid long, rid long, cosine double, own double, other double")
     scored = scored.join(lefts.select("lid", "key"), "lid").join(rights.select("rid", "ticker"), "rid")

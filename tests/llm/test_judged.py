@@ -81,6 +81,25 @@ def test_pairs_of_the_accepted_cosine_meet_at_every_size(spark, bits):
     assert met >= 0.85 * 300  # 0.9 is meant; the binomial spread is 0.017
 
 
+def test_tables_grow_slower_than_those_of_hyperplanes():
+    for bits, most in ((11, 35), (14, 60), (21, 300)):  # hyperplanes: 56, 137, 1058
+        assert sum(entities.part_bits(bits)) == bits and max(entities.part_bits(bits)) <= entities.PART_BITS
+        assert 1 <= entities.tables_for(bits) <= most
+
+
+def test_pairs_are_weighed_once_in_blocks(spark):
+    import numpy as np
+
+    shape = "id long, v binary, names array<string>"
+    code = lambda *x: bytearray(np.array(x, np.int8).tobytes())
+    left = spark.createDataFrame([(i, code(9, i % 2 * 9), ["Falkaron F. Brands Corp." if i % 2 else None]) for i in range(40)], shape)
+    right = spark.createDataFrame([(100, code(9, 9), ["Other Inc.", "Falkaron Forest Brands Corp."]), (101, code(-9, -9), ["Falkaron Forest Brands Corp."]), (102, code(9, 9), ["Selcoth Steel plc"])], shape)
+    pairs = [(i, r, False) for i in range(40) for r in (100, 101, 102)] + [(1, 100, True), (3, 101, True), (3, 100, False)]
+    got = entities.weighed(spark.createDataFrame(pairs, "lid long, rid long, keyed boolean"), left, right).collect()
+    assert sorted((r["lid"], r["rid"]) for r in got if r["own"] > 5) == sorted([(i, 100) for i in range(1, 40, 2)] + [(3, 101)])
+    assert len({(r["lid"], r["rid"]) for r in got}) == len(got) and all(abs(r["cosine"] - (1 if r["rid"] != 101 else -1)) < 1e-6 for r in got if r["lid"] % 2)
+
+
 def test_pairs_with_a_key_or_without_a_name_are_weighed_whatever_their_cosine():
     import numpy as np
     import pandas as pd
