@@ -49,6 +49,16 @@ def lookups(name: str) -> set[str]:
     return out
 
 
+def swap_entries(name: str) -> set[str]:
+    """Index entries of a name with one swap of neighbours undone.
+
+    Only a swap across two segments spoils both, so only at their bounds is one undone: with k edits of which s are such
+    swaps, k + s of the k + 1 segments may be spoiled, and k + s - 2 after one is undone, which k <= 2 leaves below k + 1.
+    """
+    at = [s for s, _ in segments(len(name), allowed(len(name)))[1:]]
+    return {e for i in at for e in index_entries(name[: i - 1] + name[i] + name[i - 1] + name[i + 1 :])}
+
+
 def _explode(find):
     """An entry is hashed together with its scope: what meets by chance fails the verification."""
 
@@ -76,18 +86,14 @@ def similar_names(names: DataFrame) -> DataFrame:
 
     names: (scope, name), neither null.  The distance allowed is 0 for two letters, 1 up to five, 2
     beyond, by the shorter name; a swap of neighbours is one edit, so it can spoil two segments and
-    is looked up by its own: names with one swap undone go into the index as well.
+    is looked up by its own: names with one swap at a segment's bound undone go into the index as well.
     """
     # the entries are work for the processor: as many tasks as shuffles have, however few the bytes
     tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = names.select("scope", "name").repartition(tasks, "scope", "name").distinct()
     shape = "scope string, name string, entry long"
 
-    def both(n: str) -> set[str]:
-        swapped = {n[:i] + n[i + 1] + n[i] + n[i + 2 :] for i in range(len(n) - 1)}
-        return set(index_entries(n)) | {e for s in swapped for e in index_entries(s)}
-
-    indexed = names.mapInArrow(_explode(both), shape).select(F.col("scope").alias("o_scope"), F.col("name").alias("other"), "entry")
+    indexed = names.mapInArrow(_explode(lambda n: {*index_entries(n), *swap_entries(n)}), shape).select(F.col("scope").alias("o_scope"), F.col("name").alias("other"), "entry")
     asked = names.mapInArrow(_explode(lookups), shape)
     met = asked.join(indexed, "entry").select("scope", "o_scope", "name", "other").distinct()
     return met.mapInPandas(_verified, "scope string, name string, other string")

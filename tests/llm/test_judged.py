@@ -51,6 +51,19 @@ def test_names_within_distance_always_meet(spark):
             assert bounded_distance(x, y, 2) <= k(x, y)
 
 
+def test_swaps_are_met_with_few_entries(spark):
+    import random
+
+    rng = random.Random(8)
+    pool = ["".join(rng.choice("abcd") for _ in range(rng.randint(2, 10))) for _ in range(60)]
+    swap = lambda n, i: n[:i] + n[i + 1] + n[i] + n[i + 2 :]
+    pool = sorted({*pool, *(swap(n, i) for n in pool for i in range(len(n) - 1)), *(swap(swap(n, 0), len(n) - 2) for n in pool if len(n) > 5)})
+    got = {(r["name"], r["other"]) for r in names.similar_names(spark.createDataFrame([("s", n) for n in pool], "scope string, name string")).collect()}
+    k = lambda x, y: min(names.allowed(len(x)), names.allowed(len(y)))
+    assert got == {(x, y) for x in pool for y in pool if bounded_distance(x, y, k(x, y)) <= k(x, y)}
+    assert max(len({*names.index_entries(n), *names.swap_entries(n)}) for n in pool) <= 7  # at every place it was 20 and more
+
+
 def test_people_of_one_company(spark):
     said = [("k1", "c", "Edward Korvema", None), ("k2", "c", "Ned Korvema", None), ("k3", "c", "E. Korvema", None), ("k4", "d", "Edward Korvema", None), ("k5", "c", None, None), ("q1", "c", "Korvmea, Edward", None), ("k6", None, "Edward Korvema", None), ("k7", "c", "Vacant", None)]
     got = {r["key"]: r["person"] for r in names.link_people(names.read_people(spark.createDataFrame(said, "key string, scope string, raw string, clean string"))).collect()}
