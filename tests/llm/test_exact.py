@@ -131,6 +131,21 @@ def test_set_join_on_made_texts(spark, likeness):
     assert cross == {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if {i % 3, j % 3} == {0, 1} and like(words(texts[i]), words(texts[j])) >= likeness - 1e-12}
 
 
+def test_shards_in_slices_lose_nothing(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.choice(60, 12, replace=False)) for _ in range(150)]
+    texts += [t + " extra" for t in texts] + [t.rsplit(" ", 1)[0] for t in texts[:80]]
+    sets = setjoin.word_sets(spark.createDataFrame(list(enumerate(texts)), "k long, t string"), "t", "k").cache()
+    whole = sorted(map(tuple, neardup.near_duplicate_sets(sets, 0.75, tree=4).collect()))
+    shuffled = []
+    monkeypatch.setattr(neardup, "free", lambda s: shuffled.append(1))
+    monkeypatch.setattr(neardup, "SLICE_ROWS", 1)
+    assert sorted(map(tuple, neardup.near_duplicate_sets(sets, 0.75, tree=4).collect())) == whole and len(whole) >= 230
+    assert len(shuffled) == neardup.SLICES + 1  # the files of a slice are let go before the next one's
+
+
 def test_bk_forest_is_a_scan():
     import numpy as np
 
