@@ -4,8 +4,10 @@ import collections
 import os
 import random
 import re
+import time
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,3 +275,53 @@ def test_spans_at_the_edge(spark):
     for r in runs.collect():
         a, b = texts[r["ka"]], texts[r["kb"]]
         assert a[r["start_a"] : r["start_a"] + r["length"]] == b[r["start_b"] : r["start_b"] + r["length"]]
+
+
+def test_filters_lie_once_in_the_shared_folder(spark):
+    """Not a copy for the driver and for each executor; none is left."""
+    import glob
+
+    from docketry.runtime import shared_dir, step_path
+
+    folder = os.path.dirname(step_path(spark, "filter"))
+    sets = setjoin.word_sets(spark.createDataFrame([(i, f"a b c d{i // 2}") for i in range(200)], "k long, t string"), "t", "k")
+    held = setjoin.Filters(spark, True, some=setjoin.bit_filters(sets, lambda b: [b.column("id").to_numpy()], 24)[0])
+    assert folder.startswith(shared_dir(spark)) and len(glob.glob(f"{folder}/filter-*")) == 1
+
+    def found(batches):
+        for b in batches:
+            yield b.filter(pa.array(setjoin.maybe_in(held["some"], b.column("id").to_numpy())))
+
+    assert sets.select("id").mapInArrow(found, "id long").count() == 200
+    held.destroy()
+    assert not glob.glob(f"{folder}/filter-*")
+    broadcasts, send = [], spark.sparkContext.broadcast
+    spark.sparkContext.broadcast = lambda x: broadcasts.append(x) or send(x)
+    try:
+        setjoin.segment_keys(sets, 0.75)
+    finally:
+        del spark.sparkContext.broadcast
+    assert len(broadcasts) == 1 and not glob.glob(f"{folder}/filter-*")  # the words' weights
+
+
+def test_shuffle_files_go_with_their_step(spark):
+    from docketry.runtime import cut, free
+
+    def held():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {x for x in blocks.mkString(" ").split() if x.startswith("shuffle_")}
+
+    before = held()
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().join(spark.range(9).withColumnRenamed("id", "k").repartition(3), "k")
+    got = cut(df, "step")
+    assert not held() - before and got.count() == 7 == df.count()
+    for _ in df.toLocalIterator():
+        pass
+    assert held() - before
+    # what was not written goes when it is let go of, though py4j tells the JVM only once a second
+    del df, _
+    free(spark)
+    until = time.time() + 5
+    while held() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not held() - before
