@@ -22,6 +22,7 @@ from pyspark.sql.window import Window
 from docketry.llm.entities import case_records, companies, heard_people, match_companies, name_evidence
 from docketry.llm.groups import min_label_components
 from docketry.llm.people import allowed, bounded_distance, company_core, given_agrees, person_parts
+from docketry.llm.setjoin import Filters, bit_filters, filter_bits, maybe_in
 from docketry.runtime import blank_to_null, cut, effective_case_id, free, table
 
 
@@ -59,8 +60,11 @@ def swap_entries(name: str) -> set[str]:
     return {e for i in at for e in index_entries(name[: i - 1] + name[i] + name[i - 1] + name[i + 1 :])}
 
 
-def _explode(find):
-    """An entry is hashed together with its scope: what meets by chance fails the verification."""
+def _explode(find, held: Filters | None = None):
+    """An entry is hashed together with its scope: what meets by chance fails the verification.
+
+    held: only entries that its filter may have.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -69,8 +73,12 @@ def _explode(find):
                 got = find(n)
                 at += [i] * len(got)
                 marks += [xxhash.xxh64_intdigest(f"{s}|{e}") - (1 << 63) for e in got]
-            take = pa.array(at, pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column("scope").take(take), b.column("name").take(take), pa.array(marks, pa.int64())], ["scope", "name", "entry"])
+            at, marks = np.array(at, np.int32), np.array(marks, np.int64)
+            if held is not None:
+                some = maybe_in(held["entries"], marks)
+                at, marks = at[some], marks[some]
+            take = pa.array(at)
+            yield pa.RecordBatch.from_arrays([b.column("scope").take(take), b.column("name").take(take), pa.array(marks)], ["scope", "name", "entry"])
 
     return run
 
@@ -87,14 +95,19 @@ def similar_names(names: DataFrame) -> DataFrame:
     names: (scope, name), neither null.  The distance allowed is 0 for two letters, 1 up to five, 2
     beyond, by the shorter name; a swap of neighbours is one edit, so it can spoil two segments and
     is looked up by its own: names with one swap at a segment's bound undone go into the index as well.
+    Most lookups meet nothing: a bit filter of the index keeps them out of the shuffle.
     """
+    # some four entries a name, so that it has 32 bits for each
+    bits = filter_bits(names.count() // 4)
     # the entries are work for the processor: as many tasks as shuffles have, however few the bytes
     tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = names.select("scope", "name").repartition(tasks, "scope", "name").distinct()
     shape = "scope string, name string, entry long"
 
     indexed = names.mapInArrow(_explode(lambda n: {*index_entries(n), *swap_entries(n)}), shape).select(F.col("scope").alias("o_scope"), F.col("name").alias("other"), "entry")
-    asked = names.mapInArrow(_explode(lookups), shape)
+    held = Filters(names.sparkSession, entries=bit_filters(indexed.select("entry"), lambda b: [b.column("entry").to_numpy()], bits)[0])
+    free(names.sparkSession)
+    asked = names.mapInArrow(_explode(lookups, held), shape)
     met = asked.join(indexed, "entry").select("scope", "o_scope", "name", "other").distinct()
     return met.mapInPandas(_verified, "scope string, name string, other string")
 

@@ -64,6 +64,24 @@ def test_swaps_are_met_with_few_entries(spark):
     assert max(len({*names.index_entries(n), *names.swap_entries(n)}) for n in pool) <= 7  # at every place it was 20 and more
 
 
+def test_lookups_that_meet_nothing_are_not_shuffled(spark):
+    import random
+
+    from docketry.llm.setjoin import Filters, bit_filters
+
+    rng = random.Random(6)
+    pool = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(300)]
+    df, shape = spark.createDataFrame([(f"s{i % 3}", n) for i, n in enumerate(pool)], "scope string, name string"), "scope string, name string, entry long"
+    index = df.mapInArrow(names._explode(names.index_entries), shape).cache()
+    held = Filters(spark, entries=bit_filters(index.select("entry"), lambda b: [b.column("entry").to_numpy()], 24)[0])
+    every, some = (df.mapInArrow(names._explode(names.lookups, h), shape).cache() for h in (None, held))
+    known = index.select("entry").distinct()
+    assert sorted(map(tuple, some.join(known, "entry").collect())) == sorted(map(tuple, every.join(known, "entry").collect()))
+    assert 3 * len(pool) <= some.count() < every.count() / 10
+    for x in (index, every, some):
+        x.unpersist()
+
+
 def test_people_of_one_company(spark):
     said = [("k1", "c", "Edward Korvema", None), ("k2", "c", "Ned Korvema", None), ("k3", "c", "E. Korvema", None), ("k4", "d", "Edward Korvema", None), ("k5", "c", None, None), ("q1", "c", "Korvmea, Edward", None), ("k6", None, "Edward Korvema", None), ("k7", "c", "Vacant", None)]
     got = {r["key"]: r["person"] for r in names.link_people(names.read_people(spark.createDataFrame(said, "key string, scope string, raw string, clean string"))).collect()}
