@@ -101,6 +101,17 @@ def whitened(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
+def beside_own(vectors: np.ndarray, rows: int = 1 << 12) -> np.ndarray:
+    """Each vector beside a fixed random one of its own of length 1, made so many rows at a time: the driver has little memory."""
+    rng, width = np.random.default_rng(17), vectors.shape[1]
+    out = np.empty((len(vectors), 2 * width), np.float16)
+    for at in range(0, len(vectors), rows):
+        some = vectors[at : at + rows]
+        apart = rng.normal(size=some.shape).astype(np.float32)
+        out[at : at + rows] = np.concatenate([some, apart / np.linalg.norm(apart, axis=1, keepdims=True)], 1)
+    return out
+
+
 def train_vectors(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(centred skip-gram vector beside one of the bucket's own, inverse document frequency) of every token bucket."""
     from pyspark.ml.feature import Word2Vec
@@ -117,8 +128,7 @@ def train_vectors(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     del got, model
     drop_cut(sentences)
     vectors[place] = SHARE * whitened(vectors[place])
-    apart = np.random.default_rng(17).normal(size=vectors.shape).astype(np.float32)
-    vectors = np.concatenate([vectors, apart / np.linalg.norm(apart, axis=1, keepdims=True)], 1).astype(np.float16)
+    vectors = beside_own(vectors)
     df = tokens.select(F.explode("toks").alias("tok")).groupBy("tok").agg(F.count("*").alias("c")).toPandas()  # at most BUCKETS rows
     total = tokens.count()
     idf = np.zeros(BUCKETS, np.float32)

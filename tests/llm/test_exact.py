@@ -325,3 +325,30 @@ def test_shuffle_files_go_with_their_step(spark):
     while held() - before and time.time() < until:
         time.sleep(0.1)
     assert not held() - before
+
+
+def test_native_memory_goes_back_with_a_step(spark):
+    from docketry.runtime import cut
+
+    jvm = spark.sparkContext._jvm
+    field = jvm.java.lang.Class.forName("sun.misc.Unsafe").getDeclaredField("theUnsafe")
+    field.setAccessible(True)
+    unsafe, pid = field.get(None), jvm.java.lang.ProcessHandle.current().pid()
+
+    def resident(at):
+        # the uppermost bit of a page's entry says that it is in memory
+        with open(f"/proc/{pid}/pagemap", "rb") as f:
+            f.seek(at // 4096 * 8)
+            return f.read(8)[7] >> 7
+
+    size = 1 << 16
+    chunks = [unsafe.allocateMemory(size) for _ in range(400)]
+    for at in chunks:
+        unsafe.copyMemory(chunks[0], at, size)
+    for at in chunks[:-1]:  # the last one keeps the C library from giving back the top of its own accord
+        unsafe.freeMemory(at)
+    pages = [at + size // 2 for at in chunks[:-1]]
+    assert sum(map(resident, pages)) > 300
+    cut(spark.range(10), "step")
+    assert sum(map(resident, pages)) < 100
+    unsafe.freeMemory(chunks[-1])
